@@ -1,0 +1,221 @@
+"""Streams over landed feeds and articles, and the sinks of a monitoring run."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Sequence
+from datetime import UTC, datetime
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from newsflow.fixed_values import (
+    MIN_TOKEN_LENGTH,
+    MONITOR_INTERVAL,
+    MONITOR_WINDOW,
+    NGRAM_SIZES,
+    TOP_TRENDS,
+)
+from newsflow.operators.aggregates import monitor_report
+from newsflow.operators.articles import new_articles, with_key_only
+from newsflow.operators.filters import within
+from newsflow.operators.trending import merge_trends, top_trends, trending
+from newsflow.schemas import TRENDS
+from newsflow.sinks import (
+    append_to_store,
+    read_store,
+    write_archive,
+    write_latest,
+    write_report,
+    write_table,
+)
+
+BatchSink = Callable[[DataFrame, int], None]
+
+DEDUP_SALTS = 16
+
+
+def use_rocksdb_state(spark: SparkSession) -> None:
+    """Keep state on executor disks with changelog checkpoints; phrase state outgrows the heap."""
+    spark.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
+    spark.conf.set(
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true"
+    )
+
+
+def monitor(
+    stream: DataFrame,
+    sink: BatchSink,
+    checkpoint: str,
+    interval: str = MONITOR_INTERVAL,
+    available_now: bool = False,
+    output_mode: str = "append",
+) -> StreamingQuery:
+    """Run the sink at the start and then every interval, or once over everything landed.
+
+    Progress lives in the checkpoint: a restarted query goes on after the last finished batch.
+    """
+    trigger = {"availableNow": True} if available_now else {"processingTime": interval}
+    return (
+        stream.writeStream.foreachBatch(sink)
+        .outputMode(output_mode)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start()
+    )
+
+
+def stream_new_articles(
+    stream: DataFrame, key: str = "url", time_col: str = "collected_at", ttl: str = "30 days"
+) -> DataFrame:
+    """First arrival of each key within the retention time.
+
+    A first, salted round spreads the repeats of a hot key over several tasks; the second round
+    then sees at most one row per key and salt.
+    """
+    other = [F.col(f.name) for f in stream.schema if f.dataType.typeName() != "map"]
+    return (
+        with_key_only(stream, key)
+        .withColumn("_salt", F.pmod(F.xxhash64(*other), F.lit(DEDUP_SALTS)))
+        .withWatermark(time_col, ttl)
+        .dropDuplicatesWithinWatermark([key, "_salt"])
+        .dropDuplicatesWithinWatermark([key])
+        .drop("_salt")
+    )
+
+
+def stream_trending(
+    stream: DataFrame,
+    text_cols: Sequence[str],
+    ngram_range: Sequence[int] = NGRAM_SIZES,
+    stop: Column | Sequence[str] | None = None,
+    min_len: int = MIN_TOKEN_LENGTH,
+) -> DataFrame:
+    """Running phrase counter; write it in update mode, so a run emits only changed phrases."""
+    return trending(stream, text_cols, ngram_range, stop, min_len)
+
+
+def _latest_before(spark: SparkSession, path: str, batch_id: int, schema: str) -> DataFrame:
+    """Rows of the newest earlier batch below path, none if there is no earlier one."""
+    try:
+        rows = spark.read.schema(f"{schema}, batch_id bigint").option("basePath", path).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+    earlier = rows.where(F.col("batch_id") < batch_id)
+    newest = earlier.agg(F.max("batch_id")).first()[0]
+    return earlier.where(F.col("batch_id") == F.lit(newest).cast("bigint")).drop("batch_id")
+
+
+def top_trends_sink(path: str, n: int = TOP_TRENDS) -> BatchSink:
+    """Keep the exact top n of a running counter, from changed phrases alone.
+
+    Counts only grow, so a phrase that did not change can be in the new list only if it was in
+    the old one. Each run therefore ranks the changed phrases and the n rows before them.
+    """
+
+    def sink(changed: DataFrame, batch_id: int) -> None:
+        # The update output feeds two branches; replaying state for each would be wasteful.
+        changed = changed.persist()
+        try:
+            before = _latest_before(changed.sparkSession, path, batch_id, TRENDS)
+            unchanged = F.broadcast(before).join(changed.select("phrase"), "phrase", "left_anti")
+            top = top_trends(
+                top_trends(changed.select("phrase", "cnt"), n).unionByName(unchanged), n
+            )
+            write_table(top, f"{path}/batch_id={batch_id}")
+        finally:
+            changed.unpersist()
+
+    return sink
+
+
+def stream_trending_window(
+    stream: DataFrame,
+    time_col: str,
+    phrase_col: str = "phrase",
+    length: str = "7 days",
+    slide: str = "1 day",
+    lateness: str = "1 day",
+) -> DataFrame:
+    """Counts per phrase and sliding window; the watermark bounds the state."""
+    timed = stream.withColumn(time_col, F.col(time_col).cast("timestamp"))
+    if stream.isStreaming:
+        timed = timed.withWatermark(time_col, lateness)
+    counted = timed.groupBy(F.window(time_col, length, slide).alias("w"), phrase_col).agg(
+        F.count(F.lit(1)).alias("cnt")
+    )
+    return counted.select(
+        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+        phrase_col, "cnt",
+    )
+
+
+def stream_site_counts(stream: DataFrame, site_col: str = "site_name") -> DataFrame:
+    """Running number of articles per site."""
+    return stream.groupBy(site_col).agg(F.count(F.lit(1)).alias("new_articles"))
+
+
+def admit_in_time(
+    batch: DataFrame, as_of: datetime, time_col: str = "publish_time", frame: str = MONITOR_WINDOW
+) -> DataFrame:
+    """Rows that are not too late. A watermark only bounds state; this filter decides."""
+    return within(batch, time_col, frame, as_of)
+
+
+def monitor_sink(
+    root: str,
+    sites: DataFrame,
+    arrival: Sequence[Column],
+    as_of: datetime | None = None,
+    stop: Sequence[str] | None = None,
+) -> BatchSink:
+    """Sink of one monitoring run: article table, latest and archive CSV, trends and report.
+
+    Every part is written below a folder of its batch, so a repeated batch replaces itself.
+    """
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        now = as_of or datetime.now(UTC).replace(tzinfo=None, microsecond=0)
+        stamp = F.lit(now.isoformat(sep=" ")).cast("timestamp")
+        run = write_table(batch, f"{root}/runs/batch_id={batch_id}")
+        good = run.where(F.col("error").isNull()) if "error" in run.columns else run
+
+        seen = read_store(spark, f"{root}/store", batch_id, _ddl(good))
+        fresh = append_to_store(
+            new_articles(good, seen, arrival).withColumn("collected_at", stamp),
+            f"{root}/store", batch_id,
+        )
+        write_latest(run, f"{root}/latest")
+        write_archive(run, f"{root}/archive", now, batch_id)
+
+        counts = trending(fresh, ["title", "short_description"], stop=stop)
+        write_table(counts, f"{root}/trends/batch_id={batch_id}")
+        trends = spark.read.schema(f"{TRENDS}, batch_id bigint").option(
+            "basePath", f"{root}/trends"
+        ).parquet(f"{root}/trends").where(F.col("batch_id") <= batch_id)
+
+        # Per run the report needs counts only: all fetched rows, and the new ones among them.
+        flagged = run.select("site_name", F.lit(0).alias("is_new")).unionByName(
+            fresh.select("site_name", F.lit(1).alias("is_new"))
+        )
+        report = monitor_report(
+            flagged,
+            read_store(spark, f"{root}/store", batch_id + 1, _ddl(good)),
+            merge_trends(trends.select("phrase", "cnt")),
+            sites, now,
+        )
+        write_report(report, f"{root}/report/batch_id={batch_id}")
+
+    return sink
+
+
+def _ddl(df: DataFrame) -> str:
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    return fields if "collected_at" in df.columns else f"{fields}, collected_at timestamp"
