@@ -14,6 +14,7 @@ from collections.abc import Sequence
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from newsflow.fixed_values import (
     BOILERPLATE_PHRASES,
@@ -55,17 +56,17 @@ def _replace_characters(text: str) -> str:
     return unicodedata.normalize("NFKC", text)
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(StringType())
 def _unescape(values: pa.Array) -> pa.Array:
     return _to_arrow_strings(values, html.unescape)
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(StringType())
 def _normalize(values: pa.Array) -> pa.Array:
     return _to_arrow_strings(values, _replace_characters)
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(StringType())
 def _unescape_normalize(values: pa.Array) -> pa.Array:
     return _to_arrow_strings(values, lambda v: _replace_characters(html.unescape(v)))
 

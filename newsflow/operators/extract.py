@@ -212,7 +212,7 @@ def clean_html(
     )
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(T.StringType())
 def _plain_text(values: pa.Array) -> pa.Array:
     return pa.array(
         [None if v is None else "".join(text_nodes(parse(v))) for v in values.to_pylist()],
@@ -220,7 +220,7 @@ def _plain_text(values: pa.Array) -> pa.Array:
     )
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(T.StringType())
 def _markdown(values: pa.Array) -> pa.Array:
     return pa.array(
         [None if v is None else to_markdown_text(parse(v)) for v in values.to_pylist()],
