@@ -5,6 +5,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from checks.registry import check, table, texts
+from newsflow.fixed_values import RSS_MAPPING
 from newsflow.functions import month_shard_url, parse_publish_time, time_frame_seconds
 from newsflow.operators.articles import union_feeds, union_sites
 from newsflow.operators.extract import rss_description
@@ -85,12 +86,31 @@ def q_rss_items(spark, sf_dir):
 
 
 @check("rss_files", SQL_RSS.replace(
-    "source || '/' || doc_id || '.rss' AS feed_source, pos,", "").replace("SELECT", "SELECT ", 1))
+    "source || '/' || doc_id || '.rss' AS feed_source, pos,", "doc_id, ").replace(
+    "(VALUES (0), (1), (2))", "(VALUES (0), (1))").replace("WHEN 2 THEN 'https://n.example/c'", ""))
 def q_rss_files(spark, sf_dir):
+    """Feeds landed as XML files: two items per document, the second without a link."""
     path = work_dir(spark, "rss")
-    rss_payloads(spark, sf_dir).select("payload").write.text(path)
-    items = read_rss_files(spark, path).drop("feed_source")
-    return items.withColumn("publish_time", stamp("publish_time"))
+    docs = texts(spark, sf_dir, "documents", "doc_id", "text")
+    key = F.col("doc_id").cast("string")
+    full = docs.select(
+        "doc_id", F.concat(F.lit(" T"), key, F.lit(" <& ")).alias("title"),
+        F.array(F.concat(F.lit("https://n.example/"), key), F.lit("https://other.example/"))
+        .alias("link"),
+        xml_escape(F.col("text")).alias("description"),
+        F.lit("Mon, 01 Jan 2024 10:00:00 +0700").alias("pubDate"),
+    )
+    short = docs.select(
+        "doc_id", F.lit("B").alias("title"), F.lit(None).cast("array<string>").alias("link"),
+        F.concat(F.lit("<p>hi <b>"), key, F.lit("</b></p>")).alias("description"),
+        F.lit("2024-02-03T04:05:06Z").alias("pubDate"),
+    )
+    full.unionByName(short).write.format("xml").option("rootTag", "channel").option(
+        "rowTag", "item").save(path)
+    items = read_rss_files(spark, path, {**RSS_MAPPING, "doc_id": "doc_id"}).drop("feed_source")
+    return items.withColumns(
+        {"publish_time": stamp("publish_time"), "doc_id": F.col("doc_id").cast("bigint")}
+    )
 
 
 SQL_SITEMAP = """
@@ -108,10 +128,18 @@ def q_sitemap_urls(spark, sf_dir):
     return urls.withColumn("lastmod", stamp("lastmod"))
 
 
-@check("sitemap_files", SQL_SITEMAP.replace("'s' || page_id || '.xml' AS feed_source, pos,", ""))
+@check("sitemap_files", """
+    SELECT url, CASE WHEN page_id % 2 = 0 THEN '2024-03-' ||
+      lpad(CAST(page_id % 28 + 1 AS VARCHAR), 2, '0') || ' 00:00:00' END AS lastmod FROM pages""")
 def q_sitemap_files(spark, sf_dir):
     path = work_dir(spark, "sitemap")
-    sitemap_payloads(spark, sf_dir).select("payload").write.text(path)
+    day = F.lpad((F.col("page_id") % 28 + 1).cast("string"), 2, "0")
+    entries = texts(spark, sf_dir, "pages", "page_id", "url").select(
+        F.col("url").alias("loc"),
+        F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("2024-03-"), day)).otherwise("soon")
+        .alias("lastmod"),
+    )
+    entries.write.format("xml").option("rootTag", "urlset").option("rowTag", "url").save(path)
     urls = read_sitemap_files(spark, path).drop("feed_source")
     return urls.withColumn("lastmod", stamp("lastmod"))
 

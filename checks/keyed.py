@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from checks.phrases import SQL_TOP
 from checks.registry import check, table, texts
 from newsflow.operators.aggregates import (
+    count_articles,
     monitor_report,
     run_totals,
     site_catalog_summary,
@@ -276,7 +277,7 @@ SQL_REPORT = f"""
 def q_monitor_report(spark, sf_dir):
     store = table(spark, sf_dir, "events").select(F.col("ts").alias("collected_at"))
     report = monitor_report(
-        flagged_documents(spark, sf_dir), store,
+        count_articles(flagged_documents(spark, sf_dir)), store,
         trending(texts(spark, sf_dir, "documents", "text"), ["text"]),
         source_sites(spark, sf_dir), datetime(2024, 1, 25),
     )

@@ -42,10 +42,13 @@ def filter_tokens(
 
 def ngrams(tokens: Column | str, n: int) -> Column:
     """All runs of n consecutive tokens, joined by a space; empty when there are fewer than n."""
-    t = _col(tokens)
-    count = F.size(t) - (n - 1)
-    grams = F.transform(
-        F.sequence(F.lit(1), F.greatest(count, F.lit(1))),
-        lambda i: F.array_join(F.slice(t, i, n), " "),
-    )
-    return F.when(count >= 1, grams).otherwise(F.array().cast("array<string>"))
+    def grams(t: Column) -> Column:
+        count = F.size(t) - (n - 1)
+        runs = F.transform(
+            F.sequence(F.lit(1), F.greatest(count, F.lit(1))),
+            lambda i: F.array_join(F.slice(t, i, n), " "),
+        )
+        return F.when(count >= 1, runs).otherwise(F.array().cast("array<string>"))
+
+    # The one-element array binds the token list, which would otherwise be rebuilt per position.
+    return F.get(F.transform(F.array(_col(tokens)), grams), F.lit(0))

@@ -187,35 +187,40 @@ def monitor_sink(
         run = write_table(batch, f"{root}/runs/batch_id={batch_id}")
         good = run.where(F.col("error").isNull()) if "error" in run.columns else run
 
-        seen = read_store(spark, f"{root}/store", batch_id, _ddl(good))
+        stamped = good.withColumn("collected_at", stamp)
+        seen = read_store(spark, f"{root}/store", batch_id, _ddl(stamped))
         fresh = append_to_store(
-            new_articles(good, seen, arrival).withColumn("collected_at", stamp),
-            f"{root}/store", batch_id,
+            new_articles(stamped, seen, arrival), f"{root}/store", batch_id
         )
         write_latest(run, f"{root}/latest")
         write_archive(run, f"{root}/archive", now, batch_id)
 
         counts = trending(fresh, ["title", "short_description"], stop=stop)
         write_table(counts, f"{root}/trends/batch_id={batch_id}")
-        trends = spark.read.schema(f"{TRENDS}, batch_id bigint").option(
-            "basePath", f"{root}/trends"
-        ).parquet(f"{root}/trends").where(F.col("batch_id") <= batch_id)
-
-        # Per run the report needs counts only: all fetched rows, and the new ones among them.
-        flagged = run.select("site_name", F.lit(0).alias("is_new")).unionByName(
-            fresh.select("site_name", F.lit(1).alias("is_new"))
+        # Counters need no row match: all fetched rows, and the rows that were stored as new.
+        fetched = run.select("site_name", F.lit(1).alias("fetched"), F.lit(0).alias("new_articles"))
+        stored = fresh.select("site_name", F.lit(0).alias("fetched"), F.lit(1).alias("new_articles"))
+        latest = write_table(
+            fetched.unionByName(stored).groupBy("site_name").agg(
+                F.sum("fetched").alias("fetched"), F.sum("new_articles").alias("new_articles")
+            ),
+            f"{root}/counters/batch_id={batch_id}",
         )
         report = monitor_report(
-            flagged,
-            read_store(spark, f"{root}/store", batch_id + 1, _ddl(good)),
-            merge_trends(trends.select("phrase", "cnt")),
-            sites, now,
+            _up_to(spark, f"{root}/counters", batch_id, _ddl(latest)),
+            read_store(spark, f"{root}/store", batch_id + 1, _ddl(fresh)),
+            merge_trends(_up_to(spark, f"{root}/trends", batch_id, TRENDS)),
+            sites, now, latest,
         )
         write_report(report, f"{root}/report/batch_id={batch_id}")
 
     return sink
 
 
+def _up_to(spark: SparkSession, path: str, batch_id: int, schema: str) -> DataFrame:
+    rows = spark.read.schema(f"{schema}, batch_id bigint").option("basePath", path).parquet(path)
+    return rows.where(F.col("batch_id") <= batch_id).drop("batch_id")
+
+
 def _ddl(df: DataFrame) -> str:
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-    return fields if "collected_at" in df.columns else f"{fields}, collected_at timestamp"
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
