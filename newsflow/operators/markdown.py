@@ -10,7 +10,10 @@ from newsflow.operators.html_tree import RAW, Element, Markup
 _BLOCKS = frozenset(
     "p div section article header footer main aside figure figcaption table tr ul ol".split()
 )
-_INLINE = {"strong": "**", "b": "**", "em": "_", "i": "_", "code": "`"}
+_INLINE = {
+    "strong": "**", "b": "**", "em": "_", "i": "_", "u": "_", "code": "`",
+    "del": "~~", "s": "~~", "strike": "~~",
+}
 _HEADINGS = {f"h{n}": "#" * n + " " for n in range(1, 7)}
 
 
@@ -31,7 +34,7 @@ def _opening(element: Element, lists: list, links: bool, images: bool) -> str:
         if ordered:
             lists[-1][1] += 1
         mark = f"{lists[-1][1]}. " if ordered else "* "
-        return "\n" + "  " * max(len(lists) - 1, 0) + mark
+        return "\n" + "  " * max(len(lists), 1) + mark
     if tag in ("ul", "ol") and len(lists) > 1:
         return ""
     return "\n\n" if tag in _BLOCKS else _INLINE.get(tag, "")
@@ -40,8 +43,9 @@ def _opening(element: Element, lists: list, links: bool, images: bool) -> str:
 def _closing(element: Element, lists: list, links: bool) -> str:
     tag = element.tag
     if tag == "a":
-        href = element.attrs.get("href")
-        return f"]({href})" if links and href else ""
+        href, title = element.attrs.get("href"), element.attrs.get("title")
+        target = f'{href} "{title}"' if title else href
+        return f"]({target})" if links and href else ""
     if tag in ("ul", "ol") and lists:
         return ""
     return "\n\n" if tag in _BLOCKS or tag in _HEADINGS else _INLINE.get(tag, "")
@@ -49,7 +53,7 @@ def _closing(element: Element, lists: list, links: bool) -> str:
 
 def _tidy(text: str) -> str:
     text = re.sub(r"\n +(?=\n)", "\n", text)
-    return re.sub(r"\n{3,}", "\n\n", text).strip()
+    return re.sub(r"\n{3,}", "\n\n", text).strip("\n").rstrip()
 
 
 def _prefixed(text: str, prefix: str) -> str:
@@ -60,9 +64,9 @@ def to_markdown_text(root: Element, links: bool = True, images: bool = True) ->
     """Walks the tree with an explicit stack, since unclosed tags can nest very deep."""
     pieces: list[list[str]] = [[]]
     lists: list[list] = []
-    stack: list = [(root, iter(root.children))]
+    # The wrapper lets the root element be opened and closed like any other.
+    stack: list = [(Element(""), iter([root]))]
     in_pre = 0
-    pieces[-1].append(_opening(root, lists, links, images))
     while stack:
         element, children = stack[-1]
         child = next(children, None)
