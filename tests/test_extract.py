@@ -1,0 +1,161 @@
+import pytest
+from pyspark.sql import functions as F
+
+from newsflow.operators import extract as E
+from newsflow.operators.html_tree import find, parse, serialize, stripped_text
+from newsflow.operators.markdown import to_markdown_text
+
+
+def pages(spark, *htmls):
+    return spark.createDataFrame(
+        [(f"u{i}", h) for i, h in enumerate(htmls)], "url string, html string"
+    )
+
+
+def cells(df, column):
+    return [r[column] for r in df.orderBy("url").collect()]
+
+
+@pytest.mark.parametrize(
+    ("source", "written"),
+    [
+        ("<p>a<p>b</p>c", "<p>a<p>b</p>c</p>"),  # an open paragraph stays open
+        ("<div><b>x</div>y</b>", "<div><b>x</b></div>y"),  # closes up to the opener
+        ("a</i>b", "ab"),  # a stray end tag is ignored
+        ("<br>x<img src=a>", '<br/>x<img src="a"/>'),
+        ("<script>var t='</p>';</script>", "<script>var t='</p>';</script>"),
+        ("a < b &amp; c", "a &lt; b &amp; c"),
+    ],
+)
+def test_tree(source, written):
+    assert serialize(parse(source)) == written
+
+
+def test_text_is_joined_without_separator():
+    root = parse('<h1 class="x title">A <b>b</b></h1><script>no</script> t ')
+    assert stripped_text(find(root, cls="title")) == "Ab"
+    assert stripped_text(root) == "Abt"
+
+
+def test_deep_nesting_needs_no_recursion():
+    html = "<p><b>" * 5000 + "x"
+    root = parse(html)
+    assert stripped_text(root) == "x"
+    assert "**x" in to_markdown_text(root)
+    assert serialize(root).count("</b>") == 5000
+
+
+SELECTORS = {
+    "title_selector": {"tag": None, "class": "title main"},
+    "short_desc_selector": {"tag": "p", "class": None},
+    "publish_time_selector": {"tag": None, "class": "date"},
+    "author_selector": None,
+    "content_selector": {"tag": "div", "class": "body"},
+}
+PAGE = (
+    '<h1 class="title main">T <i>t</i></h1><p class="lead">no</p><p>first</p>'
+    '<span class="x date y"> 1/2 </span><div class="body"><h2>H</h2>text</div>'
+)
+
+
+def test_extract_articles(spark):
+    rows = E.extract_articles(pages(spark, PAGE, None, "<p>x</p>"), SELECTORS).orderBy("url").collect()
+    assert rows[0].asDict() == {
+        "url": "u0", "title": "Tt", "short_description": "first", "publish_time": "1/2",
+        "author": None, "markdown_content": "## H\n\ntext", "error": None,
+    }
+    assert rows[1]["error"] == "page has no html" and rows[1]["title"] is None
+    assert rows[2]["error"] == "content not found with the given selector"
+    assert rows[2]["short_description"] == "x" and rows[2]["markdown_content"] is None
+
+
+def test_selectors_per_page(spark):
+    from newsflow.schemas import SELECTOR_MAP
+
+    df = pages(spark, "<h1>a</h1><h2>b</h2>", "<h1>c</h1><h2>d</h2>").withColumn(
+        "selectors",
+        F.when(
+            F.col("url") == "u0",
+            F.create_map(
+                F.lit("title_selector"),
+                F.struct(F.lit("h2").alias("tag"), F.lit(None).cast("string").alias("class")),
+            ).cast(SELECTOR_MAP),
+        ),
+    )
+    rows = E.extract_articles(df, with_markdown=False).orderBy("url").collect()
+    assert [r["title"] for r in rows] == ["b", None]
+    assert rows[1]["error"] == "no selectors for this page"
+
+
+@pytest.mark.parametrize(
+    ("html", "expected"),
+    [
+        ("<body><div class='content'>c</div><article>a</article></body>", "<article>a</article>"),
+        ("<div id='main-content'>m</div><div class='post-content x'>p</div>",
+         '<div class="post-content x">p</div>'),
+        ("<body><p>x</p></body>", "<body><p>x</p></body>"),
+        ("<p>no body</p>", "<p>no body</p>"),
+        (None, ""), ("", ""),
+    ],
+)
+def test_main_content(spark, html, expected):
+    assert cells(E.extract_main_content(pages(spark, html)), "main_content") == [expected]
+
+
+@pytest.mark.parametrize(
+    ("html", "options", "expected"),
+    [
+        ("<p onclick='x' data-a='1' datatype='2' aria-label='l' id='k'>a<!-- c --></p>", {},
+         '<p datatype="2" id="k">a</p>'),
+        ("<form>f</form><p>a<script>s</script></p>", {}, "<p>a</p>"),
+        ("<div><p>a</p></div><p>b</p>", {"keep_tags": ["p"]}, "<p>b</p>"),
+        ("<p class='x ad'>a</p><p id='i'>b</p><p>c</p>",
+         {"remove_classes": ["ad"], "remove_ids": ["i"]}, "<p>c</p>"),
+        ("<a href='u' title='t'>a</a>", {"keep_attrs": ["href"]}, '<a href="u">a</a>'),
+        ("<i>a</i><b style='s'>b</b>", {"remove_tags": ["i"], "remove_attrs": []},
+         '<b style="s">b</b>'),
+    ],
+)
+def test_clean_html(spark, html, options, expected):
+    assert cells(E.clean_html(pages(spark, html), **options), "cleaned_html") == [expected]
+
+
+def test_markdown():
+    html = (
+        "<div><h2>Head</h2><p>One <em>two</em> <a href='/x'>li<b>n</b>k</a>"
+        "<img src='i.png' alt='A'></p><ul><li>a<ul><li>b</li></ul></li></ul><ol><li>x</li></ol>"
+        "<blockquote><p>q</p></blockquote><pre>c  x\n  y</pre><hr>end<br>line</div>"
+    )
+    assert to_markdown_text(parse(html)) == (
+        "## Head\n\nOne _two_ [li**n**k](/x)![A](i.png)\n\n  * a\n    * b\n\n  1. x\n\n> q\n\n"
+        "    c  x\n      y\n\n* * *\n\nend  \nline"
+    )
+    assert to_markdown_text(parse("<p><a href='/x'>l</a><img src='i'></p>"), False, False) == "l"
+    assert to_markdown_text(find(parse("<ul class='c'><li>a</li></ul>"), "ul")) == "  * a"
+
+
+def test_to_markdown_reports_errors(spark):
+    df = E.to_markdown(pages(spark, "<div class='b'>x</div>", "<p>"), {"tag": "div", "class": "b"})
+    rows = df.orderBy("url").collect()
+    assert (rows[0]["markdown_content"], rows[0]["error"]) == ("x", None)
+    assert rows[1]["markdown_content"] is None and rows[1]["error"]
+
+
+def test_rss_description(spark):
+    df = spark.createDataFrame([("<p>a &amp; b</p> c",), ("plain",), (None,)], "c string")
+    got = {
+        fmt: [r[0] for r in df.select(E.rss_description(F.col("c"), fmt)).collect()]
+        for fmt in ("text", "markdown", "html")
+    }
+    assert got["text"] == ["a & b c", "plain", None]
+    assert got["markdown"] == ["a & b\n\nc", "plain", None]
+    assert got["html"] == ["<p>a &amp; b</p> c", "plain", None]
+    with pytest.raises(ValueError):
+        E.rss_description(F.col("c"), "pdf")
+
+
+def test_page_pass_reads_only_what_it_needs(spark, sf_dir):
+    df = spark.read.parquet(f"{sf_dir}/pages.parquet").select("url", "html")
+    plan = E.extract_main_content(df)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<url:string,html:string>" in plan
+    assert plan.count("MapInArrow") == 1
