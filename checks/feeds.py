@@ -308,7 +308,7 @@ def q_parse_publish_time(spark, sf_dir):
         F.concat(F.lit("posted "), F.date_format(ts, "dd MMM")),
     ]
     text = F.coalesce(*[F.when(F.col("event_id") % 8 == i, f) for i, f in enumerate(forms)])
-    return table(spark, sf_dir, "events").select(
+    return texts(spark, sf_dir, "events", "event_id", "ts").select(
         "event_id",
         stamp(parse_publish_time(text)).alias("utc"),
         stamp(parse_publish_time(text, "wallclock")).alias("wallclock"),

@@ -4,7 +4,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from checks.registry import check, table
+from checks.registry import check, table, texts
 from newsflow.operators import quality as Q
 from newsflow.operators.filters import date_range, ok_rows, quarantine, recent, within
 from newsflow.operators.ranking import latest_articles, sort_by_time, top_n, top_n_per_feed
@@ -122,7 +122,7 @@ def q_validate_urls(spark, sf_dir):
     WHERE message IS NOT NULL""")
 def q_validate_rows(spark, sf_dir):
     key = F.col("event_id")
-    events = table(spark, sf_dir, "events").select(
+    events = texts(spark, sf_dir, "events", "event_id", "event_type").select(
         "event_id", "event_type",
         F.when(key % 5 == 0, F.concat(F.lit("http://x.example/"), key.cast("string")))
         .when(key % 5 == 1, F.concat(F.lit("x/"), key.cast("string")))

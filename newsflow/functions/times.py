@@ -8,8 +8,16 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from newsflow.functions.tokens import bind
+
 _UNIT_SECONDS = {"h": 3600, "d": 86400, "m": 60}
-_OFFSET = r"\s*(?:Z|GMT|UTC|UT|([+-]\d{2}):?(\d{2}))$"
+_OFFSET = r"\s*(?:Z|GMT|UTC|UT|([+-]\d{2}:?\d{2}))$"
+_SHAPES = [
+    (r"^\d{1,2} [A-Za-z]{3} \d{4} \d{2}:\d{2}:", "d MMM yyyy HH:mm:ss"),
+    (r"^\d{1,2} [A-Za-z]{3} \d{4} ", "d MMM yyyy HH:mm"),
+    (r"^\d{1,2}/\d{1,2}/\d{4} \d{2}:\d{2}:", "d/M/yyyy HH:mm:ss"),
+    (r"^\d{1,2}/\d{1,2}/\d{4} ", "d/M/yyyy HH:mm"),
+]
 
 
 def parse_publish_time(text: Column, tz_mode: str = "utc") -> Column:
@@ -20,44 +28,34 @@ def parse_publish_time(text: Column, tz_mode: str = "utc") -> Column:
     """
     if tz_mode not in ("utc", "wallclock"):
         raise ValueError("tz_mode must be 'utc' or 'wallclock'")
-    # A date ends in "-dd" as well, so an offset only counts behind a time of day.
     trimmed = F.regexp_replace(F.trim(text), r"^[A-Za-z]{3,9},\s*", "")
-    has_clock = trimmed.contains(":")
-    base = F.when(has_clock, F.regexp_replace(trimmed, _OFFSET, "")).otherwise(trimmed)
-    wall = (
-        F.when(base.rlike(r"^\d{4}-"), F.try_to_timestamp(base))
-        .when(
-            base.rlike(r"^\d{1,2} [A-Za-z]{3} \d{4} \d{2}:\d{2}:"),
-            F.try_to_timestamp(base, F.lit("d MMM yyyy HH:mm:ss")),
-        )
-        .when(
-            base.rlike(r"^\d{1,2} [A-Za-z]{3} \d{4} "),
-            F.try_to_timestamp(base, F.lit("d MMM yyyy HH:mm")),
-        )
-        .when(
-            base.rlike(r"^\d{1,2}/\d{1,2}/\d{4} \d{2}:\d{2}:"),
-            F.try_to_timestamp(base, F.lit("d/M/yyyy HH:mm:ss")),
-        )
-        .when(
-            base.rlike(r"^\d{1,2}/\d{1,2}/\d{4} "),
-            F.try_to_timestamp(base, F.lit("d/M/yyyy HH:mm")),
-        )
-    )
+    return bind(trimmed, lambda t: _parse_trimmed(t, tz_mode))
+
+
+def _parse_trimmed(trimmed: Column, tz_mode: str) -> Column:
+    # A date ends in "-dd" as well, so an offset only counts behind a time of day.
+    base = F.when(trimmed.contains(":"), F.regexp_replace(trimmed, _OFFSET, "")).otherwise(trimmed)
+    wall = bind(base, _wall_clock)
     if tz_mode == "utc":
-        hours = F.regexp_extract(trimmed, r":.*" + _OFFSET, 1)
-        minutes = F.regexp_extract(trimmed, r":.*" + _OFFSET, 2)
-        # Arithmetic on seconds keeps out-of-range offsets from failing the job.
-        signed = F.when(hours == "", F.lit(0)).otherwise(
-            hours.substr(1, 1).eqNullSafe("-").cast("int") * -2 + 1
-        )
-        shift = signed * (
-            F.coalesce(hours.substr(2, 2).try_cast("int"), F.lit(0)) * 3600
-            + F.coalesce(minutes.try_cast("int"), F.lit(0)) * 60
-        )
+        shift = bind(F.regexp_extract(trimmed, rf":.*?{_OFFSET}", 1), _offset_seconds)
         wall = F.timestamp_seconds(F.unix_timestamp(wall) - shift)
     return F.date_trunc("second", wall)
 
 
+def _wall_clock(base: Column) -> Column:
+    """The first shape that fits decides the format, so a format is only tried where it fits."""
+    parsed = F.when(base.rlike(r"^\d{4}-"), F.try_to_timestamp(base))
+    for shape, fmt in _SHAPES:
+        parsed = parsed.when(base.rlike(shape), F.try_to_timestamp(base, F.lit(fmt)))
+    return parsed
+
+
+def _offset_seconds(offset: Column) -> Column:
+    hours, minutes = offset.substr(2, 2).try_cast("int"), F.right(offset, F.lit(2)).try_cast("int")
+    seconds = F.coalesce(hours * 3600 + minutes * 60, F.lit(0))
+    return F.when(offset.startswith("-"), -seconds).otherwise(seconds)
+
+
 def parse_time_frame(frame: str) -> timedelta:
     """``12h``, ``2d`` or ``30m`` (minutes) as a timedelta; anything else is an error."""
     match = re.fullmatch(r"(\d+)([hdm])", (frame or "").strip().lower())

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,6 +17,11 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """The body applied to a value that is computed once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def tokenize(text: Column | str) -> Column:
     """Lower-cased word tokens in order, without empty ones; null text gives null."""
     return F.array_remove(F.split(F.lower(_col(text)), NON_WORD_RUN), "")
@@ -50,5 +55,4 @@ def ngrams(tokens: Column | str, n: int) -> Column:
         )
         return F.when(count >= 1, runs).otherwise(F.array().cast("array<string>"))
 
-    # The one-element array binds the token list, which would otherwise be rebuilt per position.
-    return F.get(F.transform(F.array(_col(tokens)), grams), F.lit(0))
+    return bind(_col(tokens), grams)

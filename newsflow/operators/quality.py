@@ -117,14 +117,13 @@ def with_default(value: Column, default) -> Column:
 def with_violations(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Add ``violations``: an array with one entry per failed rule."""
     checks = [
-        F.when(
-            r.message.isNotNull(),
-            F.struct(F.lit(r.field).alias("field"), F.lit(r.name).alias("rule"),
-                     r.message.alias("message")).cast(VIOLATION),
-        )
+        F.struct(
+            F.lit(r.field).alias("field"), F.lit(r.name).alias("rule"), r.message.alias("message")
+        ).cast(VIOLATION)
         for r in rules
     ]
-    return df.withColumn("violations", F.filter(F.array(*checks), lambda v: v.isNotNull()))
+    failed = F.filter(F.array(*checks), lambda v: v["message"].isNotNull())
+    return df.withColumn("violations", failed)
 
 
 def validate_rows(df: DataFrame, row_key: str, rules: Sequence[Rule]) -> DataFrame:

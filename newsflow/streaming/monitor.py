@@ -42,9 +42,10 @@ def use_rocksdb_state(spark: SparkSession) -> None:
         "spark.sql.streaming.stateStore.providerClass",
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     )
-    spark.conf.set(
-        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true"
-    )
+    prefix = "spark.sql.streaming.stateStore.rocksdb"
+    spark.conf.set(f"{prefix}.changelogCheckpointing.enabled", "true")
+    # Counting keys costs a lookup per write and serves the progress report only.
+    spark.conf.set(f"{prefix}.trackTotalNumberOfRows", "false")
 
 
 def monitor(
@@ -115,22 +116,16 @@ def _latest_before(spark: SparkSession, path: str, batch_id: int, schema: str) -
 def top_trends_sink(path: str, n: int = TOP_TRENDS) -> BatchSink:
     """Keep the exact top n of a running counter, from changed phrases alone.
 
-    Counts only grow, so a phrase that did not change can be in the new list only if it was in
-    the old one. Each run therefore ranks the changed phrases and the n rows before them.
+    Counts only grow. So a phrase that did not change can be in the new list only if it was in
+    the old one, and a changed phrase that misses the n best changed ones is outranked by n others
+    even with its old count. One pass over the changed phrases and the n rows before is enough.
     """
 
     def sink(changed: DataFrame, batch_id: int) -> None:
-        # The update output feeds two branches; replaying state for each would be wasteful.
-        changed = changed.persist()
-        try:
-            before = _latest_before(changed.sparkSession, path, batch_id, TRENDS)
-            unchanged = F.broadcast(before).join(changed.select("phrase"), "phrase", "left_anti")
-            top = top_trends(
-                top_trends(changed.select("phrase", "cnt"), n).unionByName(unchanged), n
-            )
-            write_table(top, f"{path}/batch_id={batch_id}")
-        finally:
-            changed.unpersist()
+        before = _latest_before(changed.sparkSession, path, batch_id, TRENDS)
+        candidates = top_trends(changed.select("phrase", "cnt"), n).unionByName(before)
+        newest = candidates.groupBy("phrase").agg(F.max("cnt").alias("cnt"))
+        write_table(top_trends(newest, n), f"{path}/batch_id={batch_id}")
 
     return sink
 

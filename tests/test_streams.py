@@ -152,11 +152,11 @@ def test_monitor_sink_over_batches_restart_and_replay(spark, documents, tmp_path
     assert monitor_state(spark, root) == (store, counters)
 
 
-def test_monitor_default_trigger(spark, documents, tmp_path):
+def test_monitor_by_interval(spark, documents, tmp_path):
     land(documents, str(tmp_path / "in"), 1)
     batches = []
     stream = read_stream(spark, str(tmp_path / "in"), documents.schema)
-    query = M.monitor(stream, keep(batches), str(tmp_path / "cp"))
+    query = M.monitor(stream, keep(batches), str(tmp_path / "cp"), interval="1 second")
     try:
         query.processAllAvailable()
     finally:
