@@ -98,7 +98,7 @@ def q_validate_urls(spark, sf_dir):
     WITH e AS (SELECT event_id,
         CASE event_id % 5 WHEN 0 THEN 'http://x.example/' || event_id WHEN 1 THEN 'x/' || event_id
           WHEN 2 THEN 'gopher://x/y' WHEN 3 THEN '' END AS url,
-        CASE event_id % 4 WHEN 0 THEN '2024-01-15' WHEN 1 THEN '15/01/2024' WHEN 2 THEN ' 2024-02-30'
+        CASE event_id % 4 WHEN 0 THEN '2024-1-15' WHEN 1 THEN '15/01/2024' WHEN 2 THEN ' 2024-02-30'
           END AS day,
         CASE event_id % 3 WHEN 0 THEN '12' WHEN 1 THEN '-4' ELSE 'many' END AS amount,
         CASE event_id % 6 WHEN 0 THEN ' DESC ' WHEN 1 THEN 'up' ELSE 'asc' END AS sort_order,
@@ -108,7 +108,7 @@ def q_validate_urls(spark, sf_dir):
           WHEN 1 THEN 'invalid URL format' WHEN 2 THEN 'URL must use HTTP or HTTPS'
           WHEN 3 THEN 'URL is required' WHEN 4 THEN 'URL is required' END AS message FROM e
       UNION ALL SELECT event_id, 'day', 'date_format', CASE event_id % 4
-          WHEN 1 THEN 'no date of format yyyy-MM-dd' WHEN 2 THEN 'no date of format yyyy-MM-dd'
+          WHEN 1 THEN 'no date of format yyyy-M-d' WHEN 2 THEN 'no date of format yyyy-M-d'
           WHEN 3 THEN 'day is required' END FROM e
       UNION ALL SELECT event_id, 'amount', 'positive_int', CASE event_id % 3
           WHEN 1 THEN 'amount must be positive' WHEN 2 THEN 'amount must be an integer' END FROM e
@@ -127,7 +127,7 @@ def q_validate_rows(spark, sf_dir):
         F.when(key % 5 == 0, F.concat(F.lit("http://x.example/"), key.cast("string")))
         .when(key % 5 == 1, F.concat(F.lit("x/"), key.cast("string")))
         .when(key % 5 == 2, "gopher://x/y").when(key % 5 == 3, "").alias("url"),
-        F.when(key % 4 == 0, "2024-01-15").when(key % 4 == 1, "15/01/2024")
+        F.when(key % 4 == 0, "2024-1-15").when(key % 4 == 1, "15/01/2024")
         .when(key % 4 == 2, " 2024-02-30").alias("day"),
         F.when(key % 3 == 0, "12").when(key % 3 == 1, "-4").otherwise("many").alias("amount"),
         F.when(key % 6 == 0, " DESC ").when(key % 6 == 1, "up").otherwise("asc").alias("sort_order"),

@@ -10,6 +10,8 @@ from __future__ import annotations
 import html
 import unicodedata
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -25,9 +27,11 @@ from newsflow.fixed_values import (
     TITLE_MARKERS,
     URL_PATTERN,
 )
+from newsflow.functions.tokens import bind
 
 SPACES = r"\s\p{Z}\x1c-\x1f\x85"
 SPACE = f"[{SPACES}]"
+SPACE_CHARACTERS = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 WORD = r"[\p{L}\p{N}_]"
 _EDGE = rf"(?:(?<={WORD})(?!{WORD})|(?<!{WORD})(?={WORD}))"
 _NAMES = rf"[A-Z][a-z]+(?:{SPACE}+[A-Z][a-z]+)*"
@@ -98,8 +102,10 @@ def strip_urls(c: Column) -> Column:
 
 
 def strip_emails(c: Column) -> Column:
-    replaced = F.regexp_replace(c, _unicode_pattern(EMAIL_PATTERN), " ")
-    return F.when(c.contains("@"), replaced).otherwise(c)
+    pattern = _unicode_pattern(EMAIL_PATTERN)
+    return bind(
+        c, lambda v: F.when(v.contains("@"), F.regexp_replace(v, pattern, " ")).otherwise(v)
+    )
 
 
 def strip_phones(c: Column) -> Column:
@@ -114,7 +120,8 @@ def strip_tags(c: Column) -> Column:
 
 
 def collapse_whitespace(c: Column) -> Column:
-    return F.regexp_replace(c, f"{SPACE}+", " ")
+    """Every run of whitespace becomes one space; single spaces are not touched at all."""
+    return F.regexp_replace(c, rf"[{SPACES}&&[^ ]]{SPACE}*| {SPACE}+", " ")
 
 
 def cap_newlines(c: Column) -> Column:
@@ -123,7 +130,7 @@ def cap_newlines(c: Column) -> Column:
 
 def strip_edges(c: Column) -> Column:
     """Remove leading and trailing whitespace of any kind."""
-    return F.regexp_replace(c, rf"^{SPACE}+|{SPACE}+\z", "")
+    return F.trim(c, F.lit(SPACE_CHARACTERS))
 
 
 def clean_text(
@@ -164,12 +171,32 @@ def strip_boilerplate(c: Column, phrases: Sequence[str] | None = None) -> Column
     wanted = BOILERPLATE_PHRASES if phrases is None else list(phrases)
     if not wanted:
         return c
-    stripped = c
-    for phrase in wanted:
-        stripped = F.regexp_replace(stripped, rf"(?iu){_literal(phrase)}[^\n]*(?:\n|\z)", "\n")
-    # One scan decides whether the chain runs at all; most texts hold no phrase.
-    any_phrase = "(?iu)" + "|".join(_literal(p) for p in wanted)
-    return F.when(c.rlike(any_phrase), stripped).otherwise(c)
+
+    def strip(text: Column) -> Column:
+        stripped = text
+        for phrase in wanted:
+            stripped = F.regexp_replace(
+                stripped, rf"(?iu){_literal(phrase)}[^\n]*(?:\n|\z)", "\n"
+            )
+        return F.when(_holds_phrase(text, wanted), stripped).otherwise(text)
+
+    return bind(c, strip)
+
+
+def _holds_phrase(c: Column, phrases: Sequence[str]) -> Column:
+    """Whether any phrase may occur, so that texts without one skip the chain.
+
+    Phrases whose letters are all ASCII are looked up in a case-folded copy; ``İ`` is the one
+    letter that matches ``i`` without folding to it. Other phrases are searched as patterns.
+    """
+    plain = [p for p in phrases if all(x.isascii() or x.lower() == x.upper() for x in p)]
+    other = [_literal(p) for p in phrases if p not in plain]
+
+    def any_plain(folded: Column) -> Column:
+        return reduce(or_, [folded.contains(p.lower()) for p in plain], F.lit(False))
+
+    found = bind(F.lower(F.upper(F.replace(c, F.lit("İ"), F.lit("I")))), any_plain)
+    return found | c.rlike("(?iu)" + "|".join(other)) if other else found
 
 
 def strip_byline(c: Column) -> Column:
@@ -222,8 +249,12 @@ def clean_article(articles: DataFrame) -> DataFrame:
     if "short_description" in present:
         changes["short_description"] = clean_text(F.col("short_description"))
     if "markdown_content" in present:
+        # A projection of its own: the text is computed once, before and not again after Python.
+        articles = articles.withColumn(
+            "markdown_content", remove_boilerplate(F.col("markdown_content"))
+        )
         changes["markdown_content"] = clean_text(
-            remove_boilerplate(F.col("markdown_content")), remove_urls=False, remove_tags=False
+            F.col("markdown_content"), remove_urls=False, remove_tags=False
         )
     if "publish_time" in present:
         changes["publish_time"] = F.col("publish_time").cast("string")

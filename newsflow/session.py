@@ -14,8 +14,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Page rows are large: a batch of the default 10,000 rows could hold gigabytes of HTML.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
+    # Page rows are large: a batch of the default 10,000 rows could hold a gigabyte of HTML.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 # Largest dimension that is broadcast by hint; beyond it the planner picks a shuffled join.

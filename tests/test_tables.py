@@ -272,3 +272,17 @@ def test_store_batches_replace_themselves(spark, tmp_path):
     append_to_store(spark.createDataFrame([("b", "z", NOW)], schema), path, 1)
     assert sorted(r["title"] for r in read_store(spark, path, schema=schema).collect()) == ["y", "z"]
     assert read_store(spark, path, 1, schema).count() == 1
+
+
+@pytest.mark.parametrize(
+    ("fmt", "good", "bad"),
+    [
+        (None, ["2024-01-05", " 2024-1-5 ", "2024-02-29"], ["2023-02-29", "05/01/2024", "24-1-5", "2024-1-5 x"]),
+        ("dd/MM/yyyy HH:mm", ["05/01/2024 07:30"], ["5/1/2024 07:30", "05/13/2024 07:30"]),
+        ("d MMM yyyy", ["5 Jan 2024"], ["5 Foo 2024"]),
+    ],
+)
+def test_date_format(spark, fmt, good, bad):
+    df = spark.createDataFrame([(v,) for v in good + bad], "d string")
+    rule = Q.date_format("d", fmt) if fmt else Q.date_format("d")
+    assert names(Q.clean_rows(df, [rule]), "d") == good

@@ -36,6 +36,10 @@ GOLDEN = [
     (T.strip_boilerplate, "x\nSource: y\nz", "x\n\nz"),
     (T.strip_boilerplate, "x Image credit: y", "x Image \n"),
     (T.strip_boilerplate, "a (Copyright ©) b\r\nc", "a (\nc"),
+    (T.strip_boilerplate, "ſOURCE: a\nALL RİGHTS RESERVED b", "\n\n"),
+    (T.strip_boilerplate, "", ""),
+    (T.collapse_whitespace, " a  b \t\n c\u00a0d\u2003 e ", " a b c d e "),
+    (T.strip_edges, "\u3000\x1c\x85 a b \u00a0\n", "a b"),
     (T.strip_byline, "By John Smith\nText", "Text"),
     (T.strip_byline, "Text\nby Ann Lee Roe ", "Text"),
     (T.strip_byline, "By Trần An\nText", "By Trần An\nText"),
@@ -52,6 +56,13 @@ def test_golden(spark, change, value, expected):
     assert run(spark, [value], change) == [expected]
 
 
+def test_own_phrases(spark):
+    values = ["Đọc thêm: x\ny", "ĐỌC THÊM: x", "straẞe x", "none"]
+    got = run(spark, values, lambda c: T.strip_boilerplate(c, ["đọc thêm:", "straße"]))
+    assert got == ["\ny", "\n", "\n", "none"]
+    assert run(spark, ["Source: x"], lambda c: T.strip_boilerplate(c, [])) == ["Source: x"]
+
+
 def test_flags(spark):
     keep = dict(remove_urls=False, remove_phones=False, normalize_spaces=False, remove_tags=False)
     value = " http://a.b 2024\n\n\n\n<b>&lt;x</b>\t"
