@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -136,29 +138,37 @@ def with_default(value: Column, default) -> Column:
     return F.coalesce(value, F.lit(default))
 
 
+def _checks(rules: Sequence[Rule]) -> Column:
+    """One entry per rule; the message is null where the row meets it."""
+    return F.array(
+        *[
+            F.struct(
+                F.lit(r.field).alias("field"), F.lit(r.name).alias("rule"),
+                r.message.alias("message"),
+            ).cast(VIOLATION)
+            for r in rules
+        ]
+    )
+
+
 def with_violations(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Add ``violations``: an array with one entry per failed rule."""
-    checks = [
-        F.struct(
-            F.lit(r.field).alias("field"), F.lit(r.name).alias("rule"), r.message.alias("message")
-        ).cast(VIOLATION)
-        for r in rules
-    ]
-    failed = F.filter(F.array(*checks), lambda v: v["message"].isNotNull())
+    failed = F.filter(_checks(rules), lambda v: v["message"].isNotNull())
     return df.withColumn("violations", failed)
 
 
 def validate_rows(df: DataFrame, row_key: str, rules: Sequence[Rule]) -> DataFrame:
     """All failures as ``(row_key, field, rule, message)``."""
-    failed = with_violations(df, rules).select(
-        F.col(row_key).cast("string").alias("row_key"), F.explode("violations").alias("v")
+    checked = df.select(
+        F.col(row_key).cast("string").alias("row_key"), F.explode(_checks(rules)).alias("v")
     )
-    return failed.select("row_key", "v.field", "v.rule", "v.message")
+    return checked.select("row_key", "v.*").where(F.col("message").isNotNull())
 
 
 def clean_rows(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Rows that break no rule; a filter on the same scan instead of a join back."""
-    return with_violations(df, rules).where(F.size("violations") == 0).drop("violations")
+    broken = [r.message.isNotNull() for r in rules]
+    return df.where(~reduce(or_, broken)) if broken else df
 
 
 def in_dimension(

@@ -1,6 +1,6 @@
 """The monitoring loop as Structured Streaming queries."""
 
-from newsflow.streaming.monitor import (
+from newsflow.streaming.loop import (
     admit_in_time,
     monitor,
     monitor_sink,
