@@ -85,6 +85,7 @@ SITEMAP_SHARD_PREFIX = "post-sitemap"
 ARTICLE_RETENTION = "30d"
 MONITOR_INTERVAL = "15 minutes"
 MONITOR_WINDOW = "12h"
+ARTICLES_PER_SITE = 500
 
 # --- Site catalogue ---------------------------------------------------------------------------
 # site, sitemap_url, zero_pad, selectors as (tag, class), RSS urls

@@ -1,5 +1,11 @@
 """Compositions: from feeds and pages to clean articles."""
 
-from newsflow.plans.articles import feed_table, fetch_articles, fetch_many_sites
+from newsflow.plans.articles import (
+    feed_table,
+    fetch_articles,
+    fetch_many_sites,
+    refresh_sitemaps,
+    top_per_site,
+)
 
-__all__ = ["feed_table", "fetch_articles", "fetch_many_sites"]
+__all__ = ["feed_table", "fetch_articles", "fetch_many_sites", "refresh_sitemaps", "top_per_site"]

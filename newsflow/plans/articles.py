@@ -12,15 +12,27 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsflow.fixed_values import RSS_MAPPING
+from newsflow.fixed_values import RSS_MAPPING, SITEMAP_SHARD_PREFIX
 from newsflow.functions.text import clean_article
+from newsflow.functions.times import month_shard_url
 from newsflow.operators.articles import union_feeds
 from newsflow.operators.extract import extract_articles
 from newsflow.operators.filters import within
-from newsflow.operators.joins import attach_selectors, reuse_known, site_hosts, skip_known
+from newsflow.operators.joins import (
+    attach_selectors,
+    reuse_known,
+    site_hosts,
+    skip_known,
+    url_host,
+)
 from newsflow.operators.normalize import with_provenance
 from newsflow.operators.ranking import first_per_key, top_n, top_n_per_feed
-from newsflow.sources.feeds import classify_sources, read_rss_items, read_sitemap_urls
+from newsflow.sources.feeds import (
+    classify_sources,
+    latest_sitemap_shard,
+    read_rss_items,
+    read_sitemap_urls,
+)
 
 # A feed cut to this many rows is broadcast to the page scan.
 SMALL_FEED_ROWS = 10_000
@@ -98,6 +110,36 @@ def fetch_articles(
     return articles
 
 
+def refresh_sitemaps(
+    sites: DataFrame, as_of: datetime, index_payloads: DataFrame | None = None
+) -> DataFrame:
+    """Overrides ``(site, sitemap_url, updated_at)`` for sites whose sitemap URL moves with time.
+
+    Month-sharded URLs get the month of as_of. Numbered ones get the newest shard of the site's
+    sitemap index, given as payloads whose ``feed_source`` is the site name.
+    """
+    url = month_shard_url(F.col("sitemap_url"), as_of, F.coalesce("zero_pad", F.lit(False)))
+    moved = sites.select("site", "sitemap_url", url.alias("new_url"))
+    if index_payloads is not None:
+        newest = latest_sitemap_shard(index_payloads).withColumnRenamed("feed_source", "site")
+        numbered = F.col("sitemap_url").rlike(SITEMAP_SHARD_PREFIX + r"\d+\.xml")
+        moved = moved.join(newest, "site", "left").withColumn(
+            "new_url", F.when(numbered, F.coalesce("latest_url", "new_url")).otherwise(F.col("new_url"))
+        )
+    stamp = F.lit(as_of.isoformat(sep=" ")).cast("timestamp")
+    return moved.where(F.col("new_url") != F.col("sitemap_url")).select(
+        "site", F.col("new_url").alias("sitemap_url"), stamp.alias("updated_at")
+    )
+
+
+def top_per_site(feed: DataFrame, n: int, order: str = "desc") -> DataFrame:
+    """The n newest (or oldest) feed rows of each site, told apart by the host of the link."""
+    time = F.col("publish_time")
+    first = time.desc_nulls_last() if order == "desc" else time.asc_nulls_last()
+    hosted = feed.withColumn("_host", url_host(F.col("link")))
+    return first_per_key(hosted, ["_host"], [first, F.col("link").asc_nulls_last()], n).drop("_host")
+
+
 def fetch_many_sites(
     feeds: Mapping[str, DataFrame], pages: DataFrame, sites: DataFrame, as_of: datetime, **options
 ) -> DataFrame:

@@ -19,7 +19,7 @@ RUNTIME_SETTINGS = {
 }
 
 # Largest dimension that is broadcast by hint; beyond it the planner picks a shuffled join.
-BROADCAST_ROW_LIMIT = 100_000
+BROADCAST_ROW_LIMIT = 20_000
 
 
 def configure(spark: SparkSession) -> SparkSession:

@@ -2,6 +2,7 @@
 
 from newsflow.streaming.loop import (
     admit_in_time,
+    collection_sink,
     monitor,
     monitor_sink,
     stream_new_articles,
@@ -13,6 +14,6 @@ from newsflow.streaming.loop import (
 )
 
 __all__ = [
-    "admit_in_time", "monitor", "monitor_sink", "stream_new_articles", "stream_site_counts",
+    "admit_in_time", "collection_sink", "monitor", "monitor_sink", "stream_new_articles", "stream_site_counts",
     "stream_trending", "stream_trending_window", "top_trends_sink", "use_rocksdb_state",
 ]

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from newsflow.fixed_values import (
+    ARTICLES_PER_SITE,
     MIN_TOKEN_LENGTH,
     MONITOR_INTERVAL,
     MONITOR_WINDOW,
@@ -21,7 +22,8 @@ from newsflow.operators.aggregates import monitor_report
 from newsflow.operators.articles import new_articles, with_key_only
 from newsflow.operators.filters import within
 from newsflow.operators.trending import merge_trends, top_trends, trending
-from newsflow.schemas import TRENDS
+from newsflow.plans import feed_table, fetch_articles, top_per_site
+from newsflow.schemas import STORE, TRENDS
 from newsflow.sinks import (
     append_to_store,
     read_store,
@@ -212,6 +214,33 @@ def monitor_sink(
     return sink
 
 
+def collection_sink(
+    root: str,
+    pages: DataFrame,
+    sites: DataFrame,
+    as_of: datetime | None = None,
+    time_frame: str = MONITOR_WINDOW,
+    per_site: int = ARTICLES_PER_SITE,
+    stop: Sequence[str] | None = None,
+) -> BatchSink:
+    """A whole run on a batch of feed payloads: items in time, the newest per site, their pages,
+    then the sinks of ``monitor_sink``. Pages of stored articles are not parsed again."""
+
+    def sink(payloads: DataFrame, batch_id: int) -> None:
+        now = as_of or datetime.now(UTC).replace(tzinfo=None, microsecond=0)
+        spark = payloads.sparkSession
+        items = admit_in_time(feed_table(payloads, now), now, frame=time_frame)
+        wanted = write_table(top_per_site(items, per_site), f"{root}/feeds/batch_id={batch_id}")
+        stored = read_store(spark, f"{root}/store", batch_id, STORE).select("url")
+        articles = fetch_articles(
+            wanted, pages, sites, now, max_articles=None, time_frame=None, prior=stored
+        )
+        arrival = [F.col("feed_time"), F.col("feed_source"), F.col("title")]
+        monitor_sink(root, sites, arrival, now, stop)(articles, batch_id)
+
+    return sink
+
+
 def _up_to(spark: SparkSession, path: str, batch_id: int, schema: str) -> DataFrame:
     rows = spark.read.schema(f"{schema}, batch_id bigint").option("basePath", path).parquet(path)
     return rows.where(F.col("batch_id") <= batch_id).drop("batch_id")

@@ -7,7 +7,9 @@ from newsflow import sources as S
 from newsflow.functions import month_shard_url, parse_publish_time, parse_time_frame
 from newsflow.operators.articles import union_feeds
 from newsflow.operators.normalize import normalize_feed, standardize_columns
-from newsflow.plans import feed_table, fetch_articles, fetch_many_sites
+from newsflow.plans import (
+    feed_table, fetch_articles, fetch_many_sites, refresh_sitemaps, top_per_site,
+)
 
 RSS = (
     "<rss><channel><title>f</title>"
@@ -237,3 +239,46 @@ def test_fetch_top_and_many_sites(spark, corpus):
         {"example": feed}, pages, sites, datetime(2024, 1, 1, 12), max_articles=1, time_frame=None
     ).collect()
     assert [(r["url"], r["site_name"]) for r in out] == [("https://n.example/2", "example")]
+
+
+def test_refresh_sitemaps(spark):
+    sites = S.default_site_catalog(spark)
+    index = payloads(spark, ktsg="<i><sitemap><loc>https://t/post-sitemap160.xml</loc></sitemap></i>")
+    rows = refresh_sitemaps(sites, datetime(2026, 3, 2), index).collect()
+    assert {r["site"]: r["sitemap_url"] for r in rows} == {
+        "plo": "https://plo.vn/sitemaps/news-2026-03.xml",
+        "tuoitre": "https://tuoitre.vn/StaticSitemaps/sitemaps-2026-03.xml",
+        "baodautu": "https://baodautu.vn/sitemaps/news-2026-3.xml",
+        "ktsg": "https://t/post-sitemap160.xml",
+    }
+    assert refresh_sitemaps(sites, datetime(2025, 4, 2)).count() == 0
+
+
+def test_top_per_site(spark):
+    rows = [(f"https://{h}/{i}", datetime(2024, 1, 1, i)) for h in ("www.a.x", "b.x") for i in range(5)]
+    rows.append(("https://a.x/none", None))
+    feed = spark.createDataFrame(rows, "link string, publish_time timestamp")
+    got = sorted(r["link"] for r in top_per_site(feed, 2).collect())
+    assert got == ["https://b.x/3", "https://b.x/4", "https://www.a.x/3", "https://www.a.x/4"]
+
+
+def test_collection_run(spark, corpus, tmp_path):
+    from newsflow.sinks import read_store
+    from newsflow.streaming import collection_sink
+
+    _, pages, sites = corpus
+    sink = collection_sink(str(tmp_path), pages, sites, as_of=datetime(2024, 1, 1, 12))
+    schema = "url string, title string, collected_at timestamp"
+    sink(payloads(spark, a_rss=RSS), 0)
+    assert [r["url"] for r in read_store(spark, f"{tmp_path}/store", schema=schema).collect()] == [
+        "https://n.example/1"
+    ]
+    for _ in range(2):  # the second time is the replay of the same batch
+        sink(payloads(spark, a_rss=RSS, s_xml=SITEMAP, bad_rss="<rss"), 1)
+        rows = read_store(spark, f"{tmp_path}/store", schema=schema).orderBy("url").collect()
+        assert [(r["url"], r["title"]) for r in rows] == [
+            ("https://n.example/1", "News 1"), ("https://n.example/2", "News 2"),
+        ]
+    report = spark.read.json(f"{tmp_path}/report/batch_id=1").first()
+    assert report["latest_run"]["new_articles"] == 1
+    assert report["statistics"]["by_site"]["example"] == 2
