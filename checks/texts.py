@@ -5,12 +5,18 @@ from pyspark.sql import functions as F
 from checks.registry import check, table, texts
 from newsflow.fixed_values import BOILERPLATE_PHRASES, EMAIL_PATTERN, PHONE_PATTERN
 from newsflow.functions import text as T
-from newsflow.functions import clean_article
+from newsflow.functions import clean_article, register_sql_functions
 
 # The regex dialect of the check engine: its own whitespace class lacks the Unicode separators.
 SQL_SPACE = r"[\s\x0b\p{Z}\x1c-\x1f\x{85}]"
 
 
+SQL_KEPT_COUNT = (
+    r"len(list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}_]+'), "
+    "lambda x: length(x) >= 3))"
+)
+
+
 def sql_replace(expr: str, pattern: str, new: str, options: str = "g") -> str:
     pattern = pattern.replace("'", "''")
     return f"regexp_replace({expr}, '{pattern}', '{new}', '{options}')"
@@ -226,3 +232,20 @@ def q_clean_article(spark, sf_dir):
             F.col("text").alias("markdown_content"),
         )
     )
+
+
+@check("sql_functions", f"""
+    SELECT doc_id, {sql_clean('text')} AS cleaned, {sql_boilerplate('text')} AS stripped,
+      'Story of ' || lang AS title, text || ' & fi' AS decoded, {SQL_KEPT_COUNT} AS n_tokens
+    FROM documents""")
+def q_sql_functions(spark, sf_dir):
+    register_sql_functions(spark)
+    docs = texts(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    return spark.sql(
+        """SELECT doc_id, clean_text(text) AS cleaned, strip_boilerplate(text) AS stripped,
+             normalize_title('[Update]' || '<b>Story</b> of ' || lang || ' - n.example') AS title,
+             normalize_unicode(unescape_html(text || ' &amp; &#64257;')) AS decoded,
+             CAST(size(trend_tokens(text)) AS BIGINT) AS n_tokens
+           FROM {docs}""",
+        docs=docs,
+    )

@@ -33,6 +33,8 @@ SPACES = r"\s\p{Z}\x1c-\x1f\x85"
 SPACE = f"[{SPACES}]"
 SPACE_CHARACTERS = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 WORD = r"[\p{L}\p{N}_]"
+# The only characters a phone match can start with.
+PHONE_START = r"(?=[+(0-9])"
 _EDGE = rf"(?:(?<={WORD})(?!{WORD})|(?<!{WORD})(?={WORD}))"
 _NAMES = rf"[A-Z][a-z]+(?:{SPACE}+[A-Z][a-z]+)*"
 _DATELINE = (
@@ -41,7 +43,7 @@ _DATELINE = (
 )
 
 
-def _unicode_pattern(pattern: str) -> str:
+def unicode_pattern(pattern: str) -> str:
     """Spell out whitespace and word edges of a case-insensitive pattern."""
     return "(?iu)" + pattern.replace(r"\s", SPACES).replace(r"\b", _EDGE)
 
@@ -61,17 +63,17 @@ def _replace_characters(text: str) -> str:
 
 
 @F.arrow_udf(StringType())
-def _unescape(values: pa.Array) -> pa.Array:
+def decode_udf(values: pa.Array) -> pa.Array:
     return _to_arrow_strings(values, html.unescape)
 
 
 @F.arrow_udf(StringType())
-def _normalize(values: pa.Array) -> pa.Array:
+def normalize_udf(values: pa.Array) -> pa.Array:
     return _to_arrow_strings(values, _replace_characters)
 
 
 @F.arrow_udf(StringType())
-def _unescape_normalize(values: pa.Array) -> pa.Array:
+def decode_normalize_udf(values: pa.Array) -> pa.Array:
     return _to_arrow_strings(values, lambda v: _replace_characters(html.unescape(v)))
 
 
@@ -89,20 +91,20 @@ def _has_non_ascii(c: Column) -> Column:
 
 def unescape_html(c: Column) -> Column:
     """Decode HTML5 character references."""
-    return _where_needed(_unescape, c, _has_entity(c))
+    return _where_needed(decode_udf, c, _has_entity(c))
 
 
 def normalize_unicode(c: Column) -> Column:
     """Straighten quotes, dashes, ellipses and basic entities, then NFKC."""
-    return _where_needed(_normalize, c, _has_entity(c) | _has_non_ascii(c))
+    return _where_needed(normalize_udf, c, _has_entity(c) | _has_non_ascii(c))
 
 
 def strip_urls(c: Column) -> Column:
-    return F.regexp_replace(c, _unicode_pattern(URL_PATTERN), " ")
+    return F.regexp_replace(c, unicode_pattern(URL_PATTERN), " ")
 
 
 def strip_emails(c: Column) -> Column:
-    pattern = _unicode_pattern(EMAIL_PATTERN)
+    pattern = unicode_pattern(EMAIL_PATTERN)
     return bind(
         c, lambda v: F.when(v.contains("@"), F.regexp_replace(v, pattern, " ")).otherwise(v)
     )
@@ -111,8 +113,7 @@ def strip_emails(c: Column) -> Column:
 def strip_phones(c: Column) -> Column:
     """Blank out phone-like digit runs. Separators are optional in the pattern, so years and
     prices of three or more digits go as well."""
-    # The look-ahead names the only characters a match can start with.
-    return F.regexp_replace(c, r"(?=[+(0-9])" + _unicode_pattern(PHONE_PATTERN), " ")
+    return F.regexp_replace(c, PHONE_START + unicode_pattern(PHONE_PATTERN), " ")
 
 
 def strip_tags(c: Column) -> Column:
@@ -146,7 +147,7 @@ def clean_text(
 ) -> Column:
     """The cleaning steps in fixed order, each behind its flag; null becomes ''."""
     if decode_entities and normalize_characters:
-        c = _where_needed(_unescape_normalize, c, _has_entity(c) | _has_non_ascii(c))
+        c = _where_needed(decode_normalize_udf, c, _has_entity(c) | _has_non_ascii(c))
     elif decode_entities:
         c = unescape_html(c)
     elif normalize_characters:

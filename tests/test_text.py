@@ -144,3 +144,23 @@ def test_plain_rows_send_no_text_to_python(spark):
     # Rows without entities and beyond ASCII reach the Python step as null.
     plan = df.select(T.clean_text(F.col("c")))._jdf.queryExecution().executedPlan().toString()
     assert "ArrowEvalPython" in plan and "CASE WHEN" in plan.split("ArrowEvalPython")[1]
+
+
+SQL_NAMES = {
+    T.clean_text: "clean_text", T.strip_phones: "strip_phones", T.cap_newlines: "cap_newlines",
+    T.normalize_title: "normalize_title", T.strip_boilerplate: "strip_boilerplate",
+    T.collapse_whitespace: "collapse_whitespace", T.unescape_html: "unescape_html",
+    T.normalize_unicode: "normalize_unicode",
+}
+
+
+def test_sql_functions_equal_the_column_functions(spark):
+    from newsflow.functions import register_sql_functions
+
+    register_sql_functions(spark)
+    cases = [(SQL_NAMES[f], value, expected) for f, value, expected in GOLDEN if f in SQL_NAMES]
+    for name in sorted(set(SQL_NAMES.values())):
+        rows = [(v, e) for n, v, e in cases if n == name]
+        df = spark.createDataFrame(rows, "v string, e string")
+        got = spark.sql(f"SELECT {name}(v) AS r, e FROM {{df}}", df=df).collect()
+        assert [r["r"] for r in got] == [r["e"] for r in got], name
