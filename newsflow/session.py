@@ -22,9 +22,22 @@ RUNTIME_SETTINGS = {
 BROADCAST_ROW_LIMIT = 20_000
 
 
-def configure(spark: SparkSession) -> SparkSession:
+# Bytes per shuffle partition when the volume is known.
+SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def configure(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSession:
+    """Apply the settings; shuffle_bytes is the largest expected shuffle volume of a batch job.
+
+    Adaptive execution starts from that many partitions and merges those that stay small.
+    """
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
+    if shuffle_bytes is not None:
+        wanted = -(-shuffle_bytes // SHUFFLE_PARTITION_BYTES)
+        least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+        spark.conf.set(key, str(max(wanted, least)))
     return spark
 
 

@@ -286,3 +286,25 @@ def test_date_format(spark, fmt, good, bad):
     df = spark.createDataFrame([(v,) for v in good + bad], "d string")
     rule = Q.date_format("d", fmt) if fmt else Q.date_format("d")
     assert names(Q.clean_rows(df, [rule]), "d") == good
+
+
+def test_configure_sizes_shuffles(spark):
+    from newsflow.session import configure
+
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    configure(spark, shuffle_bytes=10 * 2**40)
+    try:
+        assert spark.conf.get(key) == str(10 * 2**40 // 2**28)
+        configure(spark, shuffle_bytes=1)
+        assert spark.conf.get(key) == spark.conf.get("spark.sql.shuffle.partitions")
+    finally:
+        spark.conf.unset(key)
+
+
+def test_work_dir_is_below_the_checkpoint_folder(spark):
+    from newsflow.session import work_dir
+
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    first, second = work_dir(spark, "a"), work_dir(spark, "a")
+    assert first != second
+    assert base is None or first.startswith(base)
