@@ -1,7 +1,7 @@
 """Joins against earlier results, the site catalogue and the store.
 
-Large sides are joined by shuffle, where adaptive execution splits a hot key of the left side. The
-right side is reduced to one row per key first, so no join can multiply rows.
+The right side is reduced to one row per key first, so no join can multiply rows. Hot keys of the
+left side are salted.
 """
 
 from __future__ import annotations
@@ -12,12 +12,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsflow.operators.ranking import first_per_key
-from newsflow.session import broadcast_checked
+from newsflow.operators.skew import hot_keys, join_dimension, join_unique
 
 
 def skip_known(feed: DataFrame, prior: DataFrame, key: str = "link") -> DataFrame:
     """Feed rows whose key has no earlier result; rows without a key stay."""
-    return feed.join(prior.select(key).distinct(), key, "left_anti")
+    return join_unique(feed, prior.select(key).distinct(), key, "left_anti")
 
 
 def reuse_known(
@@ -31,8 +31,10 @@ def reuse_known(
     """
     order = [F.col(c).asc_nulls_last() for c in prior_order or _sortable(prior, key)]
     earlier = first_per_key(prior.where(F.col(key).isNotNull()), [key], order or [F.col(key)])
-    cached = feed.select(key).join(earlier, key, "inner")
-    return cached.select(*prior.columns), skip_known(feed, prior, key)
+    hot = hot_keys(feed, key)
+    cached = join_unique(feed.select(key), earlier, key, "inner", hot)
+    new = join_unique(feed, earlier.select(key), key, "left_anti", hot)
+    return cached.select(*prior.columns), new
 
 
 def _sortable(df: DataFrame, key: str) -> list[str]:
@@ -47,7 +49,7 @@ def apply_overrides(sites: DataFrame, overrides: DataFrame) -> DataFrame:
         [F.col("updated_at").desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in changed]],
     )
     o = latest.select("site", *[F.col(c).alias(f"_new_{c}") for c in changed])
-    joined = sites.join(broadcast_checked(o), "site", "left")
+    joined = join_dimension(sites, o, "site", "left")
     return joined.select(
         *[
             F.coalesce(F.col(f"_new_{c}"), F.col(c)).alias(c) if c in changed else F.col(c)
@@ -85,9 +87,8 @@ def attach_selectors(pages: DataFrame, hosts: DataFrame, url_col: str = "url") -
 
     A page of an unknown site gets an ``error``, so that ``quarantine`` can split it off.
     """
-    joined = pages.withColumn("_host", url_host(F.col(url_col))).join(
-        broadcast_checked(hosts.withColumnRenamed("host", "_host")), "_host", "left"
-    )
+    hosted = pages.withColumn("_host", url_host(F.col(url_col)))
+    joined = join_dimension(hosted, hosts.withColumnRenamed("host", "_host"), "_host", "left")
     unknown = F.concat(F.lit("unknown site: "), F.coalesce("_host", F.lit("no host")))
     return joined.withColumn("error", F.when(F.col("site_name").isNull(), unknown)).drop("_host")
 
@@ -95,5 +96,5 @@ def attach_selectors(pages: DataFrame, hosts: DataFrame, url_col: str = "url") -
 def lookup(store: DataFrame, urls: DataFrame | Sequence[str], key: str = "url") -> DataFrame:
     """Store rows of the given URLs. A list becomes a filter that reaches the scan."""
     if isinstance(urls, DataFrame):
-        return store.join(urls.select(key).distinct(), key, "left_semi")
+        return join_unique(store, urls.select(key).distinct(), key, "left_semi")
     return store.where(F.col(key).isin(list(urls)))

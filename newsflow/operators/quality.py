@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from newsflow.functions.text import strip_edges
 from newsflow.functions.times import time_frame_seconds
+from newsflow.operators.skew import join_dimension
 from newsflow.schemas import VIOLATION
-from newsflow.session import broadcast_checked
 
 
 @dataclass(frozen=True)
@@ -176,8 +176,9 @@ def in_dimension(
 ) -> DataFrame:
     """Rows whose trimmed, lower-cased name is (or is not) in the dimension."""
     keys = dimension.select(F.col(key_col).alias("_known")).distinct()
-    match = F.lower(strip_edges(F.col(name_col))) == F.col("_known")
-    return df.join(broadcast_checked(keys), match, "left_semi" if known else "left_anti")
+    named = df.withColumn("_known", F.lower(strip_edges(F.col(name_col))))
+    matched = join_dimension(named, keys, "_known", "left_semi" if known else "left_anti")
+    return matched.select(*df.columns)
 
 
 def require_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -27,6 +27,7 @@ from newsflow.operators.joins import (
 )
 from newsflow.operators.normalize import with_provenance
 from newsflow.operators.ranking import first_per_key, top_n, top_n_per_feed
+from newsflow.operators.skew import join_unique
 from newsflow.sources.feeds import (
     classify_sources,
     latest_sitemap_shard,
@@ -56,7 +57,10 @@ def feed_table(
 def landed_pages(feed: DataFrame, pages: DataFrame, small: bool) -> DataFrame:
     """One page per distinct link of the feed; a URL landed twice counts once."""
     wanted = feed.select(F.col("link").alias("url")).where(F.col("url").isNotNull()).distinct()
-    matched = pages.join(F.broadcast(wanted) if small else wanted, "url", "left_semi")
+    if small:
+        matched = pages.join(F.broadcast(wanted), "url", "left_semi")
+    else:
+        matched = join_unique(pages, wanted, "url", "left_semi")
     return first_per_key(matched, ["url"], [F.xxhash64("html"), F.length("html")])
 
 
@@ -96,7 +100,7 @@ def fetch_articles(
         "error", F.coalesce("site_error", "error")
     ).drop("site_error")
     requests = wanted.select(F.col("link").alias("url"), "feed_source", "feed_time")
-    articles = requests.join(extracted, "url", "left").withColumn(
+    articles = join_unique(requests, extracted, "url", "left").withColumn(
         "error",
         F.when(F.col("url").isNull(), F.lit("no link"))
         .when(F.col("title").isNull() & F.col("site_name").isNull() & F.col("error").isNull(),

@@ -7,7 +7,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Applied to any session the library is handed; all can be changed at run time.
 RUNTIME_SETTINGS = {
@@ -18,7 +17,7 @@ RUNTIME_SETTINGS = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
-# Largest dimension that is broadcast by hint; beyond it the planner picks a shuffled join.
+# Largest dimension that is broadcast; beyond it the join runs by shuffle.
 BROADCAST_ROW_LIMIT = 20_000
 
 
@@ -69,8 +68,6 @@ def spread(scan: DataFrame) -> DataFrame:
     return scan.repartition(cores)
 
 
-def broadcast_checked(dimension: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Broadcast hint for a dimension whose row count was checked; unchanged when it is larger."""
-    if dimension.isStreaming or dimension.limit(max_rows + 1).count() > max_rows:
-        return dimension
-    return F.broadcast(dimension)
+def is_small(dimension: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> bool:
+    """Whether a batch table has at most max_rows rows; only broadcast what passes."""
+    return not dimension.isStreaming and dimension.limit(max_rows + 1).count() <= max_rows

@@ -167,12 +167,56 @@ def test_attach_selectors(spark):
     assert by_url["no url"]["error"] == "unknown site: no host"
 
 
-def test_large_dimension_is_not_broadcast_by_hint(spark):
-    from newsflow.session import broadcast_checked
-
-    big = spark.range(1000)
-    assert "ResolvedHint" not in broadcast_checked(big, 999)._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" in broadcast_checked(big, 1000)._jdf.queryExecution().analyzed().toString()
+def test_only_a_small_dimension_is_broadcast(spark, monkeypatch):
+    from newsflow.operators import skew
+    from newsflow.session import is_small
+
+    big = spark.range(1000).withColumnRenamed("id", "k")
+    assert is_small(big, 1000) and not is_small(big, 999)
+    left = spark.range(10).withColumnRenamed("id", "k")
+    assert "ResolvedHint" in skew.join_dimension(left, big, "k", "inner")._jdf.queryExecution().analyzed().toString()
+    monkeypatch.setattr(skew, "is_small", lambda df: False)
+    out = skew.join_dimension(left, big, "k", "inner")
+    assert "ResolvedHint" not in out._jdf.queryExecution().analyzed().toString() and out.count() == 10
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_salted_join_equals_plain_join(spark, monkeypatch, how):
+    from newsflow.operators import skew
+
+    monkeypatch.setattr(skew, "HOT_ROWS", 20)
+    monkeypatch.setattr(skew, "SAMPLE", 1.0)
+    rows = [("hot", i) for i in range(60)] + [(None, i) for i in range(30)] + [("gone", i) for i in range(25)]
+    rows += [(f"k{i}", i) for i in range(15)]
+    left = spark.createDataFrame(rows, "url string, n int").repartition(8)
+    right = spark.createDataFrame([("hot", "h"), ("k1", "a"), ("k2", "b"), ("z", "c")], "url string, v string")
+    assert set(skew.hot_keys(left, "url")) == {"hot", None, "gone"}
+    out = skew.join_unique(left, right, "url", how)
+    plain = left.join(right, "url", how)
+    assert out.columns == plain.columns
+    assert sorted(map(str, out.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_hot_key_is_spread_over_tasks(spark, monkeypatch):
+    from newsflow.operators import skew
+
+    left = spark.range(0, 4000, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("url")
+    )
+    right = spark.createDataFrame([("hot",)], "url string")
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        tasks = {}
+        for name, hot in (("plain", []), ("salted", ["hot"])):
+            joined = skew.join_unique(left, right, "url", "left_semi", hot)
+            tasks[name] = joined.groupBy(F.spark_partition_id().alias("p")).count().count()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert tasks["plain"] == 1 and tasks["salted"] > 1
 
 
 def test_validate_rows_reports_every_failure(spark):
