@@ -15,14 +15,19 @@ from newsflow.operators.ranking import first_per_key
 from newsflow.operators.skew import hot_keys, join_dimension, join_unique
 
 
-def skip_known(feed: DataFrame, prior: DataFrame, key: str = "link") -> DataFrame:
-    """Feed rows whose key has no earlier result; rows without a key stay."""
-    return join_unique(feed, prior.select(key).distinct(), key, "left_anti")
+def skip_known(
+    feed: DataFrame, prior: DataFrame, key: str = "link", hot: list | None = None
+) -> DataFrame:
+    """Feed rows whose key has no earlier result; rows without a key stay.
+
+    ``hot`` are the feed's hot keys when the caller knows them already.
+    """
+    return join_unique(feed, prior.select(key).distinct(), key, "left_anti", hot)
 
 
 def reuse_known(
     feed: DataFrame, prior: DataFrame, key: str = "link",
-    prior_order: Sequence[str] | None = None,
+    prior_order: Sequence[str] | None = None, hot: list | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Split a feed into rows answered by an earlier result and rows still to be fetched.
 
@@ -31,7 +36,7 @@ def reuse_known(
     """
     order = [F.col(c).asc_nulls_last() for c in prior_order or _sortable(prior, key)]
     earlier = first_per_key(prior.where(F.col(key).isNotNull()), [key], order or [F.col(key)])
-    hot = hot_keys(feed, key)
+    hot = hot_keys(feed, key) if hot is None else hot
     cached = join_unique(feed.select(key), earlier, key, "inner", hot)
     new = join_unique(feed, earlier.select(key), key, "left_anti", hot)
     return cached.select(*prior.columns), new
@@ -96,5 +101,6 @@ def attach_selectors(pages: DataFrame, hosts: DataFrame, url_col: str = "url") -
 def lookup(store: DataFrame, urls: DataFrame | Sequence[str], key: str = "url") -> DataFrame:
     """Store rows of the given URLs. A list becomes a filter that reaches the scan."""
     if isinstance(urls, DataFrame):
-        return join_unique(store, urls.select(key).distinct(), key, "left_semi")
+        # The store holds one row per URL, so it has no hot key.
+        return join_unique(store, urls.select(key).distinct(), key, "left_semi", hot=[])
     return store.where(F.col(key).isin(list(urls)))

@@ -27,7 +27,9 @@ from newsflow.operators.joins import (
 )
 from newsflow.operators.normalize import with_provenance
 from newsflow.operators.ranking import first_per_key, top_n, top_n_per_feed
-from newsflow.operators.skew import join_unique
+from newsflow.operators.skew import hot_keys, join_unique
+from newsflow.session import work_dir
+from newsflow.sinks import write_table
 from newsflow.sources.feeds import (
     classify_sources,
     latest_sitemap_shard,
@@ -86,13 +88,17 @@ def fetch_articles(
     small = max_articles is not None and max_articles <= SMALL_FEED_ROWS
     if max_articles is not None:
         wanted = top_n(wanted, max_articles, "publish_time", sort_order)
-    known = None
+    known, hot = None, []
+    if not small:
+        # Every later step reads the wanted rows again; payloads are parsed once for all of them.
+        wanted = write_table(wanted, work_dir(feed.sparkSession, "wanted"))
+        hot = hot_keys(wanted, "link")
     if prior is not None:
         earlier = prior.withColumn("link", F.col("url"))
         if reuse_prior:
-            known, wanted = reuse_known(wanted, earlier, prior_order=prior_order)
+            known, wanted = reuse_known(wanted, earlier, prior_order=prior_order, hot=hot)
         else:
-            wanted = skip_known(wanted, earlier)
+            wanted = skip_known(wanted, earlier, hot=hot)
     sited = attach_selectors(landed_pages(wanted, pages, small), site_hosts(sites))
     unsited = sited.select("url", F.col("site_name"), F.col("error").alias("site_error"),
                            "selectors", "html")
@@ -100,7 +106,7 @@ def fetch_articles(
         "error", F.coalesce("site_error", "error")
     ).drop("site_error")
     requests = wanted.select(F.col("link").alias("url"), "feed_source", "feed_time")
-    articles = join_unique(requests, extracted, "url", "left").withColumn(
+    articles = join_unique(requests, extracted, "url", "left", hot).withColumn(
         "error",
         F.when(F.col("url").isNull(), F.lit("no link"))
         .when(F.col("title").isNull() & F.col("site_name").isNull() & F.col("error").isNull(),
