@@ -36,6 +36,7 @@ from newsflow.sinks import (
 BatchSink = Callable[[DataFrame, int], None]
 
 DEDUP_SALTS = 16
+LAST_BATCH = 2**62
 
 
 def use_rocksdb_state(spark: SparkSession) -> None:
@@ -171,10 +172,13 @@ def monitor_sink(
     arrival: Sequence[Column],
     as_of: datetime | None = None,
     stop: Sequence[str] | None = None,
+    top_path: str | None = None,
 ) -> BatchSink:
     """Sink of one monitoring run: article table, latest and archive CSV, trends and report.
 
-    Every part is written below a folder of its batch, so a repeated batch replaces itself.
+    Every part is written below a folder of its batch, so a repeated batch replaces itself. By
+    default each run stores its phrase counts and the report adds them all up. Over a long history
+    give ``top_path``, the folder a ``top_trends_sink`` keeps current, and the report reads that.
     """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
@@ -192,8 +196,12 @@ def monitor_sink(
         write_latest(run, f"{root}/latest")
         write_archive(run, f"{root}/archive", now, batch_id)
 
-        counts = trending(fresh, ["title", "short_description"], stop=stop)
-        write_table(counts, f"{root}/trends/batch_id={batch_id}")
+        if top_path is None:
+            counts = trending(fresh, ["title", "short_description"], stop=stop)
+            write_table(counts, f"{root}/trends/batch_id={batch_id}")
+            trends = merge_trends(_up_to(spark, f"{root}/trends", batch_id, TRENDS))
+        else:
+            trends = _latest_before(spark, top_path, LAST_BATCH, TRENDS)
         # Counters need no row match: all fetched rows, and the rows that were stored as new.
         fetched = run.select("site_name", F.lit(1).alias("fetched"), F.lit(0).alias("new_articles"))
         stored = fresh.select("site_name", F.lit(0).alias("fetched"), F.lit(1).alias("new_articles"))
@@ -206,8 +214,7 @@ def monitor_sink(
         report = monitor_report(
             _up_to(spark, f"{root}/counters", batch_id, _ddl(latest)),
             read_store(spark, f"{root}/store", batch_id + 1, _ddl(fresh)),
-            merge_trends(_up_to(spark, f"{root}/trends", batch_id, TRENDS)),
-            sites, now, latest,
+            trends, sites, now, latest,
         )
         write_report(report, f"{root}/report/batch_id={batch_id}")
 

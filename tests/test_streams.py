@@ -152,6 +152,19 @@ def test_monitor_sink_over_batches_restart_and_replay(spark, documents, tmp_path
     assert monitor_state(spark, root) == (store, counters)
 
 
+def test_report_reads_a_maintained_top_list(spark, documents, tmp_path):
+    top, root = str(tmp_path / "top"), str(tmp_path / "out")
+    lists = M.top_trends_sink(top, 2)
+    lists(spark.createDataFrame([("a b", 5), ("c d", 4), ("e f", 3)], "phrase string, cnt bigint"), 0)
+    lists(spark.createDataFrame([("e f", 9)], "phrase string, cnt bigint"), 1)
+    sink = M.monitor_sink(
+        root, default_site_catalog(spark), [F.col("doc_id")], as_of=NOW, top_path=top
+    )
+    sink(documents.limit(20), 0)
+    report = spark.read.json(f"{root}/report/batch_id=0").first()
+    assert [(t["phrase"], t["count"]) for t in report["trending_topics"]] == [("e f", 9), ("a b", 5)]
+
+
 def test_monitor_by_interval(spark, documents, tmp_path):
     land(documents, str(tmp_path / "in"), 1)
     batches = []
