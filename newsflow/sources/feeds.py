@@ -80,7 +80,8 @@ def read_rss_files(
     tz_mode: str = "utc",
     stream: bool = False,
 ) -> DataFrame:
-    """Items of RSS files; the file is the feed source. Files of any size are split by item."""
+    """Items of RSS files; the file is the feed source. A file has to be one XML document: of
+    several documents put together in a file, only items of the first are read."""
     reader = spark.readStream if stream else spark.read
     schema = ",".join(f"`{tag}` array<string>" for tag in dict.fromkeys(mapping.values()))
     rows = (
@@ -105,7 +106,7 @@ def read_sitemap_urls(payloads: DataFrame) -> DataFrame:
 
 
 def read_sitemap_files(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
-    """Entries of sitemap files, split by ``<url>``."""
+    """Entries of sitemap files, one XML document per file."""
     reader = spark.readStream if stream else spark.read
     rows = (
         reader.format("xml").option("rowTag", "url")
