@@ -39,4 +39,4 @@ def test_entry(spark):
 
 def test_names():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert all(re.fullmatch(r"[a-z_]+", name) for name in entry.queries())
+    assert all(re.fullmatch(r"[a-z0-9_]+", name) for name in entry.queries())
