@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import bpe
+from newsflow.llm import bpe, rules
 from newsflow.llm.common import spread, table
 from newsflow.llm.registry import query
 
@@ -23,3 +23,48 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+OP7_SQL = """
+WITH texts AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents
+), cut AS (
+    SELECT r, doc_id, t, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w,
+        list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS l
+    FROM texts
+), windows AS (
+    SELECT r, unnest(range(1, len(w) - 3)) AS i, w FROM cut WHERE len(w) > 5
+), counted AS (
+    SELECT r, i, count(*) OVER (PARTITION BY r, array_to_string(w[i:i + 4], ' ')) AS n FROM windows
+), covered AS (
+    SELECT r, count(DISTINCT i + k) AS n_repeat_words
+    FROM counted, range(5) AS s(k) WHERE n > 1 GROUP BY r
+), measured AS (
+    SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+        length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+        len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+        len(l) AS n_lines, length(regexp_replace(t, '[^\\p{L}]', '', 'g')) AS n_letters,
+        length(regexp_replace(t, '[^\\p{Lu}]', '', 'g')) AS n_upper,
+        length(regexp_replace(t, '[^!?]', '', 'g')) AS n_marks
+    FROM cut LEFT JOIN covered USING (r)
+), judged AS (
+    SELECT *, (n_words < 10)::BIGINT + 2 * (100 * n_repeat_words > 20 * n_words)::BIGINT
+        + 4 * (100 * n_symbols > 20 * n_words)::BIGINT + 8 * (100 * n_dup_lines > 50 * n_lines)::BIGINT
+        + 16 * (100 * n_upper > 50 * n_letters)::BIGINT + 32 * (word_chars > 30 * n_words)::BIGINT
+        + 64 * (100 * n_marks > 50 * n_words)::BIGINT + 128 * (100 * n_letters < 25 * word_chars)::BIGINT
+        AS failures
+    FROM measured
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    failures & 3 != 0 AS base_failed, failures = 0 AS kept, failures
+FROM judged
+"""
+
+
+@query("op7_quality_rules", OP7_SQL)
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rules.ledger(docs).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        (~rules.passes("base")).alias("base_failed"), rules.passes("v1").alias("kept"), "failures",
+    )

@@ -1,0 +1,70 @@
+"""The ledger against plain Python."""
+
+import random
+import re
+
+from newsflow.llm import rules
+
+HOT = "one two three four five six seven"
+TEXTS = [
+    None, "", " ", "\n\n", "a", "a b c d", "a b c d e", "a b c d e a b c d e", "a a a a a a a", HOT,
+    f"{HOT}\n{HOT}\n\n \n{HOT}", "x\ny\nx\n x\n\t\n", "#*$%&|<> a", "ÀÉ é b c", "a\x0bb\x0cc\rd\te",
+    "WORD!! " * 12, "w " * 5000, "😀 é 日本 ##", " lead and trail \n", "abcdefghijklmnopqrstuvwxyzabcdefghijk",
+]
+
+
+def plain(text):
+    text = text or ""
+    words = [w for w in re.split(r"[ \t\n\x0b\f\r]+", text) if w]
+    lines = [x for x in text.split("\n") if re.search(r"[^ \t\n\x0b\f\r]", x)]
+    at = {}
+    for i in range(len(words) - 4):
+        at.setdefault(tuple(words[i : i + 5]), []).append(i)
+    covered = {i + k for found in at.values() if len(found) > 1 for i in found for k in range(5)}
+    return (
+        len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text),
+        len(lines) - len(set(lines)), len(covered),
+    )
+
+
+def rows_of(spark, texts):
+    rows = [(i, t) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "7 AS n_words", "'x' AS failures")
+    return rules.ledger(docs)
+
+
+def test_measures(spark):
+    rng = random.Random(3)
+    texts = TEXTS + [" ".join(rng.choices("abc", k=rng.randrange(40))) for _ in range(150)]
+    texts += [rng.choice([" ", "\n"]).join(rng.choices(["ab", "c", "#x", "Y!"], k=300)) for _ in range(20)]
+    got = {r.doc_id: r for r in rows_of(spark, texts).collect()}
+    assert len(got) == len(texts)
+    for i, text in enumerate(texts):
+        r = got[i]
+        mine = (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words)
+        assert mine == plain(text), repr(text)
+
+
+def test_failures_and_policies(spark):
+    texts = ["WORD!! " * 3, None, "a b c d e f g h i j k", "# " * 20 + "a b c d e f g h i j k l"]
+    out = rows_of(spark, texts).withColumn("ok", rules.passes("v1")).orderBy("doc_id").collect()
+    names = [{r.name for r in rules.RULES if x.failures >> r.bit & 1} for x in out]
+    assert names[0] == {"few_words", "upper_case", "exclamation"}
+    assert names[1] == {"few_words"} and names[2] == set() and "symbols" in names[3]
+    assert [x.ok for x in out] == [False, False, True, False]
+
+
+def test_ablation(spark):
+    texts = ["a b c d e f g h i j k", "a", "a!!", None, "A!! B!! C!!"]
+    out = {r.rule: r for r in rules.ablation(rows_of(spark, texts), "v1").collect()}
+    assert set(out) == set(rules.POLICIES["v1"])
+    few = out["few_words"]
+    assert (few.n_failed, few.n_failed_only, few.n_kept, few.n_kept_without) == (4, 2, 1, 3)
+    empty = rules.ablation(rows_of(spark, []), "base").collect()
+    assert [(r.rule, r.n_failed, r.n_kept_without) for r in empty] == [("few_words", 0, 0), ("repeated_words", 0, 0)]
+
+
+def test_duplicate_rows_and_nulls(spark):
+    docs = spark.createDataFrame([(None, "a b"), (1, "x"), (1, "x")], "doc_id long, text string")
+    assert sorted((r.doc_id or 0, r.n_words) for r in rules.ledger(docs).collect()) == [(0, 2), (1, 1), (1, 1)]
+    assert rules.ledger(docs.limit(0)).count() == 0
