@@ -28,8 +28,8 @@ SPLIT = (
 )
 # Two white-space characters in a row, or one of the separators on which libraries differ.
 UNEVEN_SPACE = re.compile(r"\s\s|[\x1c-\x1f\x85]")
-SLAB_BYTES = 16 * 2**20
-CACHED_CHUNKS = 400_000
+SLAB_BYTES = 4 * 2**20
+CACHED_CHUNKS = 100_000
 LONGEST_CACHED = 64
 
 
@@ -40,6 +40,13 @@ def byte_alphabet() -> list[str]:
     return [chr(b) if b in set(shown) else chr(next(other)) for b in range(256)]
 
 
+def ragged(flat: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The runs of flat that begin at starts, one after the other."""
+    ends = np.cumsum(counts)
+    total = int(ends[-1]) if len(ends) else 0
+    return flat[np.arange(total) + np.repeat(starts - (ends - counts), counts)]
+
+
 class Vocabulary:
     """Ids, merges by rank and added tokens of a byte-level BPE file."""
 
@@ -63,10 +70,18 @@ class Vocabulary:
         order = np.argsort(keys, kind="stable")
         self.keys, self.key_ranks = keys[order], order
         to_byte = {c: b for b, c in enumerate(alphabet)}
-        self.token_bytes = {
-            i: bytes(to_byte[c] for c in t) if all(c in to_byte for c in t) else t.encode()
-            for t, i in [*ids.items(), *self.added.items()]
-        }
+        spelled = [b""] * self.width
+        for t, i in [*ids.items(), *self.added.items()]:
+            spelled[i] = bytes(to_byte[c] for c in t) if all(c in to_byte for c in t) else t.encode()
+        self.token_sizes = np.fromiter(map(len, spelled), np.int64, self.width)
+        self.token_starts = np.cumsum(self.token_sizes) - self.token_sizes
+        self.token_bytes = np.frombuffer(b"".join(spelled), np.uint8)
+
+    def decode(self, ids: np.ndarray) -> str:
+        if len(ids) and not 0 <= ids.min() <= ids.max() < self.width:
+            raise ValueError("an id is not in the vocabulary")
+        parts = ragged(self.token_bytes, self.token_starts[ids], self.token_sizes[ids])
+        return parts.tobytes().decode("utf-8", "replace")
 
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank of each pair, -1 where there is no merge."""
@@ -238,11 +253,7 @@ class Encoder:
         return out
 
     def gather(self, chunks: np.ndarray) -> np.ndarray:
-        counts = self.counts[chunks]
-        total = int(counts.sum())
-        ends = np.cumsum(counts)
-        shift = np.repeat(self.starts[chunks] - (ends - counts), counts)
-        return self.flat[np.arange(total) + shift]
+        return ragged(self.flat, self.starts[chunks], self.counts[chunks])
 
 
 @lru_cache(maxsize=2)
@@ -268,10 +279,10 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
         worker = encoder(path)
         for slab in slabs(batches, SLAB_BYTES):
             ids = worker.encode(slab.column(1).to_pylist())
-            for start in range(0, slab.num_rows, 2000):
-                part = slab.slice(start, 2000)
+            for start in range(0, slab.num_rows, 500):
+                part = slab.slice(start, 500)
                 yield pa.record_batch(
-                    [part.column(0).combine_chunks(), lists(ids[start : start + 2000])],
+                    [part.column(0).combine_chunks(), lists(ids[start : start + 500])],
                     names=[id_col, "ids"],
                 )
 
@@ -288,11 +299,11 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = vocabulary(path).token_bytes.__getitem__
+        decoded = vocabulary(path).decode
         for batch in batches:
             texts = [
-                None if ids is None else b"".join(map(token, ids)).decode("utf-8", "replace")
-                for ids in batch.column(names.index(ids_col)).to_pylist()
+                decoded(ids.values.to_numpy(zero_copy_only=False)) if ids.is_valid else None
+                for ids in batch.column(names.index(ids_col))
             ]
             yield pa.record_batch([*batch.columns, pa.array(texts, pa.string())], names=[*names, "decoded"])
 
