@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import bpe, rules
+from newsflow.llm import bpe, rules, shards
 from newsflow.llm.common import spread, table
 from newsflow.llm.registry import query
 
@@ -68,3 +68,14 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         (~rules.passes("base")).alias("base_failed"), rules.passes("v1").alias("kept"), "failures",
     )
+
+
+@query("op3_kd_shards")
+def op3_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    size = F.log2(F.coalesce(F.octet_length("text"), F.lit(0)) + F.lit(shards.ROW_OVERHEAD))
+    dims = [size, shards.text_coordinate("source"), shards.text_coordinate("lang"), shards.number_coordinate("doc_id")]
+    return shards.assign(docs, 24, dims).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
