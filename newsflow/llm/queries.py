@@ -6,11 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import bpe, rules, shards
+from newsflow.llm import bpe, packing, rules, shards
 from newsflow.llm.common import spread, table
 from newsflow.llm.registry import query
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+CAPACITY = 2048
+END_ID = 0
 
 
 @query("op10_bpe")
@@ -79,3 +82,14 @@ def op3_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query("op4_best_fit_packing")
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return packed(docs)
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    pieces = packing.pieces(docs, WORD_BPE, CAPACITY, END_ID)
+    return packing.pack(pieces, CAPACITY, spread_by=["doc_id", "piece", "ids_crc32"])
