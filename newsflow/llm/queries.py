@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import bpe, packing, rules, shards
+from newsflow.llm import bpe, packing, rules, shards, warc
 from newsflow.llm.common import spread, table
 from newsflow.llm.registry import query
 
@@ -93,3 +93,25 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def packed(docs: DataFrame) -> DataFrame:
     pieces = packing.pieces(docs, WORD_BPE, CAPACITY, END_ID)
     return packing.pack(pieces, CAPACITY, spread_by=["doc_id", "piece", "ids_crc32"])
+
+
+OP1_SQL = """
+SELECT page_id, strlen(p) AS payload_bytes, sha1(p) AS payload_digest,
+    CASE WHEN strlen(p) >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN strlen(p) >= 1000 AND page_id <> last THEN last END AS refers_to
+FROM (SELECT page_id, coalesce(html, '') AS p, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last FROM pages)
+"""
+
+
+@query("op1_warc", OP1_SQL)
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spread(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    records = warc.read_packages(warc.write_packages(pages))
+    number = lambda c: F.expr(f"try_cast(substring_index({c}, ':', -1) AS bigint)")
+    read = F.col("payload").isNotNull()
+    return records.select(
+        number("record_id").alias("page_id"),
+        F.when(read, F.octet_length("payload")).otherwise(F.col("payload_bytes")).cast("long").alias("payload_bytes"),
+        F.when(read, F.sha1("payload")).otherwise(F.col("payload_digest")).alias("payload_digest"),
+        "record_type", number("refers_to").alias("refers_to"),
+    )
