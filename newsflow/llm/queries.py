@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import bpe, packing, rules, shards, warc
+from newsflow.llm import bpe, packing, rules, shards, vectors, warc
 from newsflow.llm.common import spread, table
 from newsflow.llm.registry import query
 
@@ -115,3 +115,31 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(read, F.sha1("payload")).otherwise(F.col("payload_digest")).alias("payload_digest"),
         "record_type", number("refers_to").alias("refers_to"),
     )
+
+
+OP6_SQL = """
+WITH RECURSIVE good AS (
+    SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS u, b.vec_id AS v FROM good a JOIN good b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.98
+), reach(id, root) AS (
+    SELECT vec_id, vec_id FROM embeddings
+    UNION
+    SELECT l.v, r.root FROM reach r JOIN links l ON l.u = r.id
+), lowest AS (
+    SELECT id, min(root) AS component_id FROM reach GROUP BY id
+), counts AS (
+    SELECT u, count(*) AS n FROM links GROUP BY u
+)
+SELECT e.vec_id, coalesce(n, 0) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e JOIN lowest ON id = e.vec_id LEFT JOIN counts ON u = e.vec_id
+"""
+
+
+@query("op6_near_vectors", OP6_SQL)
+def op6_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))

@@ -1,0 +1,90 @@
+"""Near vectors and components against brute force."""
+
+import math
+import random
+
+import numpy as np
+import pytest
+
+from newsflow.llm import vectors
+from newsflow.llm.components import components
+
+
+def roots(n, links):
+    parent = list(range(n))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        a, b = sorted((find(a), find(b)))
+        parent[b] = a
+    return [find(i) for i in range(n)]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_components(spark, seed):
+    rng = random.Random(seed)
+    n = 120
+    links = [(rng.randrange(n), rng.randrange(n)) for _ in range([40, 70, 130, 0][seed])]
+    links += [(i, i + 1) for i in range(100, 115)] + [(7, 7)] if seed else []
+    frame = spark.createDataFrame(links + [(None, 3), (4, None)], "u long, v long")
+    got = {r.id: r.component for r in components(frame).collect()}
+    root = roots(n, links)
+    least = {}
+    for i in range(n):
+        least.setdefault(root[i], i)
+    linked = {x for a, b in links if a != b for x in (a, b)}
+    assert got == {i: least[root[i]] for i in linked}
+
+
+def brute(rows):
+    ok = []
+    for i, v, label in rows:
+        good = i is not None and label is not None and v is not None and all(x is not None and math.isfinite(x) for x in v) and any(v)
+        ok.append(good)
+    links, count = [], [0] * len(rows)
+    for a in range(len(rows)):
+        for b in range(len(rows)):
+            if a != b and ok[a] and ok[b] and rows[a][2] == rows[b][2] and len(rows[a][1]) == len(rows[b][1]):
+                x, y = (np.array(rows[k][1], np.float32).astype(float) for k in (a, b))
+                if x @ y / (np.linalg.norm(x) * np.linalg.norm(y)) >= 0.98:
+                    links.append((a, b))
+                    count[a] += 1
+    root = roots(len(rows), links)
+    least = {}
+    for k, (i, _, _) in enumerate(rows):
+        if ok[k]:
+            least[root[k]] = min(least.get(root[k], i), i)
+    return sorted(
+        ((i, count[k], least[root[k]] if ok[k] else i, (least[root[k]] == i) if ok[k] else True)
+         for k, (i, _, _) in enumerate(rows)), key=str)
+
+
+def sample_rows(n, seed):
+    rng = np.random.default_rng(seed)
+    centers = rng.normal(size=(6, 8))
+    rows = []
+    for i in range(n):
+        v = centers[rng.integers(6)] + rng.normal(size=8) * rng.choice([0.05, 0.2, 1.0])
+        rows.append((i, [float(x) for x in v.astype(np.float32)], int(rng.integers(2))))
+    return rows
+
+
+@pytest.mark.parametrize("block", [2048, 16])
+def test_exact(spark, block):
+    rows = sample_rows(260, 3)
+    rows += [(1000 + i, rows[5][1], rows[5][2]) for i in range(30)]  # copies
+    rows += [(2000, [2 * x for x in rows[5][1]], rows[5][2]), (2001, rows[5][1], None), (2002, None, 1)]
+    rows += [(2003, [0.0] * 8, 1), (2004, [math.nan] * 8, 1), (2005, [math.inf] + [0.0] * 7, 1), (2006, [None] * 8, 1)]
+    rows += [(None, rows[5][1], rows[5][2]), (2007, [1.0, 2.0], 1), (2008, [1.0, 2.0], 1), (2009, [], 0), (9, rows[9][1], rows[9][2])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").selectExpr("*", "1 AS cell", "2 AS n_links")
+    out = vectors.near_vectors(frame, cell_rows=40, block_rows=block)
+    assert sorted((tuple(r) for r in out.collect()), key=str) == brute(rows)
+
+
+def test_empty(spark):
+    frame = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
+    assert vectors.near_vectors(frame).count() == 0
