@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import bpe, packing, rules, shards, vectors, warc
+from newsflow.llm import bpe, classifier, packing, rules, shards, vectors, warc
 from newsflow.llm.common import spread, table
 from newsflow.llm.registry import query
 
@@ -143,3 +143,18 @@ FROM embeddings e JOIN lowest ON id = e.vec_id LEFT JOIN counts ON u = e.vec_id
 @query("op6_near_vectors", OP6_SQL)
 def op6_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+
+
+def bad_documents(spark: SparkSession, sf_dir: str, docs: DataFrame) -> classifier.Model:
+    bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
+    return classifier.fit(docs, table(spark, sf_dir, "labels"), bad)
+
+
+@query("op9_quality_classifier")
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spread(table(spark, sf_dir, "documents"))
+    model = bad_documents(spark, sf_dir, docs)
+    rows = docs.select("doc_id", "text", "source", "lang")
+    # The text is not needed beyond the evidence.
+    judged = classifier.judge(rows, model, F.col("source"), F.col("lang"), keep=["doc_id"])
+    return judged.select("doc_id", *[F.col(f"__{c}").alias(c) for c in ("evidence", "host_rate", "path_rate", "posterior", "kept")])
