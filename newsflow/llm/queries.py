@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import bpe, classifier, packing, rules, shards, vectors, warc
+from newsflow.llm import bpe, classifier, order_minhash, packing, rules, shards, vectors, warc
 from newsflow.llm.common import spread, table
 from newsflow.llm.registry import query
 
@@ -158,3 +158,8 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The text is not needed beyond the evidence.
     judged = classifier.judge(rows, model, F.col("source"), F.col("lang"), keep=["doc_id"])
     return judged.select("doc_id", *[F.col(f"__{c}").alias(c) for c in ("evidence", "host_rate", "path_rate", "posterior", "kept")])
+
+
+@query("op5_order_minhash")
+def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.near_documents(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
