@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -76,3 +77,10 @@ def slabs(batches: Iterable[pa.RecordBatch], max_bytes: int) -> Iterator[pa.Tabl
             held, size = [], 0
     if held:
         yield pa.Table.from_batches(held)
+
+
+def freed(df: DataFrame) -> None:
+    """Let Spark delete the shuffle files of written steps: it does when the driver collects garbage,
+    which a driver with little to do puts off while the files fill the executors' disks."""
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import bpe, classifier, order_minhash, packing, rules, shards, vectors, warc
+from newsflow.llm import bpe, classifier, order_minhash, packing, rules, shards, suffixes, vectors, warc
 from newsflow.llm.common import spread, table
 from newsflow.llm.registry import query
 
@@ -163,3 +163,10 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_order_minhash")
 def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.near_documents(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+@query("op2_suffix_dedup")
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return suffixes.without_repeats(docs).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
