@@ -6,12 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import bpe, classifier, order_minhash, packing, rules, shards, suffixes, vectors, warc
+from newsflow.llm import bpe, classifier, edit_counts, order_minhash, packing, rules, shards, suffixes, vectors, warc
 from newsflow.llm.common import spread, table
 from newsflow.llm.registry import query
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 CAPACITY = 2048
 END_ID = 0
 
@@ -170,3 +171,17 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return suffixes.without_repeats(docs).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op8_edit_counts")
+def op8_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four edits per document, spread over it by hashes of its id: pieces of its own text replace others."""
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    n = F.coalesce(F.length("text"), F.lit(0))
+
+    def one(k: int) -> F.Column:
+        part = lambda salt, below: F.pmod(F.xxhash64("doc_id", F.lit(4 * k + salt)), F.greatest(below, F.lit(1)))
+        taken = F.substring("text", (part(2, n) + 1).cast("int"), part(3, F.lit(40)).cast("int"))
+        return F.struct(part(0, n + 1).alias("start"), part(1, F.lit(60)).alias("length"), taken.alias("replacement"))
+
+    return edit_counts.counted(docs, BYTE_RANKS, F.array(*[one(k) for k in range(4)]))
