@@ -245,3 +245,9 @@ def near_documents(
     lone = rows.where("id IS NULL").select("id", F.lit(None).cast("long").alias("group_id"))
     return out.union(lone).select(
         F.col("id").alias(id_col), "group_id", F.col("id").eqNullSafe(F.col("group_id")).alias("kept"))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", **options: object) -> DataFrame:
+    """The rows of docs, with all their columns, that near_documents keeps."""
+    kept = near_documents(docs, id_col, **options).where("kept").select(F.col(id_col).alias("__id")).distinct()
+    return docs.join(kept, docs[id_col].eqNullSafe(kept["__id"]), "left_semi")

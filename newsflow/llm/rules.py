@@ -142,6 +142,12 @@ def passes(policy: str, failures: str = "failures") -> Column:
     return F.col(failures).bitwiseAND(F.lit(mask(POLICIES[policy])).cast("long")) == 0
 
 
+def passing(docs: DataFrame, policy: str, text_col: str = "text") -> DataFrame:
+    """The rows of docs, with all their columns, whose texts pass a version of the policy."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col(text_col).alias("__text"))
+    return ledger(rows, "__row", "__text").where(passes(policy)).select("__row.*")
+
+
 def ablation(rows: DataFrame, policy: str, rules: list[Rule] = RULES) -> DataFrame:
     """Per rule of a policy: how many documents fail it, how many fail no other rule of the policy
     (they would be kept without it), and how many are kept with all rules and without this one.

@@ -348,13 +348,14 @@ def repeated_spans(
 
 def without_repeats(
     docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text", hot_contexts: int = 8192,
-    bucket_contexts: int = 20_000,
+    bucket_contexts: int = 20_000, as_text: bool = False,
 ) -> DataFrame:
     """The rows of docs with `n_bytes`, `n_removed`, `n_spans` (long) and `kept binary`.
 
     Every byte that a string of `length` bytes covers which also begins anywhere else, in the same text
     or another, is removed; overlaps count, and all is judged on the input. Texts are taken as UTF-8,
-    null as empty; matches never cross texts; kept may end within a character. Ids that are null or
+    null as empty; matches never cross texts. kept may begin or end within a character; with as_text it
+    is a string without the bytes of such cut characters. Ids that are null or
     repeat are allowed: such rows are numbered first, and rows equal in all columns repeat each other.
     Columns of docs with the names of the result are replaced. An empty table gives an empty result.
     """
@@ -379,12 +380,14 @@ def without_repeats(
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = [removed(t.encode(), s) for t, s in zip(batch.column(at).to_pylist(), batch.column(at + 1).to_pylist())]
-            kinds = [pa.int64()] * 3 + [pa.binary()]
+            if as_text:
+                out = [(*counts, rest.decode("utf-8", "ignore")) for *counts, rest in out]
+            kinds = [pa.int64()] * 3 + [pa.string() if as_text else pa.binary()]
             columns = [pa.array(c, k) for c, k in zip(zip(*out), kinds)] if out else [pa.array([], k) for k in kinds]
             yield pa.record_batch([*batch.columns[:at], *columns], names=[*(f.name for f in fields), *made])
 
     schema = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in fields)
-    return rest.mapInArrow(cut, f"{schema}, n_bytes long, n_removed long, n_spans long, kept binary")
+    return rest.mapInArrow(cut, f"{schema}, n_bytes long, n_removed long, n_spans long, kept {'string' if as_text else 'binary'}")
 
 
 def removed(raw: bytes, spans: list[dict] | None) -> tuple[int, int, int, bytes]:
