@@ -14,71 +14,101 @@ import zlib
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from newsflow.llm.bpe import byte_alphabet, ragged
 from newsflow.llm.common import slabs, stored, utf8
 
 SLAB_BYTES = 4 * 2**20
-CACHED_CHUNKS = 150_000
+CACHED_CHUNKS = 600_000
 LONGEST_CACHED = 64
-JOINED_CHUNKS = 256
-SPACES = re.compile("[ \n]+")
+# Characters that the normaliser only lower-cases and that every Unicode version classes alike.
+COMMON = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+# Fixed value: the split pattern of the vocabulary's file, over lower-cased common characters.
+# One word with no more than a mark behind it.
+SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
+WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 
 
 class Chunks:
-    """Token ids of texts from a `tokenizers` file that drops white space.
+    """Token ids of texts from a `tokenizers` file with word ends, lower case and no white space.
 
     Texts are cut at blanks and line ends, which no token crosses; ids of chunks seen before are
-    kept, up to a bounded number. New chunks are encoded by the library, many in one call with a
-    special token between them.
+    kept, up to a bounded number. A new chunk of common characters, on which normalisation is lower
+    case alone, is cut into words here and the library's model gives their ids; any other goes
+    through the whole library.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        added = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
-        self.marks = sorted(added)
-        self.mark, self.mark_id = (self.marks[0], added[self.marks[0]]) if added else ("", -1)
+        self.model = self.library.model
+        marks = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.marked = re.compile("|".join(map(re.escape, marks)) or "(?!)").search
+        self.letters = {chr(b): c for b, c in enumerate(byte_alphabet())}
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[str, np.ndarray] = {"": np.empty(0, np.uint32)}
-
-    def whole(self, text: str) -> np.ndarray:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
+        self.index: dict[str, int] = {"": 0}
+        self.words: dict[str, list[int]] = {}
+        self.flat = np.empty(0, np.uint32)
+        self.starts = np.zeros(1, np.int64)
+        self.counts = np.zeros(1, np.int64)
+
+    def word(self, word: str) -> list[int]:
+        ids = self.words.get(word)
+        if ids is None:
+            spelled = word if word.isascii() else "".join(map(self.letters.__getitem__, word.encode().decode("latin-1")))
+            ids = [t.id for t in self.model.tokenize(spelled)]
+            if len(word) <= LONGEST_CACHED:
+                self.words[word] = ids
+        return ids
+
+    def ids_of(self, chunk: str) -> list[int]:
+        if simple := SIMPLE.fullmatch(chunk):
+            word, end = simple.groups()
+            return self.word(word.lower()) + self.word(end) if end else self.word(word.lower())
+        if COMMON.fullmatch(chunk) and not self.marked(chunk):
+            return [i for w in WORDS.findall(chunk.lower()) for i in self.word(w)]
+        return self.library.encode(chunk, add_special_tokens=False).ids
 
     def learn(self, new: list[str]) -> None:
-        joint = [c for c in new if self.mark and not any(m in c for m in self.marks)]
-        for start in range(0, len(joint), JOINED_CHUNKS):
-            part = joint[start : start + JOINED_CHUNKS]
-            text = f" {self.mark} ".join(part)
-            ids = np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
-            cuts = np.flatnonzero(ids == self.mark_id)
-            found = np.split(ids, cuts)
-            self.known[part[0]] = found[0]
-            for chunk, own in zip(part[1:], found[1:]):
-                self.known[chunk] = own[1:].copy()
-        for chunk in new:
-            if chunk not in self.known:
-                self.known[chunk] = self.whole(chunk)
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.known) > CACHED_CHUNKS:
+        found = [self.ids_of(chunk) for chunk in new]
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        ends = np.cumsum(counts)
+        self.starts = np.concatenate((self.starts, len(self.flat) + ends - counts))
+        self.counts = np.concatenate((self.counts, counts))
+        self.flat = np.concatenate((self.flat, np.fromiter(chain.from_iterable(found), np.uint32, int(counts.sum()))))
+        at = len(self.counts) - len(new)
+        self.index.update(zip(new, range(at, at + len(new))))
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text. Arrow cuts the texts and numbers the distinct chunks of the slab."""
+        if max(len(self.counts), len(self.words), len(self.flat) // 8) > CACHED_CHUNKS:
             self.clear()
-        cut = [SPACES.split(text) for text in texts]
-        new = {c for chunks in cut for c in chunks if c not in self.known}
+        cut = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        bounds = cut.offsets.to_numpy()
+        numbered = cut.flatten().dictionary_encode()
+        distinct = numbered.dictionary.to_pylist()
+        new = [chunk for chunk in distinct if chunk not in self.index]
         if new:
-            self.learn(sorted(new))
-        of = self.known.__getitem__
-        out = [np.concatenate(list(map(of, chunks))) for chunks in cut]
-        for chunk in [c for c in new if len(c) > LONGEST_CACHED]:
-            del self.known[chunk]
-        return out
+            self.learn(new)
+        known = np.fromiter(map(self.index.__getitem__, distinct), np.int64, len(distinct))
+        at = known[numbered.indices.to_numpy()]
+        counts = self.counts[at]
+        ids = ragged(self.flat, self.starts[at], counts)
+        ends = np.concatenate(([0], np.cumsum(counts)))[bounds - bounds[0]]
+        for chunk in new:
+            if len(chunk) > LONGEST_CACHED:
+                del self.index[chunk]
+        return [ids[a:b] for a, b in zip(ends.tolist(), ends[1:].tolist())]
 
 
 @lru_cache(maxsize=2)
@@ -103,7 +133,7 @@ def pieces(
         worker = chunks(path)
         for slab in slabs(batches, SLAB_BYTES):
             owner, piece, start, length, crc, kept = [], [], [], [], [], []
-            for i, ids in enumerate(worker.encode(slab.column(1).to_pylist())):
+            for i, ids in enumerate(worker.encode(slab.column(1).combine_chunks())):
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                 for k, at in enumerate(range(0, len(ids), capacity)):
                     part = ids[at : at + capacity]

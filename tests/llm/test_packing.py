@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -32,7 +33,7 @@ def test_ids(library):
     parts = ["the", "The", " ", "\n", "'s", "9", "é", "!", "<|endoftext|>", "\t", "thing", "'", "ll", "́"]
     texts = HARD + ["".join(rng.choices(parts, k=rng.randrange(25))) for _ in range(1500)]
     for _ in range(2):
-        for text, ids in zip(texts, worker.encode(texts)):
+        for text, ids in zip(texts, worker.encode(pa.array(texts))):
             assert ids.tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
