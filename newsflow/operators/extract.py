@@ -39,8 +39,21 @@ def _map_pages(
     outputs: Sequence[str],
     per_page: Callable[..., tuple],
     extra_col: str | None = None,
+    on_failure: Callable[[str | None, Exception], tuple] | None = None,
 ) -> DataFrame:
-    """Replace the HTML (and extra) column by string columns computed from each page."""
+    """Replace the HTML (and extra) column by string columns computed from each page.
+
+    A page that can't be processed gives the row of on_failure, so it stays a matter of its own.
+    """
+
+    def computed(*values) -> tuple:
+        try:
+            return per_page(*values)
+        except Exception as failure:  # noqa: BLE001
+            if on_failure is None:
+                return (values[0],) * len(outputs)
+            return on_failure(values[0], failure)
+
     used = {html_col, extra_col}
     kept = [f for f in pages.schema.fields if f.name not in used | set(outputs)]
     kept_names = [f.name for f in kept]
@@ -54,7 +67,7 @@ def _map_pages(
                 inputs = [part.column(html_col).to_pylist()]
                 if extra_col:
                     inputs.append(part.column(extra_col).to_pylist())
-                rows = [per_page(*values) for values in zip(*inputs)]
+                rows = [computed(*values) for values in zip(*inputs)]
                 columns = [pa.array([r[i] for r in rows], pa.string()) for i in range(count)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(n) for n in kept_names] + columns, names=[*kept_names, *outputs]
@@ -98,16 +111,17 @@ def extract_articles(
     selectors_col: str = "selectors",
     with_markdown: bool = True,
 ) -> DataFrame:
-    """Title, summary, time, author and Markdown of each page, and an error where it failed.
+    """Title, summary, time, author and Markdown of each page.
 
+    ``content_error`` says why there is no Markdown; ``error`` is set only where nothing was read.
     Selectors are given once for all pages or, per page, by the column ``attach_selectors`` adds.
     """
     fields = ["title", "short_description", "publish_time", "author"]
-    outputs = [*fields, *(["markdown_content"] if with_markdown else []), "error"]
+    outputs = [*fields, *(["markdown_content", "content_error"] if with_markdown else []), "error"]
+    blank = [None] * (len(outputs) - 1)
     names = ["title_selector", "short_desc_selector", "publish_time_selector", "author_selector"]
 
     def per_page(html, page_selectors=None):
-        blank = [None] * (len(outputs) - 1)
         chosen = selectors if selectors is not None else dict(page_selectors or ())
         if html is None:
             return (*blank, "page has no html")
@@ -117,10 +131,16 @@ def extract_articles(
         row = [_field(root, chosen.get(name)) for name in names]
         if not with_markdown:
             return (*row, None)
-        return (*row, *_article_markdown(root, chosen.get("content_selector"), True, True))
+        text, failed = _article_markdown(root, chosen.get("content_selector"), True, True)
+        read = any(value is not None for value in (*row, text))
+        return (*row, text, failed, None if read else failed)
 
     extra = None if selectors is not None else selectors_col
-    return _map_pages(pages, html_col, outputs, per_page, extra)
+    return _map_pages(pages, html_col, outputs, per_page, extra, lambda _, e: (*blank, _unreadable(e)))
+
+
+def _unreadable(failure: Exception) -> str:
+    return f"page not readable: {type(failure).__name__}"
 
 
 def _main_content(html: str, selectors: Sequence[Selector]) -> str:
@@ -160,7 +180,10 @@ def to_markdown(
             return None, "page has no html"
         return _article_markdown(parse(html), selector, retain_links, retain_images)
 
-    return _map_pages(pages, html_col, ["markdown_content", "error"], per_page)
+    return _map_pages(
+        pages, html_col, ["markdown_content", "error"], per_page,
+        on_failure=lambda _, e: (None, _unreadable(e)),
+    )
 
 
 def _clean(html, drop_tags, keep_tags, drop_attrs, keep_attrs, drop_classes, drop_ids) -> str:

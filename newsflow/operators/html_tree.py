@@ -77,6 +77,10 @@ class _Builder(HTMLParser):
     def handle_comment(self, data):
         self.open[-1].children.append(Comment(f"<!--{data}-->"))
 
+    def parse_marked_section(self, i, report=1):
+        # A page has no marked sections; what looks like one is a comment up to the next bracket.
+        return self.parse_bogus_comment(i)
+
     def handle_decl(self, decl):
         self.open[-1].children.append(Markup(f"<!{decl}>"))
 

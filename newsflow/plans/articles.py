@@ -37,6 +37,8 @@ from newsflow.sources.feeds import (
     read_sitemap_urls,
 )
 
+# The error of a wanted row whose page has not landed yet.
+NOT_LANDED = "page not landed"
 # A feed cut to this many rows is broadcast to the page scan.
 SMALL_FEED_ROWS = 10_000
 
@@ -105,12 +107,13 @@ def fetch_articles(
     extracted = extract_articles(unsited).withColumn(
         "error", F.coalesce("site_error", "error")
     ).drop("site_error")
-    requests = wanted.select(F.col("link").alias("url"), "feed_source", "feed_time")
+    ranks = [c for c in ("pos", "_asked") if c in wanted.columns]
+    requests = wanted.select(F.col("link").alias("url"), "feed_source", "feed_time", *ranks)
     articles = join_unique(requests, extracted, "url", "left", hot).withColumn(
         "error",
         F.when(F.col("url").isNull(), F.lit("no link"))
         .when(F.col("title").isNull() & F.col("site_name").isNull() & F.col("error").isNull(),
-              F.lit("page not landed"))
+              F.lit(NOT_LANDED))
         .otherwise(F.col("error")),
     )
     if clean_content:

@@ -12,7 +12,7 @@ ARTICLES = (
     "url string, title string, short_description string, publish_time string, author string, "
     "markdown_content string, feed_source string, feed_time timestamp, site_name string, error string"
 )
-STORE = ARTICLES + ", collected_at timestamp"
+STORE = ARTICLES + ", content_error string, collected_at timestamp"
 SITES = (
     "site string, sitemap_url string, zero_pad boolean, "
     f"config {SELECTOR_MAP}, rss struct<urls:array<string>,mapping:map<string,string>>"

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from datetime import UTC, datetime
+from datetime import UTC, datetime, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,10 +20,11 @@ from newsflow.fixed_values import (
 )
 from newsflow.operators.aggregates import monitor_report
 from newsflow.operators.articles import new_articles, with_key_only
-from newsflow.operators.filters import within
+from newsflow.operators.filters import ok_rows, quarantine, within
 from newsflow.operators.trending import merge_trends, top_trends, trending
-from newsflow.plans import feed_table, fetch_articles, top_per_site
-from newsflow.schemas import STORE, TRENDS
+from newsflow.operators.skew import join_unique
+from newsflow.plans import NOT_LANDED, feed_table, fetch_articles, top_per_site
+from newsflow.schemas import FEED, STORE, TRENDS
 from newsflow.sinks import (
     append_to_store,
     read_store,
@@ -32,6 +33,7 @@ from newsflow.sinks import (
     write_report,
     write_table,
 )
+from newsflow.sources.catalog import read_pages
 
 BatchSink = Callable[[DataFrame, int], None]
 
@@ -103,6 +105,16 @@ def stream_trending(
     return trending(stream, text_cols, ngram_range, stop, min_len)
 
 
+def _batch_before(spark: SparkSession, path: str, batch_id: int, schema: str) -> DataFrame:
+    """Rows that the batch just before this one wrote below path."""
+    try:
+        return spark.read.schema(schema).parquet(f"{path}/batch_id={batch_id - 1}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def _latest_before(spark: SparkSession, path: str, batch_id: int, schema: str) -> DataFrame:
     """Rows of the newest earlier batch below path, none if there is no earlier one."""
     try:
@@ -176,7 +188,8 @@ def monitor_sink(
 ) -> BatchSink:
     """Sink of one monitoring run: article table, latest and archive CSV, trends and report.
 
-    Every part is written below a folder of its batch, so a repeated batch replaces itself. By
+    Every part is written below a folder of its batch, so a repeated batch replaces itself. Rows with
+    an error go to the table ``quarantine`` alone, so the CSVs hold articles only. By
     default each run stores its phrase counts and the report adds them all up. Over a long history
     give ``top_path``, the folder a ``top_trends_sink`` keeps current, and the report reads that.
     """
@@ -184,17 +197,20 @@ def monitor_sink(
     def sink(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         now = as_of or datetime.now(UTC).replace(tzinfo=None, microsecond=0)
-        stamp = F.lit(now.isoformat(sep=" ")).cast("timestamp")
+        stamp = _stamp(now)
         run = write_table(batch, f"{root}/runs/batch_id={batch_id}")
-        good = run.where(F.col("error").isNull()) if "error" in run.columns else run
+        good = run
+        if "error" in run.columns:
+            good = ok_rows(run)
+            write_table(quarantine(run), f"{root}/quarantine/batch_id={batch_id}")
 
         stamped = good.withColumn("collected_at", stamp)
         seen = read_store(spark, f"{root}/store", batch_id, _ddl(stamped))
         fresh = append_to_store(
             new_articles(stamped, seen, arrival), f"{root}/store", batch_id
         )
-        write_latest(run, f"{root}/latest")
-        write_archive(run, f"{root}/archive", now, batch_id)
+        write_latest(good, f"{root}/latest")
+        write_archive(good, f"{root}/archive", now, batch_id)
 
         if top_path is None:
             counts = trending(fresh, ["title", "short_description"], stop=stop)
@@ -223,31 +239,55 @@ def monitor_sink(
 
 def collection_sink(
     root: str,
-    pages: DataFrame,
+    pages: Callable[[SparkSession], DataFrame] | str | DataFrame,
     sites: DataFrame,
     as_of: datetime | None = None,
     time_frame: str = MONITOR_WINDOW,
     per_site: int = ARTICLES_PER_SITE,
     stop: Sequence[str] | None = None,
+    top_path: str | None = None,
+    retry_for: timedelta = timedelta(days=1),
 ) -> BatchSink:
     """A whole run on a batch of feed payloads: items in time, the newest per site, their pages,
-    then the sinks of ``monitor_sink``. Pages of stored articles are not parsed again."""
+    then the sinks of ``monitor_sink``. Pages of stored articles are not parsed again.
+
+    ``pages`` is a folder or a function that reads it, asked anew in every run, so pages that land
+    after the start are seen; a DataFrame stands for the files it was made from. Items whose page has
+    not landed are asked for again by the next runs, for ``retry_for`` after their first run, and then
+    go to quarantine.
+    """
 
     def sink(payloads: DataFrame, batch_id: int) -> None:
         now = as_of or datetime.now(UTC).replace(tzinfo=None, microsecond=0)
         spark = payloads.sparkSession
+        landed = pages
+        if not isinstance(pages, DataFrame):
+            landed = read_pages(spark, pages) if isinstance(pages, str) else pages(spark)
         items = admit_in_time(feed_table(payloads, now), now, frame=time_frame)
-        wanted = write_table(top_per_site(items, per_site), f"{root}/feeds/batch_id={batch_id}")
+        asked = top_per_site(items, per_site).withColumn("_asked", _stamp(now))
+        asked = asked.unionByName(_batch_before(spark, f"{root}/retry", batch_id, f"{FEED}, _asked timestamp"))
+        wanted = write_table(asked, f"{root}/feeds/batch_id={batch_id}")
         stored = read_store(spark, f"{root}/store", batch_id, STORE).select("url")
-        articles = fetch_articles(
-            wanted, pages, sites, now, max_articles=None, time_frame=None, prior=stored
+        fetched = write_table(
+            fetch_articles(wanted, landed, sites, now, max_articles=None, time_frame=None, prior=stored),
+            f"{root}/fetched/batch_id={batch_id}",
         )
-        arrival = [F.col("feed_time"), F.col("feed_source"), F.col("title")]
-        monitor_sink(root, sites, arrival, now, stop)(articles, batch_id)
+        waiting = F.coalesce(F.col("error") == NOT_LANDED, F.lit(False)) & (
+            F.col("_asked") > _stamp(now - retry_for))
+        missing = fetched.where(waiting).select(F.col("url").alias("link")).distinct()
+        write_table(
+            join_unique(wanted, missing, "link", "left_semi", []), f"{root}/retry/batch_id={batch_id}")
+        arrival = [F.col(c) for c in ("feed_time", "feed_source", "pos", "title")]
+        articles = fetched.where(~waiting).drop("_asked")
+        monitor_sink(root, sites, arrival, now, stop, top_path)(articles, batch_id)
 
     return sink
 
 
+def _stamp(moment: datetime) -> Column:
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp")
+
+
 def _up_to(spark: SparkSession, path: str, batch_id: int, schema: str) -> DataFrame:
     rows = spark.read.schema(f"{schema}, batch_id bigint").option("basePath", path).parquet(path)
     return rows.where(F.col("batch_id") <= batch_id).drop("batch_id")

@@ -62,11 +62,11 @@ def test_extract_articles(spark):
     rows = E.extract_articles(pages(spark, PAGE, None, "<p>x</p>"), SELECTORS).orderBy("url").collect()
     assert rows[0].asDict() == {
         "url": "u0", "title": "Tt", "short_description": "first", "publish_time": "1/2",
-        "author": None, "markdown_content": "## H\n\ntext", "error": None,
+        "author": None, "markdown_content": "## H\n\ntext", "content_error": None, "error": None,
     }
     assert rows[1]["error"] == "page has no html" and rows[1]["title"] is None
-    assert rows[2]["error"] == "content not found with the given selector"
-    assert rows[2]["short_description"] == "x" and rows[2]["markdown_content"] is None
+    assert rows[2]["content_error"] == "content not found with the given selector"
+    assert rows[2]["error"] is None and rows[2]["short_description"] == "x" and rows[2]["markdown_content"] is None
 
 
 def test_selectors_per_page(spark):
@@ -159,3 +159,17 @@ def test_page_pass_reads_only_what_it_needs(spark, sf_dir):
     plan = E.extract_main_content(df)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<url:string,html:string>" in plan
     assert plan.count("MapInArrow") == 1
+
+
+def test_broken_markup_stays_with_its_page(spark):
+    broken = ["<![foo[x]]>" + PAGE, '<!["x]>' + PAGE, "<![CDATA[y]]>" + PAGE, "<!" + PAGE, "<a b=\"c"]
+    rows = E.extract_articles(pages(spark, *broken), SELECTORS).orderBy("url").collect()
+    assert [r["title"] for r in rows[:3]] == ["Tt"] * 3 and all(r["error"] is None for r in rows[:3])
+    assert len(rows) == 5
+
+
+def test_a_failure_is_a_row(spark, monkeypatch):
+    def fail(html):
+        raise RecursionError
+
+    assert E._map_pages(pages(spark, "x", None), "html", ["a", "b"], fail, None, lambda h, e: (h, type(e).__name__)).collect()[0]["b"] == "RecursionError"
