@@ -281,19 +281,21 @@ def q_with_provenance(spark, sf_dir):
 SQL_SECOND = "strftime(date_trunc('second', ts) {}, '%Y-%m-%d %H:%M:%S')"
 
 
+SQL_MINUTE = "strftime(date_trunc('minute', ts), '%Y-%m-%d %H:%M:%S')"
+SQL_DAY = "strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S')"
+
+
 @check("parse_publish_time", f"""
-    SELECT event_id, CASE event_id % 8
-        WHEN 0 THEN {SQL_SECOND.format('- INTERVAL 7 HOUR')}
-        WHEN 1 THEN {SQL_SECOND.format('')}
-        WHEN 2 THEN strftime(date_trunc('minute', ts), '%Y-%m-%d %H:%M:%S')
-        WHEN 3 THEN {SQL_SECOND.format('+ INTERVAL 210 MINUTE')}
-        WHEN 4 THEN {SQL_SECOND.format('')}
-        WHEN 5 THEN strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S')
-        WHEN 6 THEN {SQL_SECOND.format('')} END AS utc,
-      CASE event_id % 8
-        WHEN 2 THEN strftime(date_trunc('minute', ts), '%Y-%m-%d %H:%M:%S')
-        WHEN 5 THEN strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S')
-        WHEN 7 THEN NULL ELSE {SQL_SECOND.format('')} END AS wallclock
+    SELECT event_id, CASE
+        WHEN event_id % 16 IN (0, 9, 15) THEN {SQL_SECOND.format('- INTERVAL 7 HOUR')}
+        WHEN event_id % 16 IN (1, 4, 6, 11, 13) THEN {SQL_SECOND.format('')}
+        WHEN event_id % 16 IN (2, 12, 14) THEN {SQL_MINUTE}
+        WHEN event_id % 16 = 3 THEN {SQL_SECOND.format('+ INTERVAL 210 MINUTE')}
+        WHEN event_id % 16 = 8 THEN {SQL_SECOND.format('+ INTERVAL 5 HOUR')}
+        WHEN event_id % 16 IN (5, 10) THEN {SQL_DAY} END AS utc,
+      CASE WHEN event_id % 16 IN (2, 12, 14) THEN {SQL_MINUTE}
+        WHEN event_id % 16 IN (5, 10) THEN {SQL_DAY}
+        WHEN event_id % 16 = 7 THEN NULL ELSE {SQL_SECOND.format('')} END AS wallclock
     FROM events""")
 def q_parse_publish_time(spark, sf_dir):
     ts = F.col("ts").cast("timestamp")
@@ -306,8 +308,16 @@ def q_parse_publish_time(spark, sf_dir):
         F.date_format(ts, "yyyy-MM-dd"),
         F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'"),
         F.concat(F.lit("posted "), F.date_format(ts, "dd MMM")),
+        F.date_format(ts, "EEEE, d MMM yy H:mm:ss 'EST'"),
+        F.date_format(ts, "dd MMM yyyy HH:mm:ss 'GMT+7'"),
+        F.date_format(ts, "d MMMM yyyy"),
+        F.date_format(ts, "yyyy/MM/dd H:mm:ss"),
+        F.date_format(ts, "MMMM d, yyyy HH:mm"),
+        F.date_format(ts, "d/M/yyyy h:mm:ss a"),
+        F.date_format(ts, "dd-MM-yyyy HH:mm"),
+        F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'+07'"),
     ]
-    text = F.coalesce(*[F.when(F.col("event_id") % 8 == i, f) for i, f in enumerate(forms)])
+    text = F.coalesce(*[F.when(F.col("event_id") % 16 == i, f) for i, f in enumerate(forms)])
     return texts(spark, sf_dir, "events", "event_id", "ts").select(
         "event_id",
         stamp(parse_publish_time(text)).alias("utc"),

@@ -8,8 +8,10 @@ import re
 from newsflow.operators.html_tree import RAW, Element, Markup
 
 _BLOCKS = frozenset(
-    "p div section article header footer main aside figure figcaption table tr ul ol".split()
+    "p div section article header footer main aside figure figcaption table dl ul ol".split()
 )
+# Elements whose white space is no text.
+_ROWS = frozenset("table thead tbody tfoot tr dl".split())
 _INLINE = {
     "strong": "**", "b": "**", "em": "_", "i": "_", "u": "_", "code": "`",
     "del": "~~", "s": "~~", "strike": "~~",
@@ -37,6 +39,10 @@ def _opening(element: Element, lists: list, links: bool, images: bool) -> str:
         return "\n" + "  " * max(len(lists), 1) + mark
     if tag in ("ul", "ol") and len(lists) > 1:
         return ""
+    if tag in ("tr", "dt"):
+        return "\n"
+    if tag == "dd":
+        return "\n    "
     return "\n\n" if tag in _BLOCKS else _INLINE.get(tag, "")
 
 
@@ -67,6 +73,7 @@ def to_markdown_text(root: Element, links: bool = True, images: bool = True) ->
     # The wrapper lets the root element be opened and closed like any other.
     stack: list = [(Element(""), iter([root]))]
     in_pre = 0
+    begun: set[int] = set()  # rows of tables that have a cell
     while stack:
         element, children = stack[-1]
         child = next(children, None)
@@ -86,6 +93,10 @@ def to_markdown_text(root: Element, links: bool = True, images: bool = True) ->
         elif isinstance(child, Element):
             if child.tag in RAW:
                 continue
+            if child.tag in ("td", "th"):
+                if id(element) in begun:
+                    pieces[-1].append(" | ")
+                begun.add(id(element))
             if child.tag in ("ul", "ol"):
                 lists.append([child.tag, 0])
             if child.tag in ("pre", "blockquote"):
@@ -95,6 +106,8 @@ def to_markdown_text(root: Element, links: bool = True, images: bool = True) ->
                 pieces[-1].append(_opening(child, lists, links, images))
             stack.append((child, iter(child.children)))
         elif not isinstance(child, Markup):
+            if element.tag in _ROWS and not child.strip():
+                continue
             text = child if in_pre else re.sub(r"\s+", " ", child)
             at_line_start = pieces[-1] and pieces[-1][-1].endswith("\n")
             pieces[-1].append(text.lstrip(" ") if at_line_start and not in_pre else text)

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Up to this rank Spark cuts each group inside the map tasks, before the shuffle.
-MAP_SIDE_RANK_LIMIT = 1000
+# Groups of input splits that are ranked before a key's rows meet.
+MIDDLE_GROUPS = 256
 
 
 def sort_by_time(
@@ -46,9 +46,9 @@ def first_per_key(
 ) -> DataFrame:
     """The first n rows of every key in the given order.
 
-    The rank filter is pushed below the shuffle, so a key that holds a third of all rows sends at
-    most n rows per map task. Beyond the rank Spark pushes down, a first round ranks every key
-    within each input split.
+    The rank filter is pushed below the shuffle (``configure`` lifts Spark's limit on n), so every
+    map task sends at most n rows of a key. For n > 1 the rows of a key then meet in MIDDLE_GROUPS
+    groups of splits first, so the last task of a key that is everywhere gets MIDDLE_GROUPS * n rows.
     """
     def ranked(rows: DataFrame, by: Sequence) -> DataFrame:
         window = Window.partitionBy(*by).orderBy(*order)
@@ -58,9 +58,9 @@ def first_per_key(
             .drop("_rank")
         )
 
-    if n > MAP_SIDE_RANK_LIMIT:
-        df = df.withColumn("_split", F.spark_partition_id())
-        df = ranked(df, [*keys, "_split"]).drop("_split")
+    if n > 1:
+        df = df.withColumn("_group", F.spark_partition_id() % MIDDLE_GROUPS)
+        df = ranked(df, [*keys, "_group"]).drop("_group")
     return ranked(df, list(keys))
 
 

@@ -13,6 +13,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Ranks of any size are cut inside the map tasks.
+    "spark.sql.optimizer.windowGroupLimitThreshold": str(2**31 - 1),
     # Page rows are large: a batch of the default 10,000 rows could hold a gigabyte of HTML.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }

@@ -11,9 +11,6 @@ from newsflow.functions.text import strip_edges
 from newsflow.functions.tokens import NON_WORD_RUN
 from newsflow.schemas import ARTICLES, PAGES, SITE_OVERRIDES, SITES
 
-# Stop words become a literal set in the plan; a longer list is refused, not cut.
-STOP_WORD_LIMIT = 20_000
-
 
 def default_site_catalog(spark: SparkSession) -> DataFrame:
     """The built-in sites as a table of the declared schema."""
@@ -64,13 +61,9 @@ def stopword_table(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_stopwords(spark: SparkSession, path: str) -> list[str]:
-    """The single-token stop words, ready for ``filter_tokens``."""
-    words = stopword_table(spark, path).where(~F.col("multi_word")).select("word")
-    rows = words.limit(STOP_WORD_LIMIT + 1).collect()
-    if len(rows) > STOP_WORD_LIMIT:
-        raise ValueError(f"more than {STOP_WORD_LIMIT} stop words in {path}")
-    return sorted(row["word"] for row in rows)
+def read_stopwords(spark: SparkSession, path: str) -> DataFrame:
+    """The single-token stop words ``(word)``, for ``without_stopwords``."""
+    return stopword_table(spark, path).where(~F.col("multi_word")).select("word")
 
 
 def read_pages(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:

@@ -18,7 +18,7 @@ from newsflow.fixed_values import (
     NGRAM_SIZES,
     TOP_TRENDS,
 )
-from newsflow.operators.aggregates import monitor_report
+from newsflow.operators.aggregates import monitor_report, site_report
 from newsflow.operators.articles import new_articles, with_key_only
 from newsflow.operators.filters import ok_rows, quarantine, within
 from newsflow.operators.trending import merge_trends, top_trends, trending
@@ -227,12 +227,14 @@ def monitor_sink(
             ),
             f"{root}/counters/batch_id={batch_id}",
         )
+        counters = _up_to(spark, f"{root}/counters", batch_id, _ddl(latest))
         report = monitor_report(
-            _up_to(spark, f"{root}/counters", batch_id, _ddl(latest)),
+            counters,
             read_store(spark, f"{root}/store", batch_id + 1, _ddl(fresh)),
             trends, sites, now, latest,
         )
         write_report(report, f"{root}/report/batch_id={batch_id}")
+        write_table(site_report(counters, sites), f"{root}/report_sites/batch_id={batch_id}")
 
     return sink
 

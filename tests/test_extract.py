@@ -173,3 +173,9 @@ def test_a_failure_is_a_row(spark, monkeypatch):
         raise RecursionError
 
     assert E._map_pages(pages(spark, "x", None), "html", ["a", "b"], fail, None, lambda h, e: (h, type(e).__name__)).collect()[0]["b"] == "RecursionError"
+
+
+def test_tables_and_definitions_in_markdown():
+    table = "<table><tr><th>a</th> <th>b</th></tr>\n<tr><td>FPT</td><td>120</td><td>3.5%</td></tr></table>x"
+    assert to_markdown_text(parse(table)) == "a | b\nFPT | 120 | 3.5%\n\nx"
+    assert to_markdown_text(parse("<dl><dt>k</dt><dd>v</dd></dl>")) == "k\n    v"

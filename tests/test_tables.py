@@ -97,12 +97,13 @@ def test_first_per_key(spark, n):
 
 
 def test_hot_keys_are_cut_in_the_map_tasks(spark):
-    df = spark.range(100).select((F.col("id") % 2).alias("feed_source"), F.col("id").alias("pos"))
-    text = plan(R.top_n_per_feed(df, 5))
-    limits = [line for line in text.splitlines() if "WindowGroupLimit" in line or "Exchange" in line]
-    assert [("Final" in x, "Exchange" in x, "Partial" in x) for x in limits] == [
-        (True, False, False), (False, True, False), (False, False, True),
-    ]
+    df = spark.range(100_000).select((F.col("id") % 2).alias("feed_source"), F.col("id").alias("pos"))
+    once = [(True, False, False), (False, True, False), (False, False, True)]
+    # Any n is cut in the map task; the rows left meet in groups of splits, then per key.
+    for n in (5, 5000):
+        text = plan(R.top_n_per_feed(df, n))
+        limits = [line for line in text.splitlines() if "WindowGroupLimit" in line or "Exchange" in line]
+        assert [("Final" in x, "Exchange" in x, "Partial" in x) for x in limits] == once * 2
 
 
 def test_new_articles_is_idempotent(spark):
