@@ -220,17 +220,18 @@ def q_feed_errors(spark, sf_dir):
     return feed_errors(kinds).select("feed_source", "error")
 
 
-@check("rss_description", """
-    SELECT doc_id, text || ' & more' AS text, text || chr(10) || chr(10) || '**more**' AS markdown,
-      '<p>' || text || '</p>' AS html
-    FROM documents WHERE NOT regexp_matches(text, '[<>&]')""".replace(
-        "text || chr(10) || chr(10) || '**more**' AS markdown", """
-      trim(regexp_replace(text, '[\\s\\x0b\\p{Z}\\x1c-\\x1f\\x{85}]+', ' ', 'g'))
-        || chr(10) || chr(10) || '**more** [a](/b)' AS markdown"""))
+SQL_ESCAPED = "replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+
+
+@check("rss_description", f"""
+    SELECT doc_id, text || ' & more' AS text,
+      trim(regexp_replace(text, '[\\s\\x0b\\p{{Z}}\\x1c-\\x1f\\x{{85}}]+', ' ', 'g'))
+        || chr(10) || chr(10) || '**more** [a](/b)' AS markdown,
+      '<p>' || {SQL_ESCAPED} || '</p>' AS html
+    FROM documents""")
 def q_rss_description(spark, sf_dir):
     docs = texts(spark, sf_dir, "documents", "doc_id", "text")
-    docs = docs.where(~F.col("text").rlike("[<>&]"))
-    body = F.concat(F.lit("<p>"), "text", F.lit("</p>"))
+    body = F.concat(F.lit("<p>"), xml_escape(F.col("text")), F.lit("</p>"))
     return docs.select(
         "doc_id",
         rss_description(F.concat(body, F.lit(" &amp; <i>more</i>"))).alias("text"),

@@ -99,15 +99,17 @@ SQL_SITES = """
         WHEN k < 2 THEN base || 'sitemap.xml' ELSE '' END AS sitemap_url
     FROM ({SQL_SITES}) s JOIN nation n ON n.n_name = s.site LEFT JOIN
       (SELECT s_nationkey, max(s_suppkey) AS last FROM supplier
-       WHERE s_nationkey % 2 = 0 GROUP BY s_nationkey) o ON o.s_nationkey = n.n_nationkey""")
+       GROUP BY s_nationkey) o ON o.s_nationkey = n.n_nationkey AND n.n_nationkey % 2 = 0""")
 def q_apply_overrides(spark, sf_dir):
     key = F.col("s_suppkey")
     names = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     overrides = (
-        table(spark, sf_dir, "supplier").where("s_nationkey % 2 = 0")
+        table(spark, sf_dir, "supplier")
         .join(names, F.col("s_nationkey") == F.col("n_nationkey"))
         .select(
-            F.col("n_name").alias("site"),
+            # Every second site's overrides name a site that the catalogue does not have.
+            F.when(F.col("n_nationkey") % 2 == 0, F.col("n_name"))
+            .otherwise(F.concat(F.lit("other "), "n_name")).alias("site"),
             F.concat(F.lit("https://new.example/"), key.cast("string")).alias("sitemap_url"),
             F.timestamp_seconds(key).alias("updated_at"),
         )
@@ -207,12 +209,12 @@ def q_new_articles(spark, sf_dir):
       SELECT url, max(doc_id) AS doc_id, '2024-02-01 00:00:00' AS collected_at FROM c
       WHERE doc_id % 3 = 0 GROUP BY url),
     store AS (SELECT url, min(doc_id) AS doc_id, '2024-01-01 00:00:00' AS collected_at FROM c
-      WHERE doc_id % 2 = 0 GROUP BY url)
+      WHERE doc_id % 3 <> 0 GROUP BY url)
     SELECT * FROM batch UNION ALL SELECT * FROM store WHERE url NOT IN (SELECT url FROM batch)""")
 def q_upsert_articles(spark, sf_dir):
     articles = content_articles(spark, sf_dir)
     store = (
-        articles.where("doc_id % 2 = 0").groupBy("url").agg(F.min("doc_id").alias("doc_id"))
+        articles.where("doc_id % 3 <> 0").groupBy("url").agg(F.min("doc_id").alias("doc_id"))
         .withColumn("collected_at", F.lit("2024-01-01").cast("timestamp"))
     )
     batch = articles.where("doc_id % 3 = 0")

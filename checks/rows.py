@@ -142,10 +142,11 @@ def q_validate_rows(spark, sf_dir):
 
 @check("known_sites", """
     SELECT doc_id, upper(source) || ' ' AS site FROM documents
-    WHERE source IN (SELECT 'src' || n_nationkey FROM nation WHERE n_regionkey < 3)""")
+    WHERE source IN (SELECT CASE WHEN n_regionkey < 3 THEN 'src' ELSE 'other' END || n_nationkey FROM nation)""")
 def q_known_sites(spark, sf_dir):
-    sites = table(spark, sf_dir, "nation").where("n_regionkey < 3").select(
-        F.concat(F.lit("src"), F.col("n_nationkey").cast("string")).alias("site")
+    prefix = F.when(F.col("n_regionkey") < 3, "src").otherwise("other")
+    sites = table(spark, sf_dir, "nation").select(
+        F.concat(prefix, F.col("n_nationkey").cast("string")).alias("site")
     )
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", F.concat(F.upper("source"), F.lit(" ")).alias("site")

@@ -6,10 +6,14 @@ A payload that is no well-formed XML, or has no rows of its kind, yields no item
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
+from html.entities import html5
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from newsflow.fixed_values import RSS_MAPPING, SITEMAP_SHARD_PREFIX
 from newsflow.functions.text import strip_edges
@@ -17,6 +21,9 @@ from newsflow.functions.times import parse_publish_time
 from newsflow.schemas import PAYLOADS
 
 _SITEMAP_TYPE = "url array<struct<loc:array<string>,lastmod:array<string>>>"
+# A named character reference other than the five of XML.
+_HTML_NAME = r"&(?!amp;|lt;|gt;|quot;|apos;)([A-Za-z][A-Za-z0-9]*);"
+_OUTSIDE_CDATA = re.compile(r"<!\[CDATA\[.*?\]\]>|" + _HTML_NAME, re.DOTALL)
 _INDEX_TYPE = "sitemap array<struct<loc:array<string>>>"
 
 
@@ -31,10 +38,26 @@ def _tag_list(mapping: Mapping[str, str]) -> str:
     return ",".join(f"`{tag}`:array<string>" for tag in dict.fromkeys(mapping.values()))
 
 
+@F.arrow_udf(T.StringType())
+def _spelled_out(payloads: pa.Array) -> pa.Array:
+    """References to characters that XML does not know by name, as the characters themselves."""
+    def character(match: re.Match) -> str:
+        return match[0] if match[1] is None else html5.get(f"{match[1]};", match[0])
+
+    return pa.array(
+        [None if p is None else _OUTSIDE_CDATA.sub(character, p) for p in payloads.to_pylist()], pa.string())
+
+
+def _readable(payload: Column) -> Column:
+    """The payload without HTML names that XML parsers refuse; only payloads with one go to Python."""
+    named = payload.rlike(_HTML_NAME)
+    return F.coalesce(_spelled_out(F.when(named, payload)), payload)
+
+
 def _rss_document(payload: Column, mapping: Mapping[str, str]) -> Column:
     # RSS 2.0 keeps items inside the channel, RSS 1.0 beside it.
     item = f"array<struct<{_tag_list(mapping)}>>"
-    return F.from_xml(payload, f"channel struct<item:{item}>, item {item}")
+    return F.from_xml(_readable(payload), f"channel struct<item:{item}>, item {item}")
 
 
 def _first_text(tag: Column) -> Column:

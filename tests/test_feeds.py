@@ -283,3 +283,11 @@ def test_collection_run(spark, corpus, tmp_path):
     report = spark.read.json(f"{tmp_path}/report/batch_id=1").first()
     assert report["latest_run"]["new_articles"] == 1
     assert report["statistics"]["by_site"]["example"] == 2
+
+
+def test_html_names_do_not_lose_a_feed(spark):
+    payload = ("<rss><channel><item><title>A&nbsp;B &eacute; &amp; &nosuch</title><link>u</link>"
+               "<description><![CDATA[x&nbsp;<b>y</b>]]></description></item></channel></rss>")
+    df = spark.createDataFrame([("f", payload.replace(" &nosuch", ""))], "feed_source string, payload string")
+    row = S.read_rss_items(df, description_format="html").first()
+    assert row["title"] == "A\u00a0B é &" and row["description"] == "x&nbsp;<b>y</b>"
