@@ -39,8 +39,6 @@ from newsflow.sources.feeds import (
 
 # The error of a wanted row whose page has not landed yet.
 NOT_LANDED = "page not landed"
-# A feed cut to this many rows is broadcast to the page scan.
-SMALL_FEED_ROWS = 10_000
 
 
 def feed_table(
@@ -58,14 +56,13 @@ def feed_table(
     return feed if per_feed is None else top_n_per_feed(feed, per_feed)
 
 
-def landed_pages(feed: DataFrame, pages: DataFrame, small: bool) -> DataFrame:
-    """One page per distinct link of the feed; a URL landed twice counts once."""
+def landed_pages(feed: DataFrame, pages: DataFrame) -> DataFrame:
+    """One page per distinct link of the feed: of a URL landed twice the newest by ``landed_at``, where
+    pages have that column. Spark broadcasts the links where they are few."""
     wanted = feed.select(F.col("link").alias("url")).where(F.col("url").isNotNull()).distinct()
-    if small:
-        matched = pages.join(F.broadcast(wanted), "url", "left_semi")
-    else:
-        matched = join_unique(pages, wanted, "url", "left_semi")
-    return first_per_key(matched, ["url"], [F.xxhash64("html"), F.length("html")])
+    matched = pages.join(wanted, "url", "left_semi")
+    newest = [F.col("landed_at").desc_nulls_last()] if "landed_at" in pages.columns else []
+    return first_per_key(matched, ["url"], [*newest, F.xxhash64("html"), F.length("html")])
 
 
 def fetch_articles(
@@ -87,21 +84,18 @@ def fetch_articles(
     front of the newly extracted ones.
     """
     wanted = feed if time_frame is None else within(feed, "publish_time", time_frame, as_of)
-    small = max_articles is not None and max_articles <= SMALL_FEED_ROWS
     if max_articles is not None:
         wanted = top_n(wanted, max_articles, "publish_time", sort_order)
-    known, hot = None, []
-    if not small:
-        # Every later step reads the wanted rows again; payloads are parsed once for all of them.
-        wanted = write_table(wanted, work_dir(feed.sparkSession, "wanted"))
-        hot = hot_keys(wanted, "link")
+    # Every later step reads the wanted rows again; payloads are parsed once for all of them.
+    wanted = write_table(wanted, work_dir(feed.sparkSession, "wanted"))
+    known, hot = None, hot_keys(wanted, "link")
     if prior is not None:
         earlier = prior.withColumn("link", F.col("url"))
         if reuse_prior:
             known, wanted = reuse_known(wanted, earlier, prior_order=prior_order, hot=hot)
         else:
             wanted = skip_known(wanted, earlier, hot=hot)
-    sited = attach_selectors(landed_pages(wanted, pages, small), site_hosts(sites))
+    sited = attach_selectors(landed_pages(wanted, pages), site_hosts(sites))
     unsited = sited.select("url", F.col("site_name"), F.col("error").alias("site_error"),
                            "selectors", "html")
     extracted = extract_articles(unsited).withColumn(
