@@ -8,21 +8,31 @@ from pyspark.sql import functions as F
 from newsflow.llm.common import stored
 
 
-def state(edges: DataFrame) -> tuple:
-    """Equal before and after a round only where nothing changed (row count and a hash sum)."""
-    digest = F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))
-    return tuple(edges.agg(F.count("*"), digest).first())
+def lowest(edges: DataFrame) -> DataFrame:
+    """The smallest neighbour of each u, a partial aggregate."""
+    return edges.groupBy("u").agg(F.min("v").alias("low"))
 
 
-def star(edges: DataFrame, keep: F.Column) -> DataFrame:
-    """Link the neighbours of each vertex that `keep` names to its smallest neighbour or itself.
+def large_star(edges: DataFrame) -> DataFrame:
+    """Larger neighbours of each vertex go to its smallest neighbour, or to itself."""
+    both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    joined = both.join(lowest(both), "u").where("v > u")
+    return joined.select(F.col("v").alias("u"), F.least("u", "low").alias("v"))
 
-    The smallest neighbour is found by a partial aggregate and joined back, so a vertex with very
-    many links is no single task (adaptive execution splits it in the join).
-    """
-    least = edges.groupBy("u").agg(F.min("v").alias("low")).select("u", F.least("u", "low").alias("low"))
-    linked = edges.join(least, "u").where(keep).select(F.col("v").alias("u"), F.col("low").alias("v"))
-    return linked.where("u <> v")
+
+def small_star(edges: DataFrame) -> DataFrame:
+    """The smaller neighbours of each vertex, and the vertex itself, go to the smallest of them."""
+    least = lowest(edges)
+    others = edges.join(least, "u").where("v <> low").select(F.col("v").alias("u"), F.col("low").alias("v"))
+    return others.union(least.select("u", F.col("low").alias("v")))
+
+
+def all_stars(edges: DataFrame) -> bool:
+    """Whether every u has one v, and no v is a u: then each v is its component's smallest id."""
+    ends = edges.select(F.col("u").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+        edges.select("v", F.lit(0), F.lit(1)))
+    seen = ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return seen.where("up > 1 OR (up = 1 AND down = 1)").limit(1).count() == 0
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -31,20 +41,12 @@ def components(links: DataFrame) -> DataFrame:
     Both directions are the same link; links of an id to itself or with a null, and repeated links
     count for nothing. An empty table gives no rows; ids without links are not in the result. Every
     round is written to the shared folder, and the number of rounds grows with the logarithm of the
-    largest component's width.
+    largest component's width. Smallest neighbours are joined back, so a vertex with very many links
+    is no single task.
     """
     edges = links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     edges = stored(edges, "links")
-    before = state(edges)
-    while before[0]:
-        both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = star(both, F.col("v") > F.col("u")).distinct()
-        # Small star: each id's smaller neighbours, and the id itself, go to the smallest of them.
-        own = large.select("u", "v").union(large.select("u", F.col("u").alias("v")).distinct())
-        edges = stored(star(own, F.lit(True)).distinct(), "links")
-        after = state(edges)
-        if after == before:
-            break
-        before = after
+    while not all_stars(edges):
+        edges = stored(small_star(large_star(edges)).distinct(), "links")
     roots = edges.select(F.col("v").alias("id")).distinct().select("id", F.col("id").alias("component"))
-    return edges.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("id"), "component").union(roots)
+    return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).union(roots)

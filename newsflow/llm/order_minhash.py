@@ -192,7 +192,9 @@ def candidates(classes: DataFrame, least_shared: int) -> DataFrame:
     """
     dealt = classes.select("id", F.explode("keys").alias("key"))
     heads = dealt.groupBy("key").agg(F.min("id").alias("b"), F.count("*").alias("n")).where("n > 1")
-    pairs = dealt.join(heads.select("key", "b"), "key").where("id <> b")
+    # Written, so that both sides of the join come straight from a shuffle and a hot key is split.
+    heads = stored(heads.select("key", "b"), "bucket-heads")
+    pairs = dealt.join(heads, "key").where("id <> b")
     return pairs.groupBy(F.col("id").alias("a"), "b").agg(F.count("*").alias("n")).where(F.col("n") >= least_shared)
 
 
@@ -211,7 +213,7 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
 def near_documents(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", spec: Sketch = Sketch(), percent: int = 80,
-    least_shared: int = 2,
+    least_shared: int = 1,
 ) -> DataFrame:
     """Per document: id, `group_id long` (the smallest id of its near-duplicates) and `kept boolean`.
 

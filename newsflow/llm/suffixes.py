@@ -322,7 +322,8 @@ def repeated_spans(
     instead, with the same result. Others meet in buckets of about bucket_contexts.
     """
     found = found_anchors(texts, length)
-    twice = found.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g")
+    # Written, so that both sides of the join come straight from a shuffle and a hot gram is split.
+    twice = stored(found.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g"), "grams")
     shared = stored(found.join(twice, "g", "left_semi"), "anchors")
     freed(texts)
     kinds = ["g", "c1", "c2"]
