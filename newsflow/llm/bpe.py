@@ -28,7 +28,7 @@ SPLIT = (
 )
 # Two white-space characters in a row, or one of the separators on which libraries differ.
 UNEVEN_SPACE = re.compile(r"\s\s|[\x1c-\x1f\x85]")
-SLAB_BYTES = 4 * 2**20
+SLAB_BYTES = 2 * 2**20
 CACHED_CHUNKS = 100_000
 LONGEST_CACHED = 64
 
@@ -236,20 +236,21 @@ class Encoder:
         self.starts = np.concatenate((self.starts, begin + ends - counts))
         self.counts = np.concatenate((self.counts, counts))
         self.flat = np.concatenate((self.flat, ids))
-        at = len(self.index)
+        at = len(self.counts) - len(new)
         self.index.update(zip(new, range(at, at + len(new))))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
-        if len(self.index) > CACHED_CHUNKS:
+        if max(len(self.counts), len(self.flat) // 8) > CACHED_CHUNKS:
             self.clear()
         cut = [self.pieces(text) for text in texts]
         new = {chunk for chunks in cut for chunk in chunks if chunk not in self.index}
         if new:
             self.learn(sorted(new))
         out = [self.gather(np.fromiter(map(self.index.__getitem__, c), np.int64, len(c))) for c in cut]
-        if any(len(chunk) > LONGEST_CACHED for chunk in new):
-            self.clear()
+        for chunk in new:
+            if len(chunk) > LONGEST_CACHED:
+                del self.index[chunk]
         return out
 
     def gather(self, chunks: np.ndarray) -> np.ndarray:
