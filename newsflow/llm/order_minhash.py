@@ -3,7 +3,9 @@
 Every k-mer of words carries its occurrence number in the text. For each of many hash functions the
 few k-mers with the smallest values are kept in the order of the text; two documents agree in such a
 tuple about as often as their edit similarity is high. Documents that share tuples with the smallest
-document of a bucket are candidates, and a banded alignment of their words decides.
+document of a bucket are candidates, and a banded alignment of their words decides. The other documents
+of a bucket are compared with each other where those links leave them in different groups; lengths and
+counts of hashed words, which rule out no link, drop most of these pairs before the alignment.
 """
 
 from __future__ import annotations
@@ -24,6 +26,10 @@ from newsflow.llm.components import components
 EDGE = ".,;:!?\"'()[]{}*_-#$%&|<>"
 CACHED_WORDS = 200_000
 FAR = np.uint64(2**64 - 1)
+# Hashed words are counted in so many bins of a byte each.
+BINS = 256
+# A bucket's documents are compared with each other in blocks of about this many.
+BLOCK_ROWS = 512
 
 
 @dataclass(frozen=True)
@@ -84,9 +90,16 @@ class Sketcher:
         number[order] = (index - np.maximum.accumulate(np.where(first, index, 0))).astype(np.uint64)
         return np.where(number > 0, mixed(grams + number * self.steps[0]), grams)
 
+    def bins(self, words: np.ndarray) -> bytes:
+        """How many words fall into each bin; full bins stay at 255."""
+        counts = np.bincount((words >> np.uint64(32)).astype(np.int64) % BINS, minlength=BINS)
+        return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
     def keys(self, text: str) -> np.ndarray | None:
         """The bucket of each tuple; none for a text without words."""
-        words = self.word_hashes(text)
+        return self.keys_of(self.word_hashes(text))
+
+    def keys_of(self, words: np.ndarray) -> np.ndarray | None:
         if not len(words):
             return None
         labels = self.labelled(words)
@@ -172,32 +185,91 @@ def alike(a: str, b: str, percent: int) -> bool:
 
 
 def sketched(rows: DataFrame, spec: Sketch) -> DataFrame:
-    """`digest, id, keys` per row of `id, digest, text`."""
+    """`digest, id, keys, n_words, bins` per row of `id, digest, text`."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker = Sketcher(spec)
         for batch in batches:
-            keys = [worker.keys(t) for t in batch.column(2).to_pylist()]
+            words = [worker.word_hashes(t) for t in batch.column(2).to_pylist()]
             yield pa.record_batch(
-                [batch.column(1), batch.column(0), pa.array(keys, pa.list_(pa.int64()))], names=["digest", "id", "keys"])
+                [batch.column(1), batch.column(0), pa.array([worker.keys_of(w) for w in words], pa.list_(pa.int64())),
+                 pa.array([len(w) for w in words], pa.int64()), pa.array([worker.bins(w) for w in words], pa.binary())],
+                names=["digest", "id", "keys", "n_words", "bins"])
+
+    return rows.mapInArrow(run, "digest binary, id long, keys array<long>, n_words long, bins binary")
+
 
-    return rows.mapInArrow(run, "digest binary, id long, keys array<long>")
+def bucket_heads(classes: DataFrame) -> DataFrame:
+    """`key, b, n`: buckets of two documents or more with the smallest of them."""
+    dealt = classes.select("id", F.explode("keys").alias("key"))
+    heads = dealt.groupBy("key").agg(F.min("id").alias("b"), F.count("*").alias("n")).where("n > 1")
+    # Written, so that both sides of the join come straight from a shuffle and a hot key is split.
+    return stored(heads, "bucket-heads")
 
 
-def candidates(classes: DataFrame, least_shared: int) -> DataFrame:
+def candidates(classes: DataFrame, heads: DataFrame, least_shared: int) -> DataFrame:
     """`a, b`: documents that share at least least_shared buckets with b, the smallest one in them.
 
     A bucket gives one pair for each of its documents and not all pairs, so very common tuples
     stay linear. Its smallest id is a partial aggregate that is joined back.
     """
     dealt = classes.select("id", F.explode("keys").alias("key"))
-    heads = dealt.groupBy("key").agg(F.min("id").alias("b"), F.count("*").alias("n")).where("n > 1")
-    # Written, so that both sides of the join come straight from a shuffle and a hot key is split.
-    heads = stored(heads.select("key", "b"), "bucket-heads")
-    pairs = dealt.join(heads, "key").where("id <> b")
+    pairs = dealt.join(heads.select("key", "b"), "key").where("id <> b")
     return pairs.groupBy(F.col("id").alias("a"), "b").agg(F.count("*").alias("n")).where(F.col("n") >= least_shared)
 
 
+def possible(batch: pa.Table, percent: int) -> pa.Table:
+    """`a, b` of a block's documents in different groups whose lengths and bins leave them room to be alike."""
+    ids, n, component, own, part = (batch.column(c).to_numpy() for c in ("id", "n_words", "component", "own", "part"))
+    bins = np.frombuffer(b"".join(batch.column("bins").to_pylist()), np.uint8).reshape(-1, BINS)
+    # A full bin counts as one that holds all words.
+    room = bins.astype(np.int64).sum(axis=1) < n
+    first, second = batch.column("i")[0].as_py(), batch.column("j")[0].as_py()
+    rest = np.flatnonzero(part == second)
+    found_a, found_b = [], []
+    for x in np.flatnonzero((part == first)):
+        y = rest[rest > x] if first == second else rest
+        y = y[(component[y] != component[x]) & (own[y] | own[x])]
+        longest = np.maximum(n[y], n[x])
+        least = longest - longest * (100 - percent) // 100
+        fits = np.minimum(n[y], n[x]) >= least
+        y, least = y[fits], least[fits]
+        if not len(y):
+            continue
+        shared = np.minimum(bins[y], bins[x]).sum(axis=1, dtype=np.int64)
+        y = y[(shared >= least) | room[y] | room[x]]
+        found_a.append(np.maximum(ids[y], ids[x]))
+        found_b.append(np.minimum(ids[y], ids[x]))
+    none = [np.empty(0, np.int64)]
+    return pa.table({"a": np.concatenate(found_a or none), "b": np.concatenate(found_b or none)})
+
+
+def others(classes: DataFrame, heads: DataFrame, reach: DataFrame, percent: int) -> DataFrame:
+    """`a, b`: documents that share a bucket, are in different groups of reach, neither the bucket's smallest.
+
+    Only pairs whose lengths and bins allow the similarity are given. Documents of a bucket meet those of
+    their own and the next class of length, in blocks, so a bucket of very many is dealt over many tasks.
+    """
+    dealt = classes.select("id", F.explode("keys").alias("key"))
+    members = dealt.join(heads.where("n > 2").select("key", "b"), "key").where("id <> b").select("key", "id").distinct()
+    members = stored(members.join(reach, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component")), "bucket-members")
+    mixed_keys = members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    members = members.join(stored(mixed_keys.select("key"), "mixed-buckets"), "key")
+    sizes = classes.select("id", "n_words", F.floor(F.log(101 / max(percent, 1), "n_words")).alias("class"))
+    placed = members.join(sizes, "id").select("key", "id", "component", "class", F.explode(F.array("class", F.col("class") - 1)).alias("cell"))
+    placed = stored(placed, "bucket-cells")
+    cells = placed.groupBy("key", "cell").agg(F.count("*").alias("size"), F.max(F.col("class") == F.col("cell")).alias("any"))
+    cells = stored(cells.where("any AND size > 1").select("key", "cell", F.ceil(F.col("size") / BLOCK_ROWS).alias("parts")), "cells")
+    dealt = placed.join(cells, ["key", "cell"]).withColumn("part", F.pmod(F.xxhash64("id"), "parts"))
+    dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    dealt = dealt.select(
+        "key", "cell", F.least("part", "with").alias("i"), F.greatest("part", "with").alias("j"), "part", "id", "component",
+        (F.col("class") == F.col("cell")).alias("own"))
+    blocks = stored(dealt, "bucket-blocks").join(classes.select("id", "n_words", "bins"), "id")
+    found = blocks.groupBy("key", "cell", "i", "j").applyInArrow(lambda t: possible(t, percent), "a long, b long")
+    return found.distinct()
+
+
 def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs whose texts are alike. texts: `id, text`, for all ids of the pairs."""
     left = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("x")), "a")
@@ -218,8 +290,9 @@ def near_documents(
     """Per document: id, `group_id long` (the smallest id of its near-duplicates) and `kept boolean`.
 
     Equal texts are always one group and are compared once. Others link if they share least_shared
-    tuples with a bucket's smallest document and the edit similarity of their words, one minus the
-    distance by the longer length, is at least percent; groups are the connected documents. Words are
+    tuples with a bucket's smallest document, or any tuple with each other, and the edit similarity of
+    their words, one minus the distance by the longer length, is at least percent; groups are the
+    connected documents. Words are
     lower-cased and lose the punctuation around them. Null texts are empty ones; texts without words
     link only with equal texts, texts of fewer than k words only with equal words. Rows without an id
     are kept and in no group; rows that repeat an id are one document, so all of them are kept or
@@ -228,13 +301,20 @@ def near_documents(
     text = utf8(text_col)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.unhex(F.sha2(text, 256)).alias("digest"), text.alias("text"))
     classes = sketched(rows.where("id IS NOT NULL"), spec)
-    classes = classes.groupBy("digest").agg(F.min("id").alias("id"), F.first("keys").alias("keys"))
+    classes = classes.groupBy("digest").agg(
+        F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("keys", "n_words", "bins")])
     classes = stored(classes, "sketches")
-    pairs = stored(candidates(classes, least_shared).select("a", "b"), "candidates")
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    wanted = classes.select("id", "digest").join(wanted, "id")
-    texts = stored(rows.join(wanted, ["id", "digest"]).select("id", "text"), "candidate-texts")
-    links = stored(verified(pairs, texts, percent), "near-links")
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        pairs = stored(pairs, "candidates")
+        wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+        wanted = classes.select("id", "digest").join(wanted, "id")
+        texts = stored(rows.join(wanted, ["id", "digest"]).select("id", "text"), "candidate-texts")
+        return stored(verified(pairs, texts, percent), "near-links")
+
+    heads = bucket_heads(classes)
+    links = linked(candidates(classes, heads, least_shared).select("a", "b"))
+    links = links.union(linked(others(classes, heads, components(links), percent)))
     # Rows that repeat an id belong together, whatever their texts.
     own = rows.where("id IS NOT NULL").select("id", "digest")
     named = own.join(classes.select("digest", F.col("id").alias("class")), "digest").select("id", "class")

@@ -114,3 +114,18 @@ def test_odd_rows(spark):
     assert out == sorted([(1, 1, True), (1, 1, True), (2, 1, False), (None, None, True), (None, None, True),
                           (5, 5, True), (5, 5, True), (9, 5, False)], key=str)
     assert om.near_documents(docs.limit(0)).count() == 0
+
+
+def test_links_beside_the_smallest_document(spark):
+    """Two texts that share only a passage's tuples, whose smallest document is like neither."""
+    passage = [f"p{i}" for i in range(70)]
+
+    def own(name, shared):
+        return [f"s{i}" if shared and i % 2 else f"{name}{i}" for i in range(30)]
+
+    texts = [passage + own("a", False), passage + own("b", True), passage + own("c", True)]
+    texts += [passage + own(f"z{k}x", False) for k in range(20)]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert om.alike(" ".join(texts[1]), " ".join(texts[2]), 80) and not om.alike(" ".join(texts[0]), " ".join(texts[1]), 80)
+    out = {r.doc_id: r.group_id for r in om.near_documents(docs).collect()}
+    assert out == {i: 1 if i == 2 else i for i in range(len(texts))}
