@@ -6,6 +6,10 @@ tuple about as often as their edit similarity is high. Documents that share tupl
 document of a bucket are candidates, and a banded alignment of their words decides. The other documents
 of a bucket are compared with each other where those links leave them in different groups; lengths and
 counts of hashed words, which rule out no link, drop most of these pairs before the alignment.
+
+Texts of few words have few k-mers, so they are found exactly: a text of so many blocks of words that the
+allowed edits can't touch all of them has one whole in every text that is alike, so short texts share
+buckets of all their runs of words of that length.
 """
 
 from __future__ import annotations
@@ -28,6 +32,8 @@ CACHED_WORDS = 200_000
 FAR = np.uint64(2**64 - 1)
 # Hashed words are counted in so many bins of a byte each.
 BINS = 256
+# Texts of at most this many words are found by blocks as well.
+SHORT_WORDS = 200
 # A bucket's documents are compared with each other in blocks of about this many.
 BLOCK_ROWS = 512
 
@@ -95,6 +101,17 @@ class Sketcher:
         counts = np.bincount((words >> np.uint64(32)).astype(np.int64) % BINS, minlength=BINS)
         return np.minimum(counts, 255).astype(np.uint8).tobytes()
 
+    def runs(self, words: np.ndarray, percent: int) -> np.ndarray:
+        """The buckets of a short text's runs of words. Occurrences have no numbers: edits change them."""
+        keys = [np.empty(0, np.uint64)]
+        for size in run_lengths(len(words), percent):
+            n = len(words) - size + 1
+            grams = np.full(n, size, np.uint64) * self.factors[0]
+            for j in range(size):
+                grams = mixed(grams * self.steps[0] + words[j : j + n])
+            keys.append(np.unique(grams))
+        return np.concatenate(keys).view(np.int64)
+
     def keys(self, text: str) -> np.ndarray | None:
         """The bucket of each tuple; none for a text without words."""
         return self.keys_of(self.word_hashes(text))
@@ -126,6 +143,16 @@ class Sketcher:
         return key.view(np.int64)
 
 
+def run_lengths(n: int, percent: int) -> set[int]:
+    """The lengths of the blocks of short texts that may be alike to one of n words and no shorter."""
+    out = set()
+    for longest in range(n, SHORT_WORDS + 1):
+        most = longest * (100 - percent) // 100
+        if longest - most <= n and 0 < longest // (most + 1) <= n:
+            out.add(longest // (most + 1))
+    return out
+
+
 def distance_within(a: list, b: list, most: int) -> int | None:
     """The edit distance of two sequences if it is at most `most`, over a band of that width.
 
@@ -184,15 +211,16 @@ def alike(a: str, b: str, percent: int) -> bool:
     return distance_within(x, y, most) is not None
 
 
-def sketched(rows: DataFrame, spec: Sketch) -> DataFrame:
+def sketched(rows: DataFrame, spec: Sketch, percent: int) -> DataFrame:
     """`digest, id, keys, n_words, bins` per row of `id, digest, text`."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker = Sketcher(spec)
         for batch in batches:
             words = [worker.word_hashes(t) for t in batch.column(2).to_pylist()]
+            keys = [np.concatenate((worker.keys_of(w), worker.runs(w, percent))) if len(w) else None for w in words]
             yield pa.record_batch(
-                [batch.column(1), batch.column(0), pa.array([worker.keys_of(w) for w in words], pa.list_(pa.int64())),
+                [batch.column(1), batch.column(0), pa.array(keys, pa.list_(pa.int64())),
                  pa.array([len(w) for w in words], pa.int64()), pa.array([worker.bins(w) for w in words], pa.binary())],
                 names=["digest", "id", "keys", "n_words", "bins"])
 
@@ -200,21 +228,27 @@ def sketched(rows: DataFrame, spec: Sketch) -> DataFrame:
 
 
 def bucket_heads(classes: DataFrame) -> DataFrame:
-    """`key, b, n`: buckets of two documents or more with the smallest of them."""
-    dealt = classes.select("id", F.explode("keys").alias("key"))
-    heads = dealt.groupBy("key").agg(F.min("id").alias("b"), F.count("*").alias("n")).where("n > 1")
+    """`key, b, b_words, n, mark, other`: buckets of two documents or more, the smallest of them with its
+    number of words, and two hashes of all of them."""
+    dealt = classes.select("id", "n_words", F.explode("keys").alias("key"))
+    heads = dealt.groupBy("key").agg(
+        F.min(F.struct("id", "n_words")).alias("b"), F.count("*").alias("n"),
+        F.bit_xor(F.xxhash64("id")).alias("mark"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("other")).where("n > 1")
+    heads = heads.select("key", F.col("b.id").alias("b"), F.col("b.n_words").alias("b_words"), "n", "mark", "other")
     # Written, so that both sides of the join come straight from a shuffle and a hot key is split.
     return stored(heads, "bucket-heads")
 
 
-def candidates(classes: DataFrame, heads: DataFrame, least_shared: int) -> DataFrame:
+def candidates(classes: DataFrame, heads: DataFrame, least_shared: int, percent: int) -> DataFrame:
     """`a, b`: documents that share at least least_shared buckets with b, the smallest one in them.
 
     A bucket gives one pair for each of its documents and not all pairs, so very common tuples
     stay linear. Its smallest id is a partial aggregate that is joined back.
     """
-    dealt = classes.select("id", F.explode("keys").alias("key"))
-    pairs = dealt.join(heads.select("key", "b"), "key").where("id <> b")
+    dealt = classes.select("id", "n_words", F.explode("keys").alias("key"))
+    longest = F.greatest("n_words", "b_words")
+    fits = F.abs(F.col("n_words") - F.col("b_words")) <= F.floor(longest * (100 - percent) / 100)
+    pairs = dealt.join(heads.select("key", "b", "b_words"), "key").where((F.col("id") != F.col("b")) & fits)
     return pairs.groupBy(F.col("id").alias("a"), "b").agg(F.count("*").alias("n")).where(F.col("n") >= least_shared)
 
 
@@ -251,7 +285,10 @@ def others(classes: DataFrame, heads: DataFrame, reach: DataFrame, percent: int)
     their own and the next class of length, in blocks, so a bucket of very many is dealt over many tasks.
     """
     dealt = classes.select("id", F.explode("keys").alias("key"))
-    members = dealt.join(heads.where("n > 2").select("key", "b"), "key").where("id <> b").select("key", "id").distinct()
+    # Buckets of the same documents, such as all those of a shared passage, are one.
+    different = heads.where("n > 2").groupBy("n", "b", "mark", "other").agg(F.min("key").alias("key"))
+    different = stored(different.select("key", "b"), "different-buckets")
+    members = dealt.join(different, "key").where("id <> b").select("key", "id")
     members = stored(members.join(reach, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component")), "bucket-members")
     mixed_keys = members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
     members = members.join(stored(mixed_keys.select("key"), "mixed-buckets"), "key")
@@ -261,11 +298,10 @@ def others(classes: DataFrame, heads: DataFrame, reach: DataFrame, percent: int)
     cells = placed.groupBy("key", "cell").agg(F.count("*").alias("size"), F.max(F.col("class") == F.col("cell")).alias("any"))
     cells = stored(cells.where("any AND size > 1").select("key", "cell", F.ceil(F.col("size") / BLOCK_ROWS).alias("parts")), "cells")
     dealt = placed.join(cells, ["key", "cell"]).withColumn("part", F.pmod(F.xxhash64("id"), "parts"))
+    dealt = stored(dealt.select("key", "cell", "part", "parts", "id", "component", (F.col("class") == F.col("cell")).alias("own")), "bucket-blocks")
+    dealt = dealt.join(classes.select("id", "n_words", "bins"), "id")
     dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-    dealt = dealt.select(
-        "key", "cell", F.least("part", "with").alias("i"), F.greatest("part", "with").alias("j"), "part", "id", "component",
-        (F.col("class") == F.col("cell")).alias("own"))
-    blocks = stored(dealt, "bucket-blocks").join(classes.select("id", "n_words", "bins"), "id")
+    blocks = dealt.withColumns({"i": F.least("part", "with"), "j": F.greatest("part", "with")}).drop("parts", "with")
     found = blocks.groupBy("key", "cell", "i", "j").applyInArrow(lambda t: possible(t, percent), "a long, b long")
     return found.distinct()
 
@@ -294,13 +330,14 @@ def near_documents(
     their words, one minus the distance by the longer length, is at least percent; groups are the
     connected documents. Words are
     lower-cased and lose the punctuation around them. Null texts are empty ones; texts without words
-    link only with equal texts, texts of fewer than k words only with equal words. Rows without an id
+    link only with equal texts. With one tuple as the least, no link of two texts of at most SHORT_WORDS
+    words is missed; links of longer ones are found with the chance that a tuple agrees. Rows without an id
     are kept and in no group; rows that repeat an id are one document, so all of them are kept or
     none. Only ids and results are returned; an empty table gives an empty result.
     """
     text = utf8(text_col)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.unhex(F.sha2(text, 256)).alias("digest"), text.alias("text"))
-    classes = sketched(rows.where("id IS NOT NULL"), spec)
+    classes = sketched(rows.where("id IS NOT NULL"), spec, percent)
     classes = classes.groupBy("digest").agg(
         F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("keys", "n_words", "bins")])
     classes = stored(classes, "sketches")
@@ -313,7 +350,7 @@ def near_documents(
         return stored(verified(pairs, texts, percent), "near-links")
 
     heads = bucket_heads(classes)
-    links = linked(candidates(classes, heads, least_shared).select("a", "b"))
+    links = linked(candidates(classes, heads, least_shared, percent).select("a", "b"))
     links = links.union(linked(others(classes, heads, components(links), percent)))
     # Rows that repeat an id belong together, whatever their texts.
     own = rows.where("id IS NOT NULL").select("id", "digest")

@@ -129,3 +129,24 @@ def test_links_beside_the_smallest_document(spark):
     assert om.alike(" ".join(texts[1]), " ".join(texts[2]), 80) and not om.alike(" ".join(texts[0]), " ".join(texts[1]), 80)
     out = {r.doc_id: r.group_id for r in om.near_documents(docs).collect()}
     assert out == {i: 1 if i == 2 else i for i in range(len(texts))}
+
+
+def test_links_of_short_texts(spark):
+    """All links of texts of 5 to 100 words near the threshold; brute force finds the same."""
+    rng, texts = random.Random(3), []
+    line = [f"l{i}" for i in range(5)]
+    for n in [5, 8, 9, 10, 11, 14, 15, 16, 20, 25, 30, 50, 75, 100]:
+        for k in range(6):
+            base = (line if k % 2 else []) + [f"n{n}k{k}w{rng.randrange(4 * n)}" for _ in range(n)]
+            base = base[:n]
+            copy = list(base)
+            for at in sorted(rng.sample(range(n), n // 5), reverse=True):
+                copy[at : at + 1] = rng.choice([[f"e{rng.randrange(10**6)}"], [f"e{rng.randrange(10**6)}"], [], [copy[at], "i"]])
+            texts += [base, copy]
+    texts += ["a b c d e f g h i j".split(), "a b c d X f g h i j".split(), "q r s t u".split(), "q r s t u v".split()]
+    out = {r.doc_id: r.group_id for r in om.near_documents(
+        spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")).collect()}
+    links = [(i, j) for i in range(len(texts)) for j in range(i) if om.alike(" ".join(texts[i]), " ".join(texts[j]), 80)]
+    found = sum(out[i] == out[j] for i, j in links)
+    assert len(links) > 70 and found == len(links), (found, len(links))
+    assert out[len(texts) - 3] == len(texts) - 4 and out[len(texts) - 1] == len(texts) - 2
