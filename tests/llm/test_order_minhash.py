@@ -123,12 +123,12 @@ def test_links_beside_the_smallest_document(spark):
     def own(name, shared):
         return [f"s{i}" if shared and i % 2 else f"{name}{i}" for i in range(30)]
 
-    texts = [passage + own("a", False), passage + own("b", True), passage + own("c", True)]
-    texts += [passage + own(f"z{k}x", False) for k in range(20)]
+    # So many smaller ids that one of them heads each bucket of the passage.
+    texts = [passage + own(f"z{k}x", False) for k in range(40)] + [passage + own("b", True), passage + own("c", True)]
     docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
-    assert om.alike(" ".join(texts[1]), " ".join(texts[2]), 80) and not om.alike(" ".join(texts[0]), " ".join(texts[1]), 80)
+    assert om.alike(" ".join(texts[40]), " ".join(texts[41]), 80) and not om.alike(" ".join(texts[0]), " ".join(texts[40]), 80)
     out = {r.doc_id: r.group_id for r in om.near_documents(docs).collect()}
-    assert out == {i: 1 if i == 2 else i for i in range(len(texts))}
+    assert out == {i: 40 if i == 41 else i for i in range(len(texts))}
 
 
 def test_links_of_short_texts(spark):
