@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from newsflow.llm import bpe, classifier, edit_counts, order_minhash, packing, rules, shards, suffixes, vectors, warc
+from newsflow.llm import (
+    bpe, classifier, edit_counts, lloyd, mixing, order_minhash, packing, rules, shards, suffixes, vectors, warc, whitening,
+)
 from newsflow.llm.common import spread, table
 from newsflow.llm.registry import query
 
@@ -185,3 +187,121 @@ def op8_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.struct(part(0, n + 1).alias("start"), part(1, F.lit(60)).alias("length"), taken.alias("replacement"))
 
     return edit_counts.counted(docs, BYTE_RANKS, F.array(*[one(k) for k in range(4)]))
+
+
+OP11_SQL = r"""
+WITH RECURSIVE docs AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+        md5(coalesce(text, '')) AS digest FROM documents
+), keyed AS (
+    SELECT *, md5(concat_ws(':', doc_id, digest, row_number() OVER (PARTITION BY doc_id, digest, source, size) - 1)) AS key
+    FROM docs
+), totals AS (
+    SELECT source, sum(size)::BIGINT AS source_size, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]
+        AS weight, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS source_no FROM keyed GROUP BY source
+), whole AS (
+    SELECT sum(source_size)::BIGINT AS t, sum(weight)::BIGINT AS w FROM totals
+), shared(k, fixed, fixed_weight) AS (
+    SELECT 0, 0::BIGINT, 0::BIGINT
+    UNION ALL
+    SELECT k + 1, (SELECT coalesce(sum(3 * source_size), 0)::BIGINT FROM totals, whole
+            WHERE 3 * source_size < (weight * (t - fixed))::DOUBLE / greatest(w - fixed_weight, 1)),
+        (SELECT coalesce(sum(weight), 0)::BIGINT FROM totals, whole
+            WHERE 3 * source_size < (weight * (t - fixed))::DOUBLE / greatest(w - fixed_weight, 1))
+    FROM shared WHERE k < (SELECT count(*) FROM totals)
+), settled AS (
+    SELECT fixed, fixed_weight FROM shared ORDER BY k DESC LIMIT 1
+), aimed AS (
+    SELECT totals.*, least((weight * (t - fixed))::DOUBLE / greatest(w - fixed_weight, 1), 3 * source_size) AS target
+    FROM totals, whole, settled
+), sources AS (
+    SELECT *, floor(target + 0.5)::BIGINT AS words,
+        (sum(floor(target + 0.5)::BIGINT) OVER (ORDER BY source_no))::BIGINT AS upto FROM aimed
+), cuts AS (
+    SELECT *, floor((upto - words)::DOUBLE / (SELECT max(upto) FROM sources) * pow(2, 40))::BIGINT AS low,
+        floor(upto::DOUBLE / (SELECT max(upto) FROM sources) * pow(2, 40))::BIGINT AS high FROM sources
+), n_slots AS (
+    SELECT (max(upto) + 2047) // 2048 AS n FROM sources
+), points AS (
+    SELECT i, list_sum([((i >> k) & 1) << (39 - k) FOR k IN range(40)])::BIGINT AS point
+    FROM n_slots, unnest(range(n)) AS s(i)
+), slots AS (
+    SELECT source_no, i AS slot, row_number() OVER (PARTITION BY source_no ORDER BY i) - 1 AS block
+    FROM points JOIN cuts ON low <= point AND point < high
+), laid AS (
+    SELECT k.*, c.source_no, source_size, target, words, epoch * source_size + coalesce(sum(size) OVER (
+        PARTITION BY c.source_no, epoch ORDER BY md5(concat_ws(':', epoch, key))
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+    FROM keyed k JOIN cuts c ON k.source IS NOT DISTINCT FROM c.source, unnest([0, 1, 2]) AS e(epoch)
+), placed AS (
+    SELECT *, unnest(range(start::BIGINT // 2048, (least(start + size, words)::BIGINT - 1) // 2048 + 1)) AS block
+    FROM laid WHERE least(start + size, words) > start
+), parts AS (
+    SELECT p.source_no, key, least(start + size, words, (p.block + 1) * 2048) - greatest(start, p.block * 2048) AS n,
+        coalesce(slot, n_slots.n + p.block * (SELECT count(*) FROM totals) + p.source_no) AS slot
+    FROM n_slots, placed p LEFT JOIN slots s ON s.source_no = p.source_no AND s.block = p.block
+), per_row AS (
+    SELECT source_no, key, sum(n)::BIGINT AS taken, min(slot)::BIGINT AS first_slot FROM parts GROUP BY ALL
+)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0) AS taken, first_slot
+FROM keyed k JOIN cuts c ON k.source IS NOT DISTINCT FROM c.source
+LEFT JOIN per_row r ON r.source_no = c.source_no AND r.key = k.key
+"""
+
+
+@query("op11_low_discrepancy_mix", OP11_SQL)
+def op11_low_discrepancy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, sources weighed 5, 2, 1 in turn; a document is taken at most three times."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    taken = mixing.taken(mixing.mix(docs, weights=(5, 2, 1), limit=3))
+    return taken.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "first_slot")
+
+
+@query("op12_spectrum_whitening")
+def op12_spectrum_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings on at most 32 components."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return whitening.whiten(rows).withColumnRenamed("id", "vec_id")
+
+
+OP13_SQL = r"""
+WITH RECURSIVE kept AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, vec_id, [floor(64 * c::DOUBLE)::BIGINT FOR c IN embedding] AS x FROM embeddings
+    WHERE len(embedding) = 64 AND len([c FOR c IN embedding IF c IS NULL OR NOT isfinite(c)]) = 0
+), starts AS (
+    SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), x) - 1 AS cluster, x FROM kept
+    QUALIFY row_number() OVER (ORDER BY sha256('1:' || vec_id), x) <= 16
+), rounds(k, cluster, x) AS (
+    SELECT 0, cluster, x FROM starts
+    UNION ALL
+    (WITH near AS (
+        SELECT v.r, v.x, min_by(c.cluster, list_sum([(a[1] - a[2]) ** 2 FOR a IN list_zip(v.x, c.x)]) * 16 + c.cluster) AS cluster
+        FROM kept v, rounds c GROUP BY v.r, v.x
+    ), sums AS (
+        SELECT cluster, d, sum(x[d])::BIGINT AS s, count(*) AS n FROM near, unnest(range(1, 65)) AS t(d) GROUP BY cluster, d
+    ), means AS (
+        SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY d) AS x FROM sums GROUP BY cluster
+    )
+    SELECT DISTINCT o.k + 1, o.cluster, coalesce(m.x, o.x) FROM rounds o LEFT JOIN means m USING (cluster) WHERE o.k < 3)
+), last AS (
+    SELECT cluster, x FROM rounds WHERE k = 3
+), near AS (
+    SELECT v.r, v.vec_id, min(list_sum([(a[1] - a[2]) ** 2 FOR a IN list_zip(v.x, c.x)]) * 16 + c.cluster)::BIGINT AS best
+    FROM kept v, last c GROUP BY v.r, v.vec_id
+), found AS (
+    SELECT vec_id, (best % 16)::INT AS cluster, best // 16 AS distance FROM near
+)
+SELECT vec_id, f.cluster, distance, (sum(distance) OVER (PARTITION BY f.cluster))::BIGINT AS cluster_inertia,
+    (sum(distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(l.x, ',')) AS centroid_sha256
+FROM found f JOIN last l ON l.cluster = f.cluster
+"""
+
+
+@query("op13_dimension_lloyd", OP13_SQL)
+def op13_dimension_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings of 64 components, 16 clusters, three rounds."""
+    found, clusters = lloyd.lloyd(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    inertia = clusters.select("*", F.sum("cluster_inertia").over(Window.partitionBy()).alias("inertia"))
+    # A row per centroid, of which there are 16.
+    return found.join(F.broadcast(inertia), "cluster").select(
+        F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
