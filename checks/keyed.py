@@ -17,6 +17,7 @@ from newsflow.operators.articles import new_articles, retain, upsert_articles
 from newsflow.operators.joins import (
     apply_overrides,
     attach_selectors,
+    carry_site,
     lookup,
     resolve_sources,
     reuse_known,
@@ -25,6 +26,7 @@ from newsflow.operators.joins import (
     url_host,
 )
 from newsflow.operators.trending import trending
+from newsflow.plans import top_per_site
 from newsflow.schemas import SELECTOR_MAP
 from newsflow.session import work_dir
 from newsflow.sinks import write_archive, write_latest, write_report
@@ -174,6 +176,68 @@ def q_attach_selectors(spark, sf_dir):
     )
 
 
+def placed_sites(spark, sf_dir):
+    """Nations as sites: a third has RSS alone, a third shares a host and has a folder each, a third has a
+    subdomain."""
+    key, name = F.col("n_nationkey") % 3, F.lower(F.regexp_replace("n_name", "[ _]", "-"))
+    sitemap = (
+        F.when(key == 1, F.concat(F.lit("https://www.shared.example/"), name, F.lit("/sitemap.xml")))
+        .when(key == 2, F.concat(F.lit("https://news."), name, F.lit(".example/sitemap.xml"))).otherwise("")
+    )
+    rss = F.struct(
+        F.when(key == 0, F.array(F.concat(F.lit("https://"), name, F.lit(".example/feeds/a.rss"))))
+        .otherwise(F.array().cast("array<string>")).alias("urls"),
+        F.lit(None).cast("map<string,string>").alias("mapping"))
+    return nation_sites(spark, sf_dir).select("site", "config").join(
+        table(spark, sf_dir, "nation").select(F.col("n_name").alias("site"), sitemap.alias("sitemap_url"), rss.alias("rss")),
+        "site")
+
+
+def supplier_feed(spark, sf_dir):
+    """A feed row per supplier; every fifth comes from the RSS of its site and links elsewhere."""
+    key, name = F.col("n_nationkey") % 3, F.lower(F.regexp_replace("n_name", "[ _]", "-"))
+    number = F.col("s_suppkey")
+    url = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+    link = (
+        F.when(number % 5 == 0, url("https://elsewhere.test/", number))
+        .when(key == 0, url("https://m.", name, ".example/s/", number))
+        .when(key == 1, url("https://shared.example/", name, "/2024/", number, ".html"))
+        .when(number % 2 == 0, url("https://live.news.", name, ".example/", number))
+        .otherwise(url("https://", name, ".example/", number)))
+    source = F.when(number % 5 == 0, url("https://", name, ".example/feeds/a.rss")).otherwise("https://other.test/a.rss")
+    return table(spark, sf_dir, "supplier").join(
+        table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
+    ).select(link.alias("link"), source.alias("feed_source"), number.alias("pos"),
+             F.timestamp_seconds(number).alias("publish_time"))
+
+
+SQL_SUPPLIER_FEED = """
+    SELECT s_suppkey AS pos, CASE WHEN s_suppkey % 5 = 0 THEN 'https://elsewhere.test/' || s_suppkey
+        WHEN k = 0 THEN 'https://m.' || nm || '.example/s/' || s_suppkey
+        WHEN k = 1 THEN 'https://shared.example/' || nm || '/2024/' || s_suppkey || '.html'
+        WHEN s_suppkey % 2 = 0 THEN 'https://live.news.' || nm || '.example/' || s_suppkey
+        ELSE 'https://' || nm || '.example/' || s_suppkey END AS link,
+      CASE WHEN s_suppkey % 5 = 0 THEN CASE WHEN k = 0 THEN n_name END
+        WHEN k < 2 OR s_suppkey % 2 = 0 THEN n_name END AS site_name
+    FROM supplier JOIN (SELECT *, n_nationkey % 3 AS k, lower(replace(replace(n_name, ' ', '-'), '_', '-')) AS nm FROM nation)
+      ON s_nationkey = n_nationkey"""
+
+
+@check("site_feeds", SQL_SUPPLIER_FEED)
+def q_site_feeds(spark, sf_dir):
+    """Feed rows with their site: by the source of the feed, by host suffix, by folder on a shared host."""
+    feed = carry_site(supplier_feed(spark, sf_dir), placed_sites(spark, sf_dir))
+    return feed.select("pos", "link", "site_name")
+
+
+@check("top_per_site", f"""
+    SELECT pos, site_name FROM ({SQL_SUPPLIER_FEED}) QUALIFY row_number() OVER (PARTITION BY
+      coalesce(site_name, regexp_extract(link, '^https://([^/]+)', 1)) ORDER BY pos DESC) <= 2""")
+def q_top_per_site(spark, sf_dir):
+    feed = carry_site(supplier_feed(spark, sf_dir), placed_sites(spark, sf_dir))
+    return top_per_site(feed, 2).select("pos", "site_name")
+
+
 @check("lookup", """
     SELECT 'd/' || doc_id AS url, source FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)
     UNION ALL SELECT 'd/7', source FROM documents WHERE doc_id = 7""")

@@ -15,15 +15,16 @@ from pyspark.sql import functions as F
 from newsflow.fixed_values import RSS_MAPPING, SITEMAP_SHARD_PREFIX
 from newsflow.functions.text import clean_article
 from newsflow.functions.times import month_shard_url
-from newsflow.operators.articles import union_feeds
+from newsflow.operators.articles import union_feeds, union_sites
 from newsflow.operators.extract import extract_articles
 from newsflow.operators.filters import within
 from newsflow.operators.joins import (
-    attach_selectors,
+    carry_site,
     reuse_known,
-    site_hosts,
+    site_places,
     skip_known,
     url_host,
+    with_selectors,
 )
 from newsflow.operators.normalize import with_provenance
 from newsflow.operators.ranking import first_per_key, top_n, top_n_per_feed
@@ -77,10 +78,12 @@ def fetch_articles(
     reuse_prior: bool = False,
     prior_order: Sequence[str] | None = None,
     clean_content: bool = True,
+    sited: bool = False,
 ) -> DataFrame:
     """Articles for the wanted feed rows: extracted, cleaned, with an error where a page failed.
 
-    ``prior`` holds earlier articles by url: their rows are left out, or with reuse_prior put in
+    A row's site is the one it carries, else the one whose source its feed is, else the one that the host
+    and path of its link belong to; with sited, ``carry_site`` was applied already. ``prior`` holds earlier articles by url: their rows are left out, or with reuse_prior put in
     front of the newly extracted ones.
     """
     wanted = feed if time_frame is None else within(feed, "publish_time", time_frame, as_of)
@@ -88,6 +91,8 @@ def fetch_articles(
         wanted = top_n(wanted, max_articles, "publish_time", sort_order)
     # Every later step reads the wanted rows again; payloads are parsed once for all of them.
     wanted = write_table(wanted, work_dir(feed.sparkSession, "wanted"))
+    if not sited:
+        wanted = write_table(carry_site(wanted, sites), work_dir(feed.sparkSession, "wanted-sites"))
     known, hot = None, hot_keys(wanted, "link")
     if prior is not None:
         earlier = prior.withColumn("link", F.col("url"))
@@ -95,21 +100,23 @@ def fetch_articles(
             known, wanted = reuse_known(wanted, earlier, prior_order=prior_order, hot=hot)
         else:
             wanted = skip_known(wanted, earlier, hot=hot)
-    sited = attach_selectors(landed_pages(wanted, pages), site_hosts(sites))
-    unsited = sited.select("url", F.col("site_name"), F.col("error").alias("site_error"),
-                           "selectors", "html")
-    extracted = extract_articles(unsited).withColumn(
-        "error", F.coalesce("site_error", "error")
-    ).drop("site_error")
-    ranks = [c for c in ("pos", "_asked") if c in wanted.columns]
-    requests = wanted.select(F.col("link").alias("url"), "feed_source", "feed_time", *ranks)
-    articles = join_unique(requests, extracted, "url", "left", hot).withColumn(
+    # A page is parsed once per site that wants it, which is nearly always one.
+    pairs = wanted.select(F.col("link").alias("url"), "site_name").where("url IS NOT NULL").distinct()
+    chosen = with_selectors(pairs.join(landed_pages(wanted, pages), "url"), site_places(sites))
+    unsited = chosen.select("url", "site_name", F.col("error").alias("site_error"), "selectors", "html")
+    extracted = extract_articles(unsited).select(
+        "*", F.concat_ws("\n", "url", F.coalesce("site_name", F.lit(""))).alias("_page"), F.lit(True).alias("_landed"))
+    extracted = extracted.withColumn("error", F.coalesce("site_error", "error")).drop("site_error", "site_name", "url")
+    carried = [c for c in ("pos", "_asked", "_tries") if c in wanted.columns]
+    page = F.when(F.col("link").isNotNull(), F.concat_ws("\n", "link", F.coalesce("site_name", F.lit(""))))
+    requests = wanted.select(
+        F.col("link").alias("url"), "feed_source", "feed_time", "site_name", *carried, page.alias("_page"))
+    articles = join_unique(requests, extracted, "_page", "left", None if hot else []).withColumn(
         "error",
         F.when(F.col("url").isNull(), F.lit("no link"))
-        .when(F.col("title").isNull() & F.col("site_name").isNull() & F.col("error").isNull(),
-              F.lit(NOT_LANDED))
+        .when(F.col("_landed").isNull(), F.lit(NOT_LANDED))
         .otherwise(F.col("error")),
-    )
+    ).drop("_page", "_landed")
     if clean_content:
         articles = clean_article(articles)
     if known is not None:
@@ -140,22 +147,24 @@ def refresh_sitemaps(
 
 
 def top_per_site(feed: DataFrame, n: int, order: str = "desc") -> DataFrame:
-    """The n newest (or oldest) feed rows of each site, told apart by the host of the link."""
+    """The n newest (or oldest) feed rows of each site; rows without a site are told apart by host."""
     time = F.col("publish_time")
     first = time.desc_nulls_last() if order == "desc" else time.asc_nulls_last()
-    hosted = feed.withColumn("_host", url_host(F.col("link")))
-    return first_per_key(hosted, ["_host"], [first, F.col("link").asc_nulls_last()], n).drop("_host")
+    host = F.concat(F.lit("//"), url_host(F.col("link")))
+    place = F.coalesce("site_name", host) if "site_name" in feed.columns else host
+    sited = feed.withColumn("_place", place)
+    return first_per_key(sited, ["_place"], [first, F.col("link").asc_nulls_last()], n).drop("_place")
 
 
 def fetch_many_sites(
-    feeds: Mapping[str, DataFrame], pages: DataFrame, sites: DataFrame, as_of: datetime, **options
+    feeds: Mapping[str, DataFrame], pages: DataFrame, sites: DataFrame, as_of: datetime,
+    max_articles: int | None = 10, time_frame: str | None = "1d", sort_order: str = "desc", **options,
 ) -> DataFrame:
-    """``fetch_articles`` per site, united and tagged with the site."""
-    results = [
-        fetch_articles(feed, pages, sites, as_of, **options).withColumn("site_name", F.lit(site))
-        for site, feed in feeds.items()
-    ]
-    united = results[0]
-    for result in results[1:]:
-        united = united.unionByName(result, allowMissingColumns=True)
-    return united
+    """Articles of several sites, tagged with the site: the newest of each, fetched together, so that the
+    pages are read once."""
+    wanted = union_sites(feeds)
+    if time_frame is not None:
+        wanted = within(wanted, "publish_time", time_frame, as_of)
+    if max_articles is not None:
+        wanted = top_per_site(wanted, max_articles, sort_order)
+    return fetch_articles(wanted, pages, sites, as_of, max_articles=None, time_frame=None, **options)

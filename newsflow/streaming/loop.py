@@ -19,12 +19,14 @@ from newsflow.fixed_values import (
     TOP_TRENDS,
 )
 from newsflow.operators.aggregates import monitor_report, site_report
+from newsflow.keyed_store import KeyedStore
 from newsflow.operators.articles import new_articles, with_key_only
 from newsflow.operators.filters import ok_rows, quarantine, within
-from newsflow.operators.trending import merge_trends, top_trends, trending
-from newsflow.operators.skew import join_unique
+from newsflow.operators.joins import carry_site
+from newsflow.operators.ranking import first_per_key
+from newsflow.operators.trending import top_trends, trending
 from newsflow.plans import NOT_LANDED, feed_table, fetch_articles, top_per_site
-from newsflow.schemas import FEED, STORE, TRENDS
+from newsflow.schemas import TRENDS
 from newsflow.sinks import (
     append_to_store,
     read_store,
@@ -34,6 +36,7 @@ from newsflow.sinks import (
     write_table,
 )
 from newsflow.sources.catalog import read_pages
+from newsflow.streaming.trends import add_counts, top_of_runs
 
 BatchSink = Callable[[DataFrame, int], None]
 
@@ -185,78 +188,104 @@ def monitor_sink(
     as_of: datetime | None = None,
     stop: Sequence[str] | None = None,
     top_path: str | None = None,
+    keep_for: timedelta | None = None,
+    buckets: int = 16,
 ) -> BatchSink:
     """Sink of one monitoring run: article table, latest and archive CSV, trends and report.
 
     Every part is written below a folder of its batch, so a repeated batch replaces itself. Rows with
-    an error go to the table ``quarantine`` alone, so the CSVs hold articles only. By
-    default each run stores its phrase counts and the report adds them all up. Over a long history
-    give ``top_path``, the folder a ``top_trends_sink`` keeps current, and the report reads that.
+    an error go to the table ``quarantine`` alone, so the CSVs hold articles only. Whether a URL was
+    stored before is asked of the keyed table ``seen``, of which only the batch's buckets are read. Phrase
+    counts are merged in generations; with ``top_path``, the folder a ``top_trends_sink`` keeps
+    current, the report reads that list instead. Totals per site are those of the run before plus
+    this one's. After ``keep_for``, a URL may be stored anew.
     """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         now = as_of or datetime.now(UTC).replace(tzinfo=None, microsecond=0)
-        stamp = _stamp(now)
         run = write_table(batch, f"{root}/runs/batch_id={batch_id}")
-        good = run
-        if "error" in run.columns:
-            good = ok_rows(run)
-            write_table(quarantine(run), f"{root}/quarantine/batch_id={batch_id}")
-
-        stamped = good.withColumn("collected_at", stamp)
-        seen = read_store(spark, f"{root}/store", batch_id, _ddl(stamped))
-        fresh = append_to_store(
-            new_articles(stamped, seen, arrival), f"{root}/store", batch_id
-        )
-        write_latest(good, f"{root}/latest")
-        write_archive(good, f"{root}/archive", now, batch_id)
-
-        if top_path is None:
-            counts = trending(fresh, ["title", "short_description"], stop=stop)
-            write_table(counts, f"{root}/trends/batch_id={batch_id}")
-            trends = merge_trends(_up_to(spark, f"{root}/trends", batch_id, TRENDS))
-        else:
-            trends = _latest_before(spark, top_path, LAST_BATCH, TRENDS)
-        # Counters need no row match: all fetched rows, and the rows that were stored as new.
-        fetched = run.select("site_name", F.lit(1).alias("fetched"), F.lit(0).alias("new_articles"))
-        stored = fresh.select("site_name", F.lit(0).alias("fetched"), F.lit(1).alias("new_articles"))
-        latest = write_table(
-            fetched.unionByName(stored).groupBy("site_name").agg(
-                F.sum("fetched").alias("fetched"), F.sum("new_articles").alias("new_articles")
-            ),
-            f"{root}/counters/batch_id={batch_id}",
-        )
-        counters = _up_to(spark, f"{root}/counters", batch_id, _ddl(latest))
-        report = monitor_report(
-            counters,
-            read_store(spark, f"{root}/store", batch_id + 1, _ddl(fresh)),
-            trends, sites, now, latest,
-        )
-        write_report(report, f"{root}/report/batch_id={batch_id}")
-        write_table(site_report(counters, sites), f"{root}/report_sites/batch_id={batch_id}")
+        _record(run, batch_id, root, sites, arrival, now, stop, top_path, keep_for, buckets)
 
     return sink
 
 
+def seen_urls(spark: SparkSession, root: str, buckets: int = 16) -> KeyedStore:
+    """Every URL that a run has settled, and whether its article was stored."""
+    return KeyedStore(spark, f"{root}/seen", "url string, stored boolean, collected_at timestamp", buckets=buckets)
+
+
+def _record(
+    run: DataFrame, batch_id: int, root: str, sites: DataFrame, arrival: Sequence[Column], now: datetime,
+    stop: Sequence[str] | None, top_path: str | None, keep_for: timedelta | None, buckets: int,
+) -> None:
+    """Everything that a run leaves behind; ``run`` is a written table."""
+    spark, good, stamp = run.sparkSession, run, _stamp(now)
+    seen = seen_urls(spark, root, buckets)
+    failed = run.select("url").limit(0)
+    if "error" in run.columns:
+        good, failed = ok_rows(run), quarantine(run).select("url")
+        write_table(quarantine(run), f"{root}/quarantine/batch_id={batch_id}")
+
+    stamped = good.withColumn("collected_at", stamp)
+    known = seen.near(run, batch_id)
+    if keep_for is not None:
+        known = known.where(F.col("collected_at") >= _stamp(now - keep_for))
+    known = known.where("stored").select("url")
+    fresh = append_to_store(new_articles(stamped, known, arrival), f"{root}/store", batch_id)
+    write_latest(good, f"{root}/latest")
+    write_archive(good, f"{root}/archive", now, batch_id)
+
+    # A URL that failed and was stored in the same run is stored; what is stored is not marked as failed.
+    urls = fresh.select("url", F.lit(True).alias("stored")).unionByName(
+        with_key_only(failed, "url").join(known, "url", "left_anti").withColumn("stored", F.lit(False)))
+    urls = urls.groupBy("url").agg(F.max("stored").alias("stored")).withColumn("collected_at", stamp)
+    since = None if keep_for is None else now - keep_for
+    seen.merge(write_table(urls, f"{root}/settled/batch_id={batch_id}"), batch_id, since=since)
+
+    if top_path is None:
+        add_counts(trending(fresh, ["title", "short_description"], stop=stop), f"{root}/trends", batch_id)
+        trends = top_of_runs(spark, f"{root}/trends", batch_id)
+    else:
+        trends = _latest_before(spark, top_path, LAST_BATCH, TRENDS)
+    # Counters need no row match: all fetched rows, and the rows that were stored as new.
+    fetched = run.select("site_name", F.lit(1).alias("fetched"), F.lit(0).alias("new_articles"))
+    stored = fresh.select("site_name", F.lit(0).alias("fetched"), F.lit(1).alias("new_articles"))
+    sums = [F.sum(c).alias(c) for c in ("fetched", "new_articles")]
+    latest = write_table(
+        fetched.unionByName(stored).groupBy("site_name").agg(*sums), f"{root}/counters/batch_id={batch_id}")
+    before = _batch_before(spark, f"{root}/totals", batch_id, _ddl(latest))
+    totals = write_table(
+        before.unionByName(latest).groupBy("site_name").agg(*sums), f"{root}/totals/batch_id={batch_id}")
+    # Only rows of the last day are asked for, and dates are partitions.
+    stored_rows = read_store(spark, f"{root}/store", batch_id + 1, _ddl(fresh))
+    write_report(monitor_report(totals, stored_rows, trends, sites, now, latest), f"{root}/report/batch_id={batch_id}")
+    write_table(site_report(totals, sites), f"{root}/report_sites/batch_id={batch_id}")
+
+
 def collection_sink(
     root: str,
     pages: Callable[[SparkSession], DataFrame] | str | DataFrame,
     sites: DataFrame,
     as_of: datetime | None = None,
     time_frame: str = MONITOR_WINDOW,
-    per_site: int = ARTICLES_PER_SITE,
+    per_site: int | None = ARTICLES_PER_SITE,
     stop: Sequence[str] | None = None,
     top_path: str | None = None,
     retry_for: timedelta = timedelta(days=1),
+    keep_for: timedelta | None = None,
+    buckets: int = 16,
 ) -> BatchSink:
-    """A whole run on a batch of feed payloads: items in time, the newest per site, their pages,
-    then the sinks of ``monitor_sink``. Pages of stored articles are not parsed again.
+    """A whole run on a batch of feed payloads: items in time, the newest per site (None: all), their
+    pages, then the sinks of ``monitor_sink``.
 
     ``pages`` is a folder or a function that reads it, asked anew in every run, so pages that land
-    after the start are seen; a DataFrame stands for the files it was made from. Items whose page has
-    not landed are asked for again by the next runs, for ``retry_for`` after their first run, and then
-    go to quarantine.
+    after the start are seen; a DataFrame stands for the files it was made from.
+
+    Items are known by their link. However many polls and feeds list one, it is fetched, counted and
+    archived once: links that a run has settled are skipped. A link whose page has not landed has one
+    row in the table ``retry``, with the times it was first and last asked for and how often; the next runs ask
+    again, whether it is listed or not, until ``retry_for`` after the first, and then it goes to
+    quarantine. Items without a link go there at once.
     """
 
     def sink(payloads: DataFrame, batch_id: int) -> None:
@@ -265,34 +294,51 @@ def collection_sink(
         landed = pages
         if not isinstance(pages, DataFrame):
             landed = read_pages(spark, pages) if isinstance(pages, str) else pages(spark)
+        # Payloads are parsed once; every later step reads the items again.
         items = admit_in_time(feed_table(payloads, now), now, frame=time_frame)
-        asked = top_per_site(items, per_site).withColumn("_asked", _stamp(now))
-        asked = asked.unionByName(_batch_before(spark, f"{root}/retry", batch_id, f"{FEED}, _asked timestamp"))
-        wanted = write_table(asked, f"{root}/feeds/batch_id={batch_id}")
-        stored = read_store(spark, f"{root}/store", batch_id, STORE).select("url")
+        items = carry_site(write_table(items, f"{root}/items/batch_id={batch_id}"), sites)
+        if per_site is not None:
+            items = top_per_site(items, per_site)
+        # Read several times below.
+        listed = write_table(items, f"{root}/listed/batch_id={batch_id}")
+        seen = seen_urls(spark, root, buckets).near(listed.select(F.col("link").alias("url")), batch_id)
+        if keep_for is not None:
+            seen = seen.where(F.col("collected_at") >= _stamp(now - keep_for))
+        unsettled = listed.join(seen.select(F.col("url").alias("link")), "link", "left_anti")
+        asked = unsettled.withColumns(
+            {"_asked": _stamp(now), "_tries": F.lit(0).cast("bigint")})
+        state = f"{_ddl(listed)}, _asked timestamp, _last timestamp, _tries bigint"
+        waited = _batch_before(spark, f"{root}/retry", batch_id, state)
+        merged = one_per_link(waited.drop("_last").unionByName(asked))
+        wanted = write_table(merged, f"{root}/feeds/batch_id={batch_id}")
         fetched = write_table(
-            fetch_articles(wanted, landed, sites, now, max_articles=None, time_frame=None, prior=stored),
+            fetch_articles(wanted, landed, sites, now, max_articles=None, time_frame=None, sited=True),
             f"{root}/fetched/batch_id={batch_id}",
         )
         waiting = F.coalesce(F.col("error") == NOT_LANDED, F.lit(False)) & (
             F.col("_asked") > _stamp(now - retry_for))
-        missing = fetched.where(waiting).select(F.col("url").alias("link")).distinct()
-        write_table(
-            join_unique(wanted, missing, "link", "left_semi", []), f"{root}/retry/batch_id={batch_id}")
+        missing = fetched.where(waiting).select(F.col("url").alias("link"))
+        again = wanted.join(missing, "link", "left_semi").withColumns(
+            {"_last": _stamp(now), "_tries": F.col("_tries") + 1})
+        write_table(again, f"{root}/retry/batch_id={batch_id}")
         arrival = [F.col(c) for c in ("feed_time", "feed_source", "pos", "title")]
-        articles = fetched.where(~waiting).drop("_asked")
-        monitor_sink(root, sites, arrival, now, stop, top_path)(articles, batch_id)
+        articles = fetched.where(~waiting).drop("_asked", "_tries")
+        _record(articles, batch_id, root, sites, arrival, now, stop, top_path, keep_for, buckets)
 
     return sink
 
 
-def _stamp(moment: datetime) -> Column:
-    return F.lit(moment.isoformat(sep=" ")).cast("timestamp")
+def one_per_link(items: DataFrame) -> DataFrame:
+    """One row per link: the one asked for first, then the first in the feeds. Rows without a link stay."""
+    order = [F.col("_asked").asc_nulls_last(), F.col("_tries").desc_nulls_last()]
+    order += [F.col(c).asc_nulls_last() for c in ("feed_time", "feed_source", "pos")]
+    order += [F.xxhash64(*[c for c in items.columns if items.schema[c].dataType.typeName() != "map"])]
+    linked = first_per_key(items.where("link IS NOT NULL"), ["link"], order)
+    return linked.unionByName(items.where("link IS NULL"))
 
 
-def _up_to(spark: SparkSession, path: str, batch_id: int, schema: str) -> DataFrame:
-    rows = spark.read.schema(f"{schema}, batch_id bigint").option("basePath", path).parquet(path)
-    return rows.where(F.col("batch_id") <= batch_id).drop("batch_id")
+def _stamp(moment: datetime) -> Column:
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp")
 
 
 def _ddl(df: DataFrame) -> str:

@@ -353,3 +353,62 @@ def test_work_dir_is_below_the_checkpoint_folder(spark):
     first, second = work_dir(spark, "a"), work_dir(spark, "a")
     assert first != second
     assert base is None or first.startswith(base)
+
+
+def site_table(spark, rows):
+    from newsflow.schemas import SITES
+
+    return spark.createDataFrame(
+        [(n, m, False, {"title_selector": (n, None)}, (r, None) if r else None) for n, m, r in rows], SITES)
+
+
+def test_sites_by_suffix_and_path(spark):
+    sites = site_table(spark, [
+        ("root", "https://www.a.example/sitemap.xml", []), ("deep", "https://x.a.example/s.xml", []),
+        ("sport", "https://shared.example/sport/map.xml", []), ("football", "https://shared.example/sport/football/map.xml", []),
+        ("rss only", "", ["https://r.example/feed/all.rss"]), ("twin b", "https://t.example/1.xml", []),
+        ("twin a", "https://t.example/2.xml", []), ("none", "", []),
+    ])
+    urls = {
+        "https://a.example/1": "root", "https://m.a.example/1": "root", "https://y.x.a.example/1": "deep", "https://x.a.example/": "deep",
+        "https://shared.example/sport/1": "sport", "https://shared.example/sport/football/2024/1": "football",
+        "https://shared.example/sports/1": "football", "https://m.shared.example/sport/1": "sport",
+        "https://r.example/1": "rss only", "https://amp.r.example/feed/x": "rss only", "https://t.example/1": "twin a",
+        "https://ba.example/1": None, "https://example/1": None, "no url": None, None: None,
+    }
+    pages = spark.createDataFrame([(u,) for u in urls], "url string")
+    out = {r["url"]: r for r in J.attach_selectors(pages, J.site_places(sites)).collect()}
+    # Of two folders that both miss, the host's first site by name is taken.
+    assert {u: r["site_name"] for u, r in out.items()} == urls
+    assert out["https://m.a.example/1"]["selectors"]["title_selector"]["tag"] == "root"
+    assert out["https://ba.example/1"]["error"] == "unknown site: ba.example"
+
+
+def test_rows_carry_their_site(spark):
+    sites = site_table(spark, [
+        ("a", "https://a.example/s.xml", ["https://feeds.example/a.rss"]), ("b", "https://b.example/s.xml", []),
+    ])
+    rows = [
+        ("https://b.example/1", "https://feeds.example/a.rss", None), ("https://b.example/2", "other", None),
+        ("https://b.example/3", "other", "a"), ("https://b.example/4", "https://a.example/s.xml", "unheard of"),
+        ("https://c.example/5", None, None), (None, "https://a.example/s.xml", None),
+    ]
+    feed = spark.createDataFrame(rows, "link string, feed_source string, site_name string")
+    found = {r.link and r.link[-1]: r.site_name for r in J.carry_site(feed, sites).collect()}
+    assert found == {"1": "a", "2": "b", "3": "a", "4": "a", "5": None, None: "a"}
+    assert J.carry_site(feed, sites.drop("rss")).count() == len(rows)
+
+
+def test_the_pages_are_joined_once_for_many_sites(spark):
+    from newsflow.plans import fetch_many_sites
+
+    sites = site_table(spark, [(n, f"https://{n}.example/s.xml", []) for n in "abc"])
+    schema = "link string, publish_time timestamp, feed_source string, feed_time timestamp, pos int"
+    feeds = {n: spark.createDataFrame([(f"https://{n}.example/{i}", NOW - timedelta(hours=i), n, NOW, i) for i in range(4)], schema) for n in "abc"}
+    pages = spark.createDataFrame(
+        [(f"https://{n}.example/{i}", f"<a>{n}{i}</a><b>x</b><c>y</c>") for n in "abc" for i in range(4)], "url string, html string")
+    out = fetch_many_sites(feeds, pages, sites, NOW, max_articles=2, time_frame=None, clean_content=False)
+    assert sorted((r.url[-1], r.site_name, r.title) for r in out.collect()) == sorted(
+        (str(i), n, {"a": f"a{i}".replace("a", "a", 1), "b": "x", "c": "y"}[n]) for n in "abc" for i in range(2))
+    scans = out._jdf.queryExecution().optimizedPlan().toString().count("html#")
+    assert scans and out._jdf.queryExecution().analyzed().toString().count("Generate") < 20
