@@ -8,6 +8,7 @@ once, and only the lists of the pairs that this makes are added to.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import json
 import re
@@ -31,6 +32,7 @@ UNEVEN_SPACE = re.compile(r"\s\s|[\x1c-\x1f\x85]")
 SLAB_BYTES = 2 * 2**20
 CACHED_CHUNKS = 100_000
 LONGEST_CACHED = 64
+LEARN_CHARS = 2**20
 
 
 def byte_alphabet() -> list[str]:
@@ -85,7 +87,7 @@ class Vocabulary:
 
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank of each pair, -1 where there is no merge."""
-        keys = left * self.width + right
+        keys = left.astype(np.int64) * self.width + right
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         return np.where(self.keys[at] == keys, self.key_ranks[at], -1)
 
@@ -103,14 +105,15 @@ class PairIndex:
         raw = np.frombuffer(b"".join(words), np.uint8)
         n = len(raw)
         self.vocab = vocab
-        self.symbols = vocab.byte_ids[raw]
-        self.next = np.arange(1, n + 1)
-        self.previous = np.arange(-1, n - 1)
+        # Four bytes each: an unbroken chunk may be very long.
+        self.symbols = vocab.byte_ids.astype(np.int32)[raw]
+        self.next = np.arange(1, n + 1, dtype=np.int32)
+        self.previous = np.arange(-1, n - 1, dtype=np.int32)
         ends = np.cumsum(lengths)[lengths > 0]
         self.next[ends - 1] = -1
         self.previous[np.concatenate(([0], ends[:-1]))[: len(ends)]] = -1
         self.alive = np.ones(n, bool)
-        self.word_of = np.repeat(np.arange(len(words)), lengths)
+        self.word_of = np.repeat(np.arange(len(words), dtype=np.int32), lengths)
         self.positions: dict[int, list[np.ndarray]] = {}
         self.active: list[int] = []
         self.add(np.flatnonzero(self.next >= 0))
@@ -245,8 +248,8 @@ class Encoder:
             self.clear()
         cut = [self.pieces(text) for text in texts]
         new = {chunk for chunks in cut for chunk in chunks if chunk not in self.index}
-        if new:
-            self.learn(sorted(new))
+        for part in portions(sorted(new), LEARN_CHARS):
+            self.learn(part)
         out = [self.gather(np.fromiter(map(self.index.__getitem__, c), np.int64, len(c))) for c in cut]
         for chunk in new:
             if len(chunk) > LONGEST_CACHED:
@@ -257,6 +260,19 @@ class Encoder:
         return ragged(self.flat, self.starts[chunks], self.counts[chunks])
 
 
+def portions(chunks: list[str], most: int) -> Iterator[list[str]]:
+    """The chunks in lists of about most characters: the pair index takes many bytes for each."""
+    held, size = [], 0
+    for chunk in chunks:
+        held.append(chunk)
+        size += len(chunk)
+        if size >= most:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     return Encoder(vocabulary(path))
@@ -292,6 +308,30 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     return slim.mapInArrow(run, f"`{id_col}` {kind}, ids array<int>")
 
 
+def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per document its id, `n_tokens long`, and the SHA-256 of its ids, in decimal with commas, and of the text
+    that they decode to.
+
+    Encoded and decoded in one pass, so ids and texts do not leave the task, and a core has one worker
+    with one vocabulary. Null and empty texts have no ids; everything else is as in ``encode``.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker = encoder(path)
+        for slab in slabs(batches, SLAB_BYTES):
+            found = worker.encode(slab.column(1).to_pylist())
+            spelled = [",".join(map(str, ids.tolist())) for ids in found]
+            yield pa.record_batch([
+                slab.column(0).combine_chunks(), pa.array([len(ids) for ids in found], pa.int64()),
+                pa.array([hashlib.sha256(t.encode()).hexdigest() for t in spelled], pa.string()),
+                pa.array([hashlib.sha256(worker.vocab.decode(ids).encode()).hexdigest() for ids in found], pa.string()),
+            ], names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    slim = docs.select(F.col(id_col), utf8(text_col).alias("__text"))
+    kind = slim.schema[0].dataType.simpleString()
+    return slim.mapInArrow(run, f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
 def decode(encoded: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
     """The same rows with `decoded string`: the text of the ids, special tokens as they are written.
 
