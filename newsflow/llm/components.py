@@ -16,13 +16,14 @@ def lowest(edges: DataFrame) -> DataFrame:
 def large_star(edges: DataFrame) -> DataFrame:
     """Larger neighbours of each vertex go to its smallest neighbour, or to itself."""
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    joined = both.join(lowest(both), "u").where("v > u")
+    # Written, so that both sides of the join come straight from a shuffle and a hot vertex is split.
+    joined = both.join(stored(lowest(both), "lowest"), "u").where("v > u")
     return joined.select(F.col("v").alias("u"), F.least("u", "low").alias("v"))
 
 
 def small_star(edges: DataFrame) -> DataFrame:
     """The smaller neighbours of each vertex, and the vertex itself, go to the smallest of them."""
-    least = lowest(edges)
+    least = stored(lowest(edges), "lowest")
     others = edges.join(least, "u").where("v <> low").select(F.col("v").alias("u"), F.col("low").alias("v"))
     return others.union(least.select("u", F.col("low").alias("v")))
 
@@ -41,12 +42,12 @@ def components(links: DataFrame) -> DataFrame:
     Both directions are the same link; links of an id to itself or with a null, and repeated links
     count for nothing. An empty table gives no rows; ids without links are not in the result. Every
     round is written to the shared folder, and the number of rounds grows with the logarithm of the
-    largest component's width. Smallest neighbours are joined back, so a vertex with very many links
-    is no single task.
+    largest component's width. Smallest neighbours are written and joined back, so that Spark can
+    split the task of a vertex with very many links.
     """
     edges = links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     edges = stored(edges, "links")
     while not all_stars(edges):
-        edges = stored(small_star(large_star(edges)).distinct(), "links")
+        edges = stored(small_star(stored(large_star(edges), "large-stars")).distinct(), "links")
     roots = edges.select(F.col("v").alias("id")).distinct().select("id", F.col("id").alias("component"))
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).union(roots)

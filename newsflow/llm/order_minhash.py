@@ -40,12 +40,15 @@ BLOCK_ROWS = 512
 
 @dataclass(frozen=True)
 class Sketch:
-    """Words in a k-mer, k-mers in a tuple, and how many tuples a document has."""
+    """Words in a k-mer, k-mers in a tuple, and how many tuples a document has. Further tuples are made of
+    shorter k-mers: they find texts with an edit in nearly every k-mer."""
 
     k: int = 5
     kept: int = 2
-    tuples: int = 64
+    tuples: int = 16
     seed: int = 1
+    short_k: int = 3
+    short_tuples: int = 48
 
 
 def words_of(text: str) -> list[str]:
@@ -64,10 +67,10 @@ class Sketcher:
 
     def __init__(self, spec: Sketch):
         self.spec = spec
-        rng = np.random.default_rng(spec.seed)
-        self.factors = rng.integers(0, 2**63, spec.tuples, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        rng, tuples = np.random.default_rng(spec.seed), spec.tuples + spec.short_tuples
+        self.factors = rng.integers(0, 2**63, tuples, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.steps = rng.integers(0, 2**63, max(spec.k, spec.kept), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        self.salts = rng.integers(0, 2**63, spec.tuples, dtype=np.uint64)
+        self.salts = rng.integers(0, 2**63, tuples, dtype=np.uint64)
         self.known: dict[str, int] = {}
 
     def word_hashes(self, text: str) -> np.ndarray:
@@ -80,11 +83,11 @@ class Sketcher:
                 known[w] = xxhash.xxh3_64_intdigest(w.strip(EDGE) or w)
         return np.fromiter(map(known.__getitem__, raw), np.uint64, len(raw))
 
-    def labelled(self, words: np.ndarray) -> np.ndarray:
+    def labelled(self, words: np.ndarray, size: int) -> np.ndarray:
         """Hashes of the k-mers with their occurrence numbers; a short text is one k-mer."""
-        k = min(self.spec.k, len(words))
+        k = min(size, len(words))
         n = len(words) - k + 1
-        grams = np.full(n, len(words) if k < self.spec.k else 0, np.uint64)
+        grams = np.full(n, len(words) if k < size else 0, np.uint64)
         for j in range(k):
             grams = mixed(grams + words[j : j + n] * self.steps[j])
         order = np.argsort(grams, kind="stable")
@@ -119,14 +122,21 @@ class Sketcher:
     def keys_of(self, words: np.ndarray) -> np.ndarray | None:
         if not len(words):
             return None
-        labels = self.labelled(words)
+        split = self.spec.tuples
+        parts = [self.tuples_of(self.labelled(words, self.spec.k), slice(0, split))]
+        if self.spec.short_tuples:
+            parts.append(self.tuples_of(self.labelled(words, self.spec.short_k), slice(split, None)))
+        return np.concatenate(parts)
+
+    def tuples_of(self, labels: np.ndarray, chosen: slice) -> np.ndarray:
+        factors, key = self.factors[chosen], self.salts[chosen].copy()
         kept = min(self.spec.kept, len(labels))
-        rows = np.arange(self.spec.tuples)
-        lowest = np.full((kept, self.spec.tuples), FAR)
-        where = np.zeros((kept, self.spec.tuples), np.int64)
+        rows = np.arange(len(factors))
+        lowest = np.full((kept, len(factors)), FAR)
+        where = np.zeros((kept, len(factors)), np.int64)
         # Long texts are taken in parts, so that the table of values stays small.
         for at in range(0, len(labels), 4096):
-            values = labels[None, at : at + 4096] * self.factors[:, None]
+            values = labels[None, at : at + 4096] * factors[:, None]
             found, places = [lowest], [where]
             for _ in range(min(kept, values.shape[1])):
                 best = values.argmin(axis=1)
@@ -137,7 +147,6 @@ class Sketcher:
             order = np.argsort(found, axis=0, kind="stable")[:kept]
             lowest = np.take_along_axis(found, order, axis=0)
             where = np.take_along_axis(places, order, axis=0)
-        key = self.salts.copy()
         for j, place in enumerate(np.sort(where, axis=0)):
             key = mixed(key + labels[place] * self.steps[j])
         return key.view(np.int64)
@@ -228,13 +237,10 @@ def sketched(rows: DataFrame, spec: Sketch, percent: int) -> DataFrame:
 
 
 def bucket_heads(classes: DataFrame) -> DataFrame:
-    """`key, b, b_words, n, mark, other`: buckets of two documents or more, the smallest of them with its
-    number of words, and two hashes of all of them."""
+    """`key, b, b_words`: buckets of two documents or more, the smallest of them with its number of words."""
     dealt = classes.select("id", "n_words", F.explode("keys").alias("key"))
-    heads = dealt.groupBy("key").agg(
-        F.min(F.struct("id", "n_words")).alias("b"), F.count("*").alias("n"),
-        F.bit_xor(F.xxhash64("id")).alias("mark"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("other")).where("n > 1")
-    heads = heads.select("key", F.col("b.id").alias("b"), F.col("b.n_words").alias("b_words"), "n", "mark", "other")
+    heads = dealt.groupBy("key").agg(F.min(F.struct("id", "n_words")).alias("b"), F.count("*").alias("n")).where("n > 1")
+    heads = heads.select("key", F.col("b.id").alias("b"), F.col("b.n_words").alias("b_words"))
     # Written, so that both sides of the join come straight from a shuffle and a hot key is split.
     return stored(heads, "bucket-heads")
 
@@ -253,57 +259,138 @@ def candidates(classes: DataFrame, heads: DataFrame, least_shared: int, percent:
 
 
 def possible(batch: pa.Table, percent: int) -> pa.Table:
-    """`a, b` of a block's documents in different groups whose lengths and bins leave them room to be alike."""
-    ids, n, component, own, part = (batch.column(c).to_numpy() for c in ("id", "n_words", "component", "own", "part"))
+    """What a block's units, in different groups, leave to be alike: `a, b` of two documents, and `host, guest` of
+    two groups, one of them with several documents here, which have to be looked at one by one.
+
+    A unit is a document, or all documents of a group in a bucket, with the range of their lengths and the
+    most words that any of its group has in each bin.
+    """
+    name, low, high, component, own, part, many, full = (
+        batch.column(c).to_numpy(zero_copy_only=False)
+        for c in ("name", "low", "high", "component", "own", "part", "many", "full"))
     bins = np.frombuffer(b"".join(batch.column("bins").to_pylist()), np.uint8).reshape(-1, BINS)
+    own, many = own.astype(bool), many.astype(bool)
     # A full bin counts as one that holds all words.
-    room = bins.astype(np.int64).sum(axis=1) < n
+    room = np.where(many, full.astype(bool), bins.sum(axis=1, dtype=np.int64) < low)
     first, second = batch.column("i")[0].as_py(), batch.column("j")[0].as_py()
     rest = np.flatnonzero(part == second)
-    found_a, found_b = [], []
-    for x in np.flatnonzero((part == first)):
+    found_a, found_b, spread = [], [], set()
+    size = np.where(many, batch.column("n").to_numpy(), 0)
+    for x in np.flatnonzero(part == first):
         y = rest[rest > x] if first == second else rest
         y = y[(component[y] != component[x]) & (own[y] | own[x])]
-        longest = np.maximum(n[y], n[x])
+        longest = np.maximum(low[y], low[x])
         least = longest - longest * (100 - percent) // 100
-        fits = np.minimum(n[y], n[x]) >= least
+        fits = np.minimum(high[y], high[x]) >= least
         y, least = y[fits], least[fits]
         if not len(y):
             continue
         shared = np.minimum(bins[y], bins[x]).sum(axis=1, dtype=np.int64)
         y = y[(shared >= least) | room[y] | room[x]]
-        found_a.append(np.maximum(ids[y], ids[x]))
-        found_b.append(np.minimum(ids[y], ids[x]))
+        single = y[~many[y]] if not many[x] else y[:0]
+        found_a.append(np.maximum(name[single], name[x]))
+        found_b.append(np.minimum(name[single], name[x]))
+        open_ = y[many[y] | many[x]]
+        larger = (size[open_] > size[x]) | ((size[open_] == size[x]) & (component[open_] < component[x]))
+        spread.update(zip(np.where(larger, component[open_], component[x]).tolist(), np.where(larger, component[x], component[open_]).tolist()))
     none = [np.empty(0, np.int64)]
-    return pa.table({"a": np.concatenate(found_a or none), "b": np.concatenate(found_b or none)})
+    a, b, groups = np.concatenate(found_a or none), np.concatenate(found_b or none), sorted(spread)
+    blank = lambda n: [None] * n
+    return pa.table({
+        "a": pa.array([*a.tolist(), *blank(len(groups))], pa.int64()), "b": pa.array([*b.tolist(), *blank(len(groups))], pa.int64()),
+        "host": pa.array([*blank(len(a)), *[g for g, _ in groups]], pa.int64()),
+        "guest": pa.array([*blank(len(a)), *[g for _, g in groups]], pa.int64())})
 
 
-def others(classes: DataFrame, heads: DataFrame, reach: DataFrame, percent: int) -> DataFrame:
-    """`a, b`: documents that share a bucket, are in different groups of reach, neither the bucket's smallest.
+def compared(units: DataFrame, shapes: DataFrame, percent: int) -> DataFrame:
+    """What ``possible`` finds in all blocks of units. units: `key, component, name, many, n, low, high`; shapes:
+    `name, many, bins, full`.
 
-    Only pairs whose lengths and bins allow the similarity are given. Documents of a bucket meet those of
-    their own and the next class of length, in blocks, so a bucket of very many is dealt over many tasks.
+    Units of a bucket meet those of their own and the next class of length, in blocks, so a bucket of
+    very many is dealt over many tasks.
     """
-    dealt = classes.select("id", F.explode("keys").alias("key"))
-    # Buckets of the same documents, such as all those of a shared passage, are one.
-    different = heads.where("n > 2").groupBy("n", "b", "mark", "other").agg(F.min("key").alias("key"))
-    different = stored(different.select("key", "b"), "different-buckets")
-    members = dealt.join(different, "key").where("id <> b").select("key", "id")
-    members = stored(members.join(reach, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component")), "bucket-members")
-    mixed_keys = members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    members = members.join(stored(mixed_keys.select("key"), "mixed-buckets"), "key")
-    sizes = classes.select("id", "n_words", F.floor(F.log(101 / max(percent, 1), "n_words")).alias("class"))
-    placed = members.join(sizes, "id").select("key", "id", "component", "class", F.explode(F.array("class", F.col("class") - 1)).alias("cell"))
-    placed = stored(placed, "bucket-cells")
-    cells = placed.groupBy("key", "cell").agg(F.count("*").alias("size"), F.max(F.col("class") == F.col("cell")).alias("any"))
+    bucket = lambda c: F.floor(F.log(101 / max(percent, 1), F.greatest(c, F.lit(1)))).cast("long")
+    placed = units.withColumns({"from": bucket(F.col("low")), "to": bucket(F.col("high"))})
+    placed = placed.withColumn("cell", F.explode(F.sequence(F.col("from") - 1, F.col("to"))))
+    placed = stored(placed.withColumn("own", F.col("cell") >= F.col("from")).drop("from", "to"), "bucket-cells")
+    cells = placed.groupBy("key", "cell").agg(F.count("*").alias("size"), F.max("own").alias("any"))
     cells = stored(cells.where("any AND size > 1").select("key", "cell", F.ceil(F.col("size") / BLOCK_ROWS).alias("parts")), "cells")
-    dealt = placed.join(cells, ["key", "cell"]).withColumn("part", F.pmod(F.xxhash64("id"), "parts"))
-    dealt = stored(dealt.select("key", "cell", "part", "parts", "id", "component", (F.col("class") == F.col("cell")).alias("own")), "bucket-blocks")
-    dealt = dealt.join(classes.select("id", "n_words", "bins"), "id")
+    dealt = placed.join(cells, ["key", "cell"]).withColumn("part", F.pmod(F.xxhash64("name"), "parts"))
+    dealt = stored(dealt, "bucket-blocks").join(shapes, ["name", "many"])
     dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     blocks = dealt.withColumns({"i": F.least("part", "with"), "j": F.greatest("part", "with")}).drop("parts", "with")
-    found = blocks.groupBy("key", "cell", "i", "j").applyInArrow(lambda t: possible(t, percent), "a long, b long")
-    return found.distinct()
+    schema = "a long, b long, host long, guest long"
+    found = blocks.groupBy("key", "cell", "i", "j").applyInArrow(lambda t: possible(t, percent), schema)
+    return stored(found.distinct(), "possible")
+
+
+def profiles(documents: DataFrame) -> DataFrame:
+    """`name, bins, full` per component of `component, n_words, bins`: the most that any of its documents has in each
+    bin, and whether one has a full bin. Tasks add up first, so a component of very many is no single task."""
+    def top(batch: pa.Table | pa.RecordBatch) -> pa.RecordBatch:
+        bins = np.frombuffer(b"".join(batch.column("bins").to_pylist()), np.uint8).reshape(-1, BINS)
+        names, at = np.unique(batch.column("name").to_numpy(), return_inverse=True)
+        most, full = np.zeros((len(names), BINS), np.uint8), np.zeros(len(names), bool)
+        np.maximum.at(most, at, bins)
+        np.logical_or.at(full, at, batch.column("full").to_numpy(zero_copy_only=False).astype(bool))
+        return pa.record_batch(
+            [pa.array(names, pa.int64()), pa.array([m.tobytes() for m in most], pa.binary()), pa.array(full)],
+            names=["name", "bins", "full"])
+
+    def partial(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
+        for batch in batches:
+            bins = np.frombuffer(b"".join(batch.column("bins").to_pylist()), np.uint8).reshape(-1, BINS)
+            full = bins.sum(axis=1, dtype=np.int64) < batch.column("n_words").to_numpy()
+            held.append(top(pa.record_batch([batch.column("component"), batch.column("bins"), pa.array(full)], names=["name", "bins", "full"])))
+            if sum(h.num_rows for h in held) > CACHED_WORDS // 10:
+                yield top(pa.Table.from_batches(held))
+                held = []
+        if held:
+            yield top(pa.Table.from_batches(held))
+
+    schema = "name long, bins binary, full boolean"
+    parts = documents.select("component", "n_words", "bins").mapInArrow(partial, schema)
+    return parts.groupBy("name").applyInArrow(lambda t: pa.Table.from_batches([top(t)]), schema)
+
+
+def others(classes: DataFrame, reach: DataFrame, percent: int) -> DataFrame:
+    """`a, b`: documents that share a bucket, are in different groups of reach, neither the bucket's smallest.
+
+    Only pairs whose lengths and bins allow the similarity are given. All documents of a group in a bucket
+    are first taken as one unit; they are looked at one by one only where the unit leaves room.
+    """
+    grouped = classes.select("id", "n_words", "keys").join(reach, "id", "left")
+    dealt = grouped.select("id", "n_words", F.coalesce("component", "id").alias("component"), F.explode("keys").alias("key"))
+    # Buckets with one group need nothing; those of the same documents, such as all of a shared passage, are one.
+    mixed_keys = dealt.groupBy("key").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.min("id").alias("b"), F.count("*").alias("n"),
+        F.bit_xor(F.xxhash64("id")).alias("mark"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("other"))
+    mixed_keys = mixed_keys.where("low < high AND n > 2").groupBy("n", "b", "mark", "other").agg(F.min("key").alias("key"))
+    members = dealt.join(stored(mixed_keys.select("key", "b"), "mixed-buckets"), "key").where("id <> b")
+    units = members.groupBy("key", "component").agg(
+        F.count("*").alias("n"), F.min("id").alias("id"), F.min("n_words").alias("low"), F.max("n_words").alias("high"))
+    units = stored(units, "bucket-units")
+    many = F.col("n") > 1
+    units = stored(units.select(
+        "key", "component", "n", "low", "high", many.alias("many"), F.when(many, F.col("component")).otherwise(F.col("id")).alias("name")), "mixed-units")
+    own = classes.select(F.col("id").alias("name"), F.lit(False).alias("many"), "bins", F.lit(False).alias("full"))
+    large = stored(units.where("many").select("component").distinct(), "large-groups")
+    of_large = reach.join(large, "component").join(classes.select("id", "n_words", "bins"), "id")
+    wide = profiles(of_large).select("name", F.lit(True).alias("many"), "bins", "full")
+    found = compared(units, stored(own.union(wide), "unit-shapes"), percent)
+    pairs = found.where("host IS NULL").select("a", "b")
+    # A group's documents are listed once, beside those of all groups that may be alike to it.
+    meetings = stored(found.where("host IS NOT NULL").select("host", "guest").distinct(), "meetings")
+    documents = classes.select("id", "n_words").join(reach, "id", "left").select(
+        F.coalesce("component", "id").alias("component"), F.col("id").alias("name"), F.col("n_words").alias("low"))
+    documents = stored(documents, "group-documents")
+    listed = meetings.select("host", F.col("host").alias("component"), F.lit(0).cast("long").alias("side")).distinct().union(
+        meetings.select("host", "guest", F.lit(1).cast("long")))
+    listed = stored(listed, "listed").join(documents, "component").select(
+        F.col("host").alias("key"), F.col("side").alias("component"), "name", F.lit(False).alias("many"), F.lit(1).alias("n"),
+        "low", F.col("low").alias("high"))
+    return pairs.union(compared(listed, own, percent).select("a", "b")).distinct()
 
 
 def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -351,7 +438,7 @@ def near_documents(
 
     heads = bucket_heads(classes)
     links = linked(candidates(classes, heads, least_shared, percent).select("a", "b"))
-    links = links.union(linked(others(classes, heads, components(links), percent)))
+    links = links.union(linked(others(classes, components(links), percent)))
     # Rows that repeat an id belong together, whatever their texts.
     own = rows.where("id IS NOT NULL").select("id", "digest")
     named = own.join(classes.select("digest", F.col("id").alias("class")), "digest").select("id", "class")

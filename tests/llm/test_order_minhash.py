@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -150,3 +151,22 @@ def test_links_of_short_texts(spark):
     found = sum(out[i] == out[j] for i, j in links)
     assert len(links) > 70 and found == len(links), (found, len(links))
     assert out[len(texts) - 3] == len(texts) - 4 and out[len(texts) - 1] == len(texts) - 2
+
+
+def replaced(rng, words, share, even):
+    """The words with a share of them replaced, evenly spread or by chance."""
+    n = round(len(words) * share)
+    at = {int((i + 0.5) * len(words) / n) for i in range(n)} if even else set(rng.sample(range(len(words)), n))
+    return [f"x{rng.randrange(10**9)}" if i in at else w for i, w in enumerate(words)]
+
+
+@pytest.mark.parametrize("even", [False, True])
+@pytest.mark.parametrize("share,least", [(0.15, 0.9), (0.18, 0.9), (0.199, 0.8)])
+@pytest.mark.parametrize("n", [220, 400, 1000, 2000])
+def test_long_texts_near_the_threshold_share_a_bucket(n, share, least, even):
+    rng, worker, found = random.Random(n), om.Sketcher(om.Sketch()), 0
+    for _ in range(60):
+        words = [f"v{rng.randrange(20000)}" for _ in range(n)]
+        a, b = " ".join(words), " ".join(replaced(rng, words, share, even))
+        found += len(np.intersect1d(worker.keys(a), worker.keys(b))) > 0
+    assert found >= least * 60, found
