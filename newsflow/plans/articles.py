@@ -63,7 +63,8 @@ def landed_pages(feed: DataFrame, pages: DataFrame) -> DataFrame:
     wanted = feed.select(F.col("link").alias("url")).where(F.col("url").isNotNull()).distinct()
     matched = pages.join(wanted, "url", "left_semi")
     newest = [F.col("landed_at").desc_nulls_last()] if "landed_at" in pages.columns else []
-    return first_per_key(matched, ["url"], [*newest, F.xxhash64("html"), F.length("html")])
+    first = first_per_key(matched, ["url"], [*newest, F.xxhash64("html"), F.length("html")])
+    return first.select("url", "html")
 
 
 def fetch_articles(

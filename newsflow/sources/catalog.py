@@ -67,9 +67,14 @@ def read_stopwords(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_pages(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
-    """Landed pages; only the two declared columns are read."""
+    """Landed pages ``(url, html, landed_at)``; other columns are not read.
+
+    Where the files have no ``landed_at``, or a row has none, it is the time its file was written.
+    """
     reader = spark.readStream if stream else spark.read
-    return reader.schema(PAGES).parquet(path)
+    rows = reader.schema(f"{PAGES}, landed_at timestamp").parquet(path)
+    landed = F.coalesce("landed_at", F.col("_metadata.file_modification_time"))
+    return rows.select("url", "html", landed.alias("landed_at"))
 
 
 def read_prior_results(spark: SparkSession, path: str, schema: str = ARTICLES) -> DataFrame:

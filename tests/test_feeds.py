@@ -291,3 +291,19 @@ def test_html_names_do_not_lose_a_feed(spark):
     df = spark.createDataFrame([("f", payload.replace(" &nosuch", ""))], "feed_source string, payload string")
     row = S.read_rss_items(df, description_format="html").first()
     assert row["title"] == "A\u00a0B é &" and row["description"] == "x&nbsp;<b>y</b>"
+
+
+def test_newest_page_of_a_folder(spark, tmp_path):
+    """By the time a page landed, else by the time its file was written."""
+    from newsflow.plans.articles import landed_pages
+
+    path = str(tmp_path / "pages")
+    timed = "url string, html string, landed_at timestamp, other int"
+    old, new = datetime(2024, 1, 1), datetime(2024, 1, 2)
+    spark.createDataFrame([("a", "newer", new, 1), ("b", "old", old, 1)], timed).write.mode("append").parquet(path)
+    spark.createDataFrame([("a", "older", old, 1)], timed).write.mode("append").parquet(path)
+    spark.createDataFrame([("b", "file time", None, 1)], timed).write.mode("append").parquet(path)
+    spark.createDataFrame([("c", "untimed")], "url string, html string").write.mode("append").parquet(path)
+    feed = spark.createDataFrame([("a",), ("b",), ("c",), ("a",), (None,)], "link string")
+    got = {r.url: r.html for r in landed_pages(feed, S.read_pages(spark, path)).collect()}
+    assert got == {"a": "newer", "b": "file time", "c": "untimed"}
