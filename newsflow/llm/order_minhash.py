@@ -15,7 +15,7 @@ buckets of all their runs of words of that length.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,6 +36,8 @@ BINS = 256
 SHORT_WORDS = 200
 # A bucket's documents are compared with each other in blocks of about this many.
 BLOCK_ROWS = 512
+# Blocks that hold bags of words have at most about this many words in each half.
+BLOCK_WORDS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -104,6 +106,10 @@ class Sketcher:
         counts = np.bincount((words >> np.uint64(32)).astype(np.int64) % BINS, minlength=BINS)
         return np.minimum(counts, 255).astype(np.uint8).tobytes()
 
+    def bag(self, words: np.ndarray) -> bytes:
+        """The words with their occurrence numbers, as hashes of 32 bits."""
+        return (self.labelled(words, 1) >> np.uint64(32)).astype(np.uint32).tobytes() if len(words) else b""
+
     def runs(self, words: np.ndarray, percent: int) -> np.ndarray:
         """The buckets of a short text's runs of words. Occurrences have no numbers: edits change them."""
         keys = [np.empty(0, np.uint64)]
@@ -236,26 +242,59 @@ def sketched(rows: DataFrame, spec: Sketch, percent: int) -> DataFrame:
     return rows.mapInArrow(run, "digest binary, id long, keys array<long>, n_words long, bins binary")
 
 
-def bucket_heads(classes: DataFrame) -> DataFrame:
-    """`key, b, b_words`: buckets of two documents or more, the smallest of them with its number of words."""
+def bucket_members(classes: DataFrame) -> DataFrame:
+    """`key, id, n_words, b`: the documents of buckets of two or more, with the smallest id of the bucket.
+
+    Buckets are written with their smallest id and joined back, so that both sides of the join come straight
+    from a shuffle and a hot key is split. Most buckets have one document and end here.
+    """
     dealt = classes.select("id", "n_words", F.explode("keys").alias("key"))
-    heads = dealt.groupBy("key").agg(F.min(F.struct("id", "n_words")).alias("b"), F.count("*").alias("n")).where("n > 1")
-    heads = heads.select("key", F.col("b.id").alias("b"), F.col("b.n_words").alias("b_words"))
-    # Written, so that both sides of the join come straight from a shuffle and a hot key is split.
-    return stored(heads, "bucket-heads")
+    heads = dealt.groupBy("key").agg(F.min("id").alias("b"), F.count("*").alias("n")).where("n > 1").select("key", "b")
+    return stored(dealt.join(stored(heads, "bucket-heads"), "key"), "bucket-members")
 
 
-def candidates(classes: DataFrame, heads: DataFrame, least_shared: int, percent: int) -> DataFrame:
-    """`a, b`: documents that share at least least_shared buckets with b, the smallest one in them.
+def candidates(members: DataFrame, classes: DataFrame, least_shared: int, percent: int) -> DataFrame:
+    """`a, b, n`: documents that share n buckets, at least least_shared, with b, the smallest one in them.
 
-    A bucket gives one pair for each of its documents and not all pairs, so very common tuples
-    stay linear. Its smallest id is a partial aggregate that is joined back.
+    A bucket gives one pair for each of its documents and not all pairs, so very common tuples stay linear.
     """
-    dealt = classes.select("id", "n_words", F.explode("keys").alias("key"))
+    pairs = members.where("id <> b").groupBy(F.col("id").alias("a"), "n_words", "b").agg(F.count("*").alias("n"))
+    lengths = classes.select(F.col("id").alias("b"), F.col("n_words").alias("b_words"))
     longest = F.greatest("n_words", "b_words")
     fits = F.abs(F.col("n_words") - F.col("b_words")) <= F.floor(longest * (100 - percent) / 100)
-    pairs = dealt.join(heads.select("key", "b", "b_words"), "key").where((F.col("id") != F.col("b")) & fits)
-    return pairs.groupBy(F.col("id").alias("a"), "b").agg(F.count("*").alias("n")).where(F.col("n") >= least_shared)
+    return pairs.where(F.col("n") >= least_shared).join(lengths, "b").where(fits).select("a", "b", "n")
+
+
+def first_choice(pairs: DataFrame) -> DataFrame:
+    """Of each document's candidates the one with which it shares most buckets; of several the smallest id."""
+    best = F.max(F.struct("n", (-F.col("b")).alias("b")))
+    return pairs.groupBy("a").agg(best.alias("best")).select("a", (-F.col("best.b")).alias("b"))
+
+
+def across(pairs: DataFrame, reach: DataFrame) -> DataFrame:
+    """`a, b` of the pairs whose ends are in different groups of reach."""
+    for end in ("a", "b"):
+        group = reach.select(F.col("id").alias(end), F.col("component").alias(f"group_{end}"))
+        pairs = pairs.join(group, end, "left").withColumn(f"group_{end}", F.coalesce(f"group_{end}", end))
+    return pairs.where("group_a <> group_b").select("a", "b")
+
+
+class Bags:
+    """The bags of words of a block, to count the words that two documents share."""
+
+    def __init__(self, bags: list[bytes]):
+        sizes = np.array([len(b) // 4 for b in bags], np.int64)
+        self.ends = np.concatenate(([0], np.cumsum(sizes)))
+        known, self.words = np.unique(np.frombuffer(b"".join(bags), np.uint32), return_inverse=True)
+        self.marked = np.zeros(len(known), bool)
+
+    def shared(self, x: int, others: np.ndarray) -> np.ndarray:
+        """At least as many words as x has in common with each of the others: equal hashes only add to them."""
+        own = self.words[self.ends[x] : self.ends[x + 1]]
+        self.marked[own] = True
+        found = [np.count_nonzero(self.marked[self.words[self.ends[y] : self.ends[y + 1]]]) for y in others]
+        self.marked[own] = False
+        return np.array(found, np.int64)
 
 
 def possible(batch: pa.Table, percent: int) -> pa.Table:
@@ -263,8 +302,9 @@ def possible(batch: pa.Table, percent: int) -> pa.Table:
     two groups, one of them with several documents here, which have to be looked at one by one.
 
     A unit is a document, or all documents of a group in a bucket, with the range of their lengths and the
-    most words that any of its group has in each bin.
+    most words that any of its group has in each bin. With a column `bag`, pairs of documents must share enough words too.
     """
+    bags = Bags(batch.column("bag").to_pylist()) if "bag" in batch.column_names else None
     name, low, high, component, own, part, many, full = (
         batch.column(c).to_numpy(zero_copy_only=False)
         for c in ("name", "low", "high", "component", "own", "part", "many", "full"))
@@ -286,7 +326,10 @@ def possible(batch: pa.Table, percent: int) -> pa.Table:
         if not len(y):
             continue
         shared = np.minimum(bins[y], bins[x]).sum(axis=1, dtype=np.int64)
-        y = y[(shared >= least) | room[y] | room[x]]
+        close = (shared >= least) | room[y] | room[x]
+        y, least = y[close], least[close]
+        if bags is not None:
+            y = y[bags.shared(x, y) >= least]
         single = y[~many[y]] if not many[x] else y[:0]
         found_a.append(np.maximum(name[single], name[x]))
         found_b.append(np.minimum(name[single], name[x]))
@@ -304,7 +347,7 @@ def possible(batch: pa.Table, percent: int) -> pa.Table:
 
 def compared(units: DataFrame, shapes: DataFrame, percent: int) -> DataFrame:
     """What ``possible`` finds in all blocks of units. units: `key, component, name, many, n, low, high`; shapes:
-    `name, many, bins, full`.
+    `name, many, bins, full`, and `bag` where all units are documents.
 
     Units of a bucket meet those of their own and the next class of length, in blocks, so a bucket of
     very many is dealt over many tasks.
@@ -313,8 +356,10 @@ def compared(units: DataFrame, shapes: DataFrame, percent: int) -> DataFrame:
     placed = units.withColumns({"from": bucket(F.col("low")), "to": bucket(F.col("high"))})
     placed = placed.withColumn("cell", F.explode(F.sequence(F.col("from") - 1, F.col("to"))))
     placed = stored(placed.withColumn("own", F.col("cell") >= F.col("from")).drop("from", "to"), "bucket-cells")
-    cells = placed.groupBy("key", "cell").agg(F.count("*").alias("size"), F.max("own").alias("any"))
-    cells = stored(cells.where("any AND size > 1").select("key", "cell", F.ceil(F.col("size") / BLOCK_ROWS).alias("parts")), "cells")
+    words = F.sum("high") / BLOCK_WORDS if "bag" in shapes.columns else F.lit(0.0)
+    cells = placed.groupBy("key", "cell").agg(F.count("*").alias("size"), F.max("own").alias("any"), words.alias("words"))
+    parts = F.ceil(F.greatest(F.col("size") / BLOCK_ROWS, "words")).alias("parts")
+    cells = stored(cells.where("any AND size > 1").select("key", "cell", parts), "cells")
     dealt = placed.join(cells, ["key", "cell"]).withColumn("part", F.pmod(F.xxhash64("name"), "parts"))
     dealt = stored(dealt, "bucket-blocks").join(shapes, ["name", "many"])
     dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
@@ -354,14 +399,29 @@ def profiles(documents: DataFrame) -> DataFrame:
     return parts.groupBy("name").applyInArrow(lambda t: pa.Table.from_batches([top(t)]), schema)
 
 
-def others(classes: DataFrame, reach: DataFrame, percent: int) -> DataFrame:
+def bags(texts: DataFrame, spec: Sketch) -> DataFrame:
+    """`name, bag` of `id, text`."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker = Sketcher(spec)
+        for batch in batches:
+            found = [worker.bag(worker.word_hashes(t)) for t in batch.column(1).to_pylist()]
+            yield pa.record_batch([batch.column(0), pa.array(found, pa.binary())], names=["name", "bag"])
+
+    return texts.mapInArrow(run, "name long, bag binary")
+
+
+def others(
+    classes: DataFrame, bucketed: DataFrame, reach: DataFrame, texts_of: Callable[[DataFrame], DataFrame], spec: Sketch, percent: int,
+) -> DataFrame:
     """`a, b`: documents that share a bucket, are in different groups of reach, neither the bucket's smallest.
 
-    Only pairs whose lengths and bins allow the similarity are given. All documents of a group in a bucket
-    are first taken as one unit; they are looked at one by one only where the unit leaves room.
+    bucketed is what ``bucket_members`` gives, texts_of gives `id, text` of ids. Only pairs whose lengths and bins allow the similarity are given. All
+    documents of a group in a bucket are first taken as one unit; they are looked at one by one only where the
+    unit leaves room.
     """
-    grouped = classes.select("id", "n_words", "keys").join(reach, "id", "left")
-    dealt = grouped.select("id", "n_words", F.coalesce("component", "id").alias("component"), F.explode("keys").alias("key"))
+    grouped = bucketed.select("key", "id", "n_words").join(reach, "id", "left")
+    dealt = grouped.select("key", "id", "n_words", F.coalesce("component", "id").alias("component"))
     # Buckets with one group need nothing; those of the same documents, such as all of a shared passage, are one.
     mixed_keys = dealt.groupBy("key").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.min("id").alias("b"), F.count("*").alias("n"),
@@ -387,10 +447,13 @@ def others(classes: DataFrame, reach: DataFrame, percent: int) -> DataFrame:
     documents = stored(documents, "group-documents")
     listed = meetings.select("host", F.col("host").alias("component"), F.lit(0).cast("long").alias("side")).distinct().union(
         meetings.select("host", "guest", F.lit(1).cast("long")))
-    listed = stored(listed, "listed").join(documents, "component").select(
+    listed = stored(listed, "listed").join(documents, "component")
+    listed = stored(listed, "listed-documents")
+    held = bags(texts_of(listed.select(F.col("name").alias("id")).distinct()), spec)
+    listed = listed.select(
         F.col("host").alias("key"), F.col("side").alias("component"), "name", F.lit(False).alias("many"), F.lit(1).alias("n"),
         "low", F.col("low").alias("high"))
-    return pairs.union(compared(listed, own, percent).select("a", "b")).distinct()
+    return pairs.union(compared(listed, own.join(held, "name"), percent).select("a", "b")).distinct()
 
 
 def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -429,16 +492,22 @@ def near_documents(
         F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("keys", "n_words", "bins")])
     classes = stored(classes, "sketches")
 
+    def texts_of(ids: DataFrame) -> DataFrame:
+        wanted = classes.select("id", "digest").join(ids, "id")
+        texts = rows.join(wanted, ["id", "digest"]).dropDuplicates(["id", "digest"])
+        return stored(texts.select("id", "text"), "candidate-texts")
+
     def linked(pairs: DataFrame) -> DataFrame:
         pairs = stored(pairs, "candidates")
         wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-        wanted = classes.select("id", "digest").join(wanted, "id")
-        texts = stored(rows.join(wanted, ["id", "digest"]).select("id", "text"), "candidate-texts")
-        return stored(verified(pairs, texts, percent), "near-links")
-
-    heads = bucket_heads(classes)
-    links = linked(candidates(classes, heads, least_shared, percent).select("a", "b"))
-    links = links.union(linked(others(classes, components(links), percent)))
+        return stored(verified(pairs, texts_of(wanted), percent), "near-links")
+
+    # A large group is joined by one link for each of its documents; only what these leave apart is compared further.
+    members = bucket_members(classes)
+    pairs = stored(candidates(members, classes, least_shared, percent), "bucket-pairs")
+    links = linked(first_choice(pairs))
+    links = links.union(linked(across(pairs, components(links))))
+    links = links.union(linked(others(classes, members, components(links), texts_of, spec, percent)))
     # Rows that repeat an id belong together, whatever their texts.
     own = rows.where("id IS NOT NULL").select("id", "digest")
     named = own.join(classes.select("digest", F.col("id").alias("class")), "digest").select("id", "class")
