@@ -75,8 +75,8 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     size = F.log2(F.coalesce(F.octet_length("text"), F.lit(0)) + F.lit(shards.ROW_OVERHEAD))
-    dims = [size, shards.text_coordinate("source"), shards.text_coordinate("lang"), shards.number_coordinate("doc_id")]
-    return shards.assign(docs, 24, dims).select(
+    dims = [size, shards.number_coordinate("doc_id")]
+    return shards.assign(docs, 24, dims, ["source", "lang"]).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
