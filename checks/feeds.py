@@ -85,6 +85,29 @@ def q_rss_items(spark, sf_dir):
     return items.withColumn("publish_time", stamp("publish_time"))
 
 
+@check("rss_damaged", """
+    SELECT source || '/' || doc_id || '.rss' AS feed_source, pos,
+      CASE pos WHEN 0 THEN 'A ' || doc_id || ' c' WHEN 1 THEN 'B & ' || doc_id WHEN 2 THEN 'C'
+               WHEN 3 THEN 'D' || doc_id ELSE 'F' END AS title,
+      CASE pos WHEN 0 THEN 'https://n.example/' || doc_id WHEN 2 THEN 'https://n.example/c' END AS link,
+      CASE pos WHEN 1 THEN regexp_replace(text, '^\\s+|\\s+$', '', 'g') END AS description,
+      CASE pos WHEN 4 THEN '2024-02-03 04:05:06' END AS publish_time
+    FROM documents, (VALUES (0), (1), (2), (3), (4)) AS p(pos)""")
+def q_rss_damaged(spark, sf_dir):
+    """One broken feed per document: an item below an extra element with tags in its title, a bare ampersand and
+    an element left open, an item left open, a title below another element, a payload that is cut off."""
+    docs = texts(spark, sf_dir, "documents", "doc_id", "text", "source")
+    key = F.col("doc_id").cast("string")
+    payload = F.concat(
+        F.lit("<rss><channel><title>feed</title><part><item><title>A <b>"), key, F.lit("</b> c</title><link>https://n.example/"),
+        key, F.lit("</link></item></part><item><title>B & <i>"), key, F.lit("</title><description>"), xml_escape(F.col("text")),
+        F.lit("</description></item><item><title>C</title><link>https://n.example/c</link><item><image><title>D"), key,
+        F.lit("</title></image><title>E</title></item><item><title>F</title><pubDate>2024-02-03T04:05:06Z"),
+    )
+    items = read_rss_items(docs.select(F.concat("source", F.lit("/"), key, F.lit(".rss")).alias("feed_source"), payload.alias("payload")))
+    return items.withColumn("publish_time", stamp("publish_time"))
+
+
 @check("rss_files", SQL_RSS.replace(
     "source || '/' || doc_id || '.rss' AS feed_source, pos,", "doc_id, ").replace(
     "(VALUES (0), (1), (2))", "(VALUES (0), (1))").replace("WHEN 2 THEN 'https://n.example/c'", ""))

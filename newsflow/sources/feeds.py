@@ -1,7 +1,7 @@
 """RSS and sitemap payloads as tables; works on batch and streaming DataFrames.
 
-A payload that is no well-formed XML, or has no rows of its kind, yields no items and shows up in
-``feed_errors``; other feeds are not affected.
+A feed that is no well-formed XML, or has items or tags that the parser does not see, is scanned for items.
+A payload without rows of its kind yields no items and shows up in ``feed_errors``; other feeds are not affected.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from newsflow.fixed_values import RSS_MAPPING, SITEMAP_SHARD_PREFIX
 from newsflow.functions.text import strip_edges
 from newsflow.functions.times import parse_publish_time
 from newsflow.schemas import PAYLOADS
+from newsflow.sources.rss_scan import scan_items
 
 _SITEMAP_TYPE = "url array<struct<loc:array<string>,lastmod:array<string>>>"
 # A named character reference other than the five of XML.
@@ -54,10 +55,37 @@ def _readable(payload: Column) -> Column:
     return F.coalesce(_spelled_out(F.when(named, payload)), payload)
 
 
-def _rss_document(payload: Column, mapping: Mapping[str, str]) -> Column:
-    # RSS 2.0 keeps items inside the channel, RSS 1.0 beside it.
+def _misread(payload: Column, items: Column, tags: list[str]) -> Column:
+    """Whether a payload has other items or tags than were parsed, or tags inside of tags."""
+    tag = "|".join(map(re.escape, tags))
+    # CDATA sections and comments may stand before the inner tag.
+    inner = rf"<(?:{tag})(?:\s[^<>]*+)?>[^<]*+(?:<!(?:\[CDATA\[(?s:.*?)\]\]>|--(?s:.*?)-->)[^<]*+)*+<[A-Za-z_]"
+    values = F.flatten(F.transform(items, lambda it: F.concat(*[F.coalesce(it[t], F.array()) for t in tags])))
+    of_items = F.substring(payload, F.locate("<item", payload), F.length(payload))
+    return (
+        (F.regexp_count(payload, F.lit(r"<item[\s/>]")) != F.size(items))
+        | ((F.size(items) > 0) & (F.regexp_count(of_items, F.lit(rf"<(?:{tag})[\s/>]")) != F.size(values)))
+        | payload.rlike(inner)
+    )
+
+
+def _with_rss_items(payloads: DataFrame, payload: Column, mapping: Mapping[str, str]) -> DataFrame:
+    """Add `__items`: an array with a struct of the mapped tags per item. Only payloads that ``from_xml``
+    reads differently go to Python."""
+    tags = list(dict.fromkeys(mapping.values()))
     item = f"array<struct<{_tag_list(mapping)}>>"
-    return F.from_xml(_readable(payload), f"channel struct<item:{item}>, item {item}")
+    kind = pa.list_(pa.struct([(tag, pa.list_(pa.string())) for tag in tags]))
+
+    @F.arrow_udf(item)
+    def scanned(texts: pa.Array) -> pa.Array:
+        return pa.array([None if t is None else scan_items(t, tags) for t in texts.to_pylist()], kind)
+
+    # RSS 2.0 keeps items inside the channel, RSS 1.0 beside it.
+    doc = payloads.withColumn("__doc", F.from_xml(_readable(payload), f"channel struct<item:{item}>, item {item}"))
+    parsed = doc.withColumn("__items", F.concat(
+        F.coalesce("__doc.channel.item", F.array()), F.coalesce("__doc.item", F.array()))).drop("__doc")
+    again = scanned(F.when(_misread(payload, F.col("__items"), tags), payload))
+    return parsed.withColumn("__items", F.coalesce(again, "__items"))
 
 
 def _first_text(tag: Column) -> Column:
@@ -84,12 +112,11 @@ def read_rss_items(
     description_format: str = "text",
     tz_mode: str = "utc",
 ) -> DataFrame:
-    """One row per ``<item>`` with its position in the feed; mapping is field -> tag."""
-    doc = payloads.withColumn("doc", _rss_document(F.col("payload"), mapping))
-    items = F.concat(
-        F.coalesce(F.col("doc.channel.item"), F.array()), F.coalesce(F.col("doc.item"), F.array())
-    )
-    rows = doc.select("feed_source", F.posexplode(items).alias("pos", "it"))
+    """One row per ``<item>``, at any depth, with its position in the feed; mapping is field -> tag.
+
+    A field is the text of the first element of its tag, with the text of tags inside it. Damaged feeds give
+    the items that ``scan_items`` finds."""
+    rows = _with_rss_items(payloads, F.col("payload"), mapping).select("feed_source", F.posexplode("__items").alias("pos", "it"))
     return rows.select(
         "feed_source", "pos", *_rss_fields("it", mapping, description_format, tz_mode)
     )
@@ -141,19 +168,16 @@ def read_sitemap_files(spark: SparkSession, path: str, stream: bool = False) ->
 
 def feed_errors(payloads: DataFrame, kind_col: str = "kind") -> DataFrame:
     """Payloads that cannot be read as their kind, with the reason."""
-    rss = _rss_document(F.col("payload"), RSS_MAPPING)
     sitemap = F.from_xml(F.col("payload"), _SITEMAP_TYPE)
     kind = F.col(kind_col)
     reason = (
         F.when(F.coalesce(strip_edges(F.col("payload")), F.lit("")) == "", "empty payload")
         .when(kind == "error", "unknown source format")
-        .when(
-            (kind == "rss")
-            & F.coalesce(rss["channel"]["item"], rss["item"]).isNull(), "no readable rss items",
-        )
+        .when((kind == "rss") & (F.size("__items") == 0), "no readable rss items")
         .when((kind == "sitemap") & sitemap["url"].isNull(), "no readable sitemap entries")
     )
-    return payloads.withColumn("error", reason).where(F.col("error").isNotNull())
+    read = _with_rss_items(payloads, F.when(kind == "rss", F.col("payload")), RSS_MAPPING)
+    return read.withColumn("error", reason).drop("__items").where(F.col("error").isNotNull())
 
 
 def classify_sources(

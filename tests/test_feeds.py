@@ -307,3 +307,59 @@ def test_newest_page_of_a_folder(spark, tmp_path):
     feed = spark.createDataFrame([("a",), ("b",), ("c",), ("a",), (None,)], "link string")
     got = {r.url: r.html for r in landed_pages(feed, S.read_pages(spark, path)).collect()}
     assert got == {"a": "newer", "b": "file time", "c": "untimed"}
+
+
+def titles_and_links(spark, payload):
+    items = S.read_rss_items(payloads(spark, a_rss=payload), {"title": "title", "link": "link"})
+    return [(r["title"], r["link"]) for r in items.orderBy("pos").collect()]
+
+
+@pytest.mark.parametrize("payload, expected", [
+    # Well-formed: below an extra element, tags and CDATA inside a title, a tag below another.
+    ("<rss><channel><part><item><title>a</title></item></part><item><title>b</title></item></channel></rss>",
+     [("a", None), ("b", None)]),
+    ("<rss><channel><item><title>A <b>bold</b> c</title><link>l</link></item></channel></rss>", [("A bold c", "l")]),
+    ("<rss><channel><item><title><![CDATA[x <i>y</i>]]> <b>z</b></title></item></channel></rss>", [("x <i>y</i> z", None)]),
+    ("<rss><channel><item><image><title>i</title></image><title>t</title></item></channel></rss>", [("i", None)]),
+    ("<feed><item n='>'><title>a<!-- <b>no</b> --> b</title></item></feed>", [("a b", None)]),
+    # Damaged: bare ampersand, element left open, item left open, payload cut off, end tag too many.
+    ("<rss><channel><item><title>a & b &nbsp;&#233;</title></item></channel></rss>", [("a & b \xa0é", None)]),
+    ("<rss><channel><item><title>a <i>b</title><link>l</link></item></channel></rss>", [("a b", "l")]),
+    ("<rss><channel><item><title>a</title><item><title>b</title><link>l</link></item></channel></rss>",
+     [("a", None), ("b", "l")]),
+    ("<rss><channel><item><title>a</title></item><item><title>b", [("a", None), ("b", None)]),
+    ("<rss><channel><item><title>a</b> < c</title><link>l</link></item></channel></rss>", [("a < c", "l")]),
+    ("<rss><channel><item><title>a</title><link/></item><item/></channel>", [("a", ""), (None, None)]),
+    ("no feed", []), ("", []), ("<item", []),
+])
+def test_tolerant_items(spark, payload, expected):
+    assert titles_and_links(spark, payload) == expected
+
+
+def test_scanner_reads_good_feeds_as_the_parser_does(spark):
+    """Everything that well-formed feeds of plain items hold comes out alike, and only misread feeds are scanned."""
+    from newsflow.sources import feeds
+    from newsflow.sources.rss_scan import scan_items
+
+    good = RSS.replace("C</title>", "&lt;C&#x41; <![CDATA[d&amp;]]></title><guid a=\"/\">g</guid>")
+    rows = feeds._with_rss_items(payloads(spark, a_rss=good), F.col("payload"), feeds.RSS_MAPPING).first()["__items"]
+    plain = [{k: v[:1] for k, v in r.asDict().items() if v} for r in rows]
+    own = [{k: [v[0].strip()] for k, v in item.items()} for item in scan_items(good, list(feeds.RSS_MAPPING.values()))]
+    assert [{k: [v[0].strip()] for k, v in item.items()} for item in plain] == own
+    assert len(rows[0]["link"]) == 2  # parsed, not scanned
+
+
+def test_scanner_time_is_linear():
+    from time import perf_counter
+
+    from newsflow.sources.rss_scan import scan_items
+
+    for part in ("<item><title>", "<title a=\"", "</b>", "<b>", "& <", "<item>x</item>", "<![CDATA["):
+        began = perf_counter()
+        scan_items("<item>" + part * 50_000, ["title", "link"])
+        assert perf_counter() - began < 10
+
+
+def test_errors_do_not_name_feeds_with_damaged_items(spark):
+    df = payloads(spark, a_rss="<rss><channel><item><title>a & b</title>", b_rss="<rss><channel>")
+    assert [r["feed_source"] for r in S.feed_errors(S.classify_sources(df)).collect()] == ["b.rss"]
