@@ -1,7 +1,7 @@
 """RSS and sitemap payloads as tables; works on batch and streaming DataFrames.
 
 A feed that is no well-formed XML, or has items or tags that the parser does not see, is scanned for items.
-A payload without rows of its kind yields no items and shows up in ``feed_errors``; other feeds are not affected.
+Damaged payloads and those without rows of their kind show up in ``feed_errors``; other feeds are not affected.
 """
 
 from __future__ import annotations
@@ -70,8 +70,8 @@ def _misread(payload: Column, items: Column, tags: list[str]) -> Column:
 
 
 def _with_rss_items(payloads: DataFrame, payload: Column, mapping: Mapping[str, str]) -> DataFrame:
-    """Add `__items`: an array with a struct of the mapped tags per item. Only payloads that ``from_xml``
-    reads differently go to Python."""
+    """Add `__items`, an array with a struct of the mapped tags per item, and `__damaged`, whether the XML parser
+    refuses the payload. Only payloads that ``from_xml`` reads differently go to Python."""
     tags = list(dict.fromkeys(mapping.values()))
     item = f"array<struct<{_tag_list(mapping)}>>"
     kind = pa.list_(pa.struct([(tag, pa.list_(pa.string())) for tag in tags]))
@@ -81,7 +81,9 @@ def _with_rss_items(payloads: DataFrame, payload: Column, mapping: Mapping[str,
         return pa.array([None if t is None else scan_items(t, tags) for t in texts.to_pylist()], kind)
 
     # RSS 2.0 keeps items inside the channel, RSS 1.0 beside it.
-    doc = payloads.withColumn("__doc", F.from_xml(_readable(payload), f"channel struct<item:{item}>, item {item}"))
+    schema = f"channel struct<item:{item}>, item {item}, _corrupt_record string"
+    doc = payloads.withColumn("__doc", F.from_xml(_readable(payload), schema))
+    doc = doc.withColumn("__damaged", F.col("__doc._corrupt_record").isNotNull())
     parsed = doc.withColumn("__items", F.concat(
         F.coalesce("__doc.channel.item", F.array()), F.coalesce("__doc.item", F.array()))).drop("__doc")
     again = scanned(F.when(_misread(payload, F.col("__items"), tags), payload))
@@ -167,17 +169,18 @@ def read_sitemap_files(spark: SparkSession, path: str, stream: bool = False) ->
 
 
 def feed_errors(payloads: DataFrame, kind_col: str = "kind") -> DataFrame:
-    """Payloads that cannot be read as their kind, with the reason."""
+    """Payloads that cannot be read as their kind, with the reason. A feed that is no well-formed XML is one
+    of them, whatever items are found in it."""
     sitemap = F.from_xml(F.col("payload"), _SITEMAP_TYPE)
     kind = F.col(kind_col)
     reason = (
         F.when(F.coalesce(strip_edges(F.col("payload")), F.lit("")) == "", "empty payload")
         .when(kind == "error", "unknown source format")
-        .when((kind == "rss") & (F.size("__items") == 0), "no readable rss items")
+        .when((kind == "rss") & ((F.size("__items") == 0) | F.col("__damaged")), "no readable rss items")
         .when((kind == "sitemap") & sitemap["url"].isNull(), "no readable sitemap entries")
     )
     read = _with_rss_items(payloads, F.when(kind == "rss", F.col("payload")), RSS_MAPPING)
-    return read.withColumn("error", reason).drop("__items").where(F.col("error").isNotNull())
+    return read.withColumn("error", reason).drop("__items", "__damaged").where(F.col("error").isNotNull())
 
 
 def classify_sources(

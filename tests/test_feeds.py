@@ -360,6 +360,10 @@ def test_scanner_time_is_linear():
         assert perf_counter() - began < 10
 
 
-def test_errors_do_not_name_feeds_with_damaged_items(spark):
-    df = payloads(spark, a_rss="<rss><channel><item><title>a & b</title>", b_rss="<rss><channel>")
-    assert [r["feed_source"] for r in S.feed_errors(S.classify_sources(df)).collect()] == ["b.rss"]
+def test_errors_name_damaged_feeds_and_those_without_items(spark):
+    df = payloads(
+        spark, a_rss="<rss><channel><item><title>a & b</title>", b_rss="<rss><channel></channel></rss>",
+        c_rss="<rss><channel><part><item><title>a</title></item></part></channel></rss>")
+    errors = S.feed_errors(S.classify_sources(df))
+    assert errors.columns == ["feed_source", "payload", "kind", "error"]
+    assert sorted(r["feed_source"] for r in errors.collect()) == ["a.rss", "b.rss"]
