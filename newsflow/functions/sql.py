@@ -6,6 +6,8 @@ code. Only entity decoding and Unicode normalisation call the registered Arrow f
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import SparkSession
 
 from newsflow.fixed_values import (
@@ -38,11 +40,23 @@ def _chain(expr: str, *functions: str) -> str:
     return expr
 
 
+def _where(needed: str, change: str) -> str:
+    """The change where c can hold what it looks for; other texts skip the pattern."""
+    return f"CASE WHEN {needed} THEN {change} ELSE c END"
+
+
+def _holds_phrase(phrases: Sequence[str]) -> str:
+    """``text._holds_phrase`` in SQL, for phrases of ASCII letters: folds the text once."""
+    folded = "lower(upper(replace(c, 'İ', 'I')))"
+    found = " OR ".join(f"contains(f, {_quoted(p.lower())})" for p in phrases)
+    return f"get(transform(array({folded}), f -> {found}), 0)"
+
+
 def _bodies() -> dict[str, tuple[str, str]]:
     """name -> (return type, body over the parameter c)."""
-    phrases = [
+    phrases = _replace("c", *[
         (rf"(?iu)\Q{phrase}\E[^\n]*(?:\n|\z)", "\n") for phrase in BOILERPLATE_PHRASES
-    ]
+    ])
     markers = [(rf"(?iu)\[{marker}\]", "") for marker in TITLE_MARKERS]
     title_tail = [(r"\|[^\n]*\z", ""), (rf"-{T.SPACE}*{T.WORD}+\.{T.WORD}+\z", "")]
     title = _replace(
@@ -56,18 +70,19 @@ def _bodies() -> dict[str, tuple[str, str]]:
             "coalesce(normalize_characters("
             f"CASE WHEN contains(c, '&') OR {non_ascii} THEN c END), c)"
         ),
-        "strip_urls": _replace("c", (T.unicode_pattern(URL_PATTERN), " ")),
-        "strip_emails": _replace("c", (T.unicode_pattern(EMAIL_PATTERN), " ")),
+        "strip_urls": _where("contains(c, '://')", _replace("c", (T.unicode_pattern(URL_PATTERN), " "))),
+        "strip_emails": _where("contains(c, '@')", _replace("c", (T.unicode_pattern(EMAIL_PATTERN), " "))),
         "strip_phones": _replace("c", (T.PHONE_START + T.unicode_pattern(PHONE_PATTERN), " ")),
-        "strip_tags": _replace("c", (TAG_PATTERN, " ")),
-        "collapse_whitespace": _replace("c", (f"{T.SPACE}+", " ")),
-        "cap_newlines": _replace("c", (r"\n{3,}", "\n\n")),
+        "strip_tags": _where("contains(c, '<')", _replace("c", (TAG_PATTERN, " "))),
+        # Single spaces are not touched at all.
+        "collapse_whitespace": _replace("c", (rf"[{T.SPACES}&&[^ ]]{T.SPACE}*| {T.SPACE}+", " ")),
+        "cap_newlines": _where(r"contains(c, '\n\n\n')", _replace("c", (r"\n{3,}", "\n\n"))),
         "clean_text": "coalesce(trim(" + _chain(
             f"coalesce(decode_normalize(CASE WHEN contains(c, '&') OR {non_ascii} THEN c END), c)",
             "strip_urls", "strip_emails",
             "strip_phones", "strip_tags", "collapse_whitespace", "cap_newlines",
         ) + "), '')",
-        "strip_boilerplate": _replace("c", *phrases),
+        "strip_boilerplate": _where(_holds_phrase(BOILERPLATE_PHRASES), phrases),
         "normalize_title": (
             "coalesce(trim(get(transform(array(" + title + "), "
             "t -> concat(upper(substring(t, 1, 1)), substring(t, 2))), 0)), '')"

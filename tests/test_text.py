@@ -164,3 +164,23 @@ def test_sql_functions_equal_the_column_functions(spark):
         df = spark.createDataFrame(rows, "v string, e string")
         got = spark.sql(f"SELECT {name}(v) AS r, e FROM {{df}}", df=df).collect()
         assert [r["r"] for r in got] == [r["e"] for r in got], name
+
+
+@pytest.mark.parametrize("name", ["strip_urls", "strip_emails", "strip_tags", "cap_newlines", "strip_boilerplate"])
+def test_sql_functions_skip_texts_that_patterns_leave_alone(spark, name):
+    """The pattern runs only behind a search for what it needs, and the results are those of the column functions."""
+    from newsflow.functions import register_sql_functions
+
+    register_sql_functions(spark)
+    parts = ["a@b.co", "http://x.y z", "HTTPS://Q", "://", "<b>", "<", ">", "\n", "\n\n\n\n", "  ", "\t", " ", " ",
+             "SOURCE: x", "Shareİthis", "Sıgn up", "share thİs article q\n", "Copyright ©", "K", "credit: K", "word"]
+    rng = random.Random(7)
+    rows = [("".join(rng.choice(parts) for _ in range(rng.randint(0, 8))),) for _ in range(400)] + [(None,), ("",)]
+    df = spark.createDataFrame(rows, "v string")
+    got = spark.sql(f"SELECT v, {name}(v) AS r, collapse_whitespace(v) AS s, clean_text(v) AS t FROM {{df}}", df=df)
+    plan = spark.sql(f"SELECT {name}(v) AS r FROM {{df}}", df=df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "CASE WHEN" in plan and "Contains" in plan.replace("contains", "Contains")
+    found = [(r.r, r.s, r.t) for r in got.collect()]
+    change = getattr(T, name)
+    expected = df.select(change(F.col("v")).alias("r"), T.collapse_whitespace(F.col("v")).alias("s"), T.clean_text(F.col("v")).alias("t"))
+    assert found == [tuple(r) for r in expected.collect()]
