@@ -282,10 +282,10 @@ def across(pairs: DataFrame, reach: DataFrame) -> DataFrame:
 class Bags:
     """The bags of words of a block, to count the words that two documents share."""
 
-    def __init__(self, bags: list[bytes]):
-        sizes = np.array([len(b) // 4 for b in bags], np.int64)
+    def __init__(self, bags: list[bytes], width: int = 4):
+        sizes = np.array([len(b) // width for b in bags], np.int64)
         self.ends = np.concatenate(([0], np.cumsum(sizes)))
-        known, self.words = np.unique(np.frombuffer(b"".join(bags), np.uint32), return_inverse=True)
+        known, self.words = np.unique(np.frombuffer(b"".join(bags), f"u{width}"), return_inverse=True)
         self.marked = np.zeros(len(known), bool)
 
     def shared(self, x: int, others: np.ndarray) -> np.ndarray:
@@ -297,19 +297,27 @@ class Bags:
         return np.array(found, np.int64)
 
 
+def earlier_keys(keys: pa.ChunkedArray, key: int) -> list[bytes]:
+    """Of each unit's buckets those before this one, as bytes."""
+    lists = (np.array(k or [], np.int64) for k in keys.to_pylist())
+    return [k[k < key].tobytes() for k in lists]
+
+
 def possible(batch: pa.Table, percent: int) -> pa.Table:
     """What a block's units, in different groups, leave to be alike: `a, b` of two documents, and `host, guest` of
     two groups, one of them with several documents here, which have to be looked at one by one.
 
     A unit is a document, or all documents of a group in a bucket, with the range of their lengths and the
     most words that any of its group has in each bin. With a column `bag`, pairs of documents must share enough words too.
+    With a column `keys`, the buckets that hold a document as a unit, a pair is given in the first that it shares only.
     """
     bags = Bags(batch.column("bag").to_pylist()) if "bag" in batch.column_names else None
-    name, low, high, component, own, part, many, full = (
+    places = None
+    name, low, high, component, start, part, many, full = (
         batch.column(c).to_numpy(zero_copy_only=False)
-        for c in ("name", "low", "high", "component", "own", "part", "many", "full"))
+        for c in ("name", "low", "high", "component", "start", "part", "many", "full"))
     bins = np.frombuffer(b"".join(batch.column("bins").to_pylist()), np.uint8).reshape(-1, BINS)
-    own, many = own.astype(bool), many.astype(bool)
+    many, cell = many.astype(bool), batch.column("cell")[0].as_py()
     # A full bin counts as one that holds all words.
     room = np.where(many, full.astype(bool), bins.sum(axis=1, dtype=np.int64) < low)
     first, second = batch.column("i")[0].as_py(), batch.column("j")[0].as_py()
@@ -318,7 +326,9 @@ def possible(batch: pa.Table, percent: int) -> pa.Table:
     size = np.where(many, batch.column("n").to_numpy(), 0)
     for x in np.flatnonzero(part == first):
         y = rest[rest > x] if first == second else rest
-        y = y[(component[y] != component[x]) & (own[y] | own[x])]
+        # Units that meet in several cells are compared in the first where one of them begins.
+        first_cell = np.maximum(start[y], start[x]) - (start[y] != start[x])
+        y = y[(component[y] != component[x]) & (first_cell == cell)]
         longest = np.maximum(low[y], low[x])
         least = longest - longest * (100 - percent) // 100
         fits = np.minimum(high[y], high[x]) >= least
@@ -331,6 +341,9 @@ def possible(batch: pa.Table, percent: int) -> pa.Table:
         if bags is not None:
             y = y[bags.shared(x, y) >= least]
         single = y[~many[y]] if not many[x] else y[:0]
+        if len(single) and "keys" in batch.column_names:
+            places = places or Bags(earlier_keys(batch.column("keys"), batch.column("key")[0].as_py()), 8)
+            single = single[places.shared(x, single) == 0]
         found_a.append(np.maximum(name[single], name[x]))
         found_b.append(np.minimum(name[single], name[x]))
         open_ = y[many[y] | many[x]]
@@ -347,7 +360,7 @@ def possible(batch: pa.Table, percent: int) -> pa.Table:
 
 def compared(units: DataFrame, shapes: DataFrame, percent: int) -> DataFrame:
     """What ``possible`` finds in all blocks of units. units: `key, component, name, many, n, low, high`; shapes:
-    `name, many, bins, full`, and `bag` where all units are documents.
+    `name, many, bins, full`, `bag` where all units are documents, and `keys` where units are in several buckets.
 
     Units of a bucket meet those of their own and the next class of length, in blocks, so a bucket of
     very many is dealt over many tasks.
@@ -355,7 +368,8 @@ def compared(units: DataFrame, shapes: DataFrame, percent: int) -> DataFrame:
     bucket = lambda c: F.floor(F.log(101 / max(percent, 1), F.greatest(c, F.lit(1)))).cast("long")
     placed = units.withColumns({"from": bucket(F.col("low")), "to": bucket(F.col("high"))})
     placed = placed.withColumn("cell", F.explode(F.sequence(F.col("from") - 1, F.col("to"))))
-    placed = stored(placed.withColumn("own", F.col("cell") >= F.col("from")).drop("from", "to"), "bucket-cells")
+    placed = placed.withColumn("own", F.col("cell") >= F.col("from")).withColumnRenamed("from", "start").drop("to")
+    placed = stored(placed, "bucket-cells")
     words = F.sum("high") / BLOCK_WORDS if "bag" in shapes.columns else F.lit(0.0)
     cells = placed.groupBy("key", "cell").agg(F.count("*").alias("size"), F.max("own").alias("any"), words.alias("words"))
     parts = F.ceil(F.greatest(F.col("size") / BLOCK_ROWS, "words")).alias("parts")
@@ -438,7 +452,10 @@ def others(
     large = stored(units.where("many").select("component").distinct(), "large-groups")
     of_large = reach.join(large, "component").join(classes.select("id", "n_words", "bins"), "id")
     wide = profiles(of_large).select("name", F.lit(True).alias("many"), "bins", "full")
-    found = compared(units, stored(own.union(wide), "unit-shapes"), percent)
+    # Documents that are alike share many buckets; their pair is given once.
+    places = units.where("NOT many").groupBy("name").agg(F.collect_list("key").alias("keys"))
+    shapes = own.join(places, "name").select(*own.columns, "keys").union(wide.withColumn("keys", F.lit(None).cast("array<long>")))
+    found = compared(units, stored(shapes, "unit-shapes"), percent)
     pairs = found.where("host IS NULL").select("a", "b")
     # A group's documents are listed once, beside those of all groups that may be alike to it.
     meetings = stored(found.where("host IS NOT NULL").select("host", "guest").distinct(), "meetings")

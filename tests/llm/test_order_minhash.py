@@ -170,3 +170,30 @@ def test_long_texts_near_the_threshold_share_a_bucket(n, share, least, even):
         a, b = " ".join(words), " ".join(replaced(rng, words, share, even))
         found += len(np.intersect1d(worker.keys(a), worker.keys(b))) > 0
     assert found >= least * 60, found
+
+
+def block(key, cell, units):
+    """A block of ``possible`` of units `name, component, many, start, keys`, all with the same ten words."""
+    import pyarrow as pa
+
+    bins = np.full(om.BINS, 10, np.uint8).tobytes()
+    rows = [{"name": n, "component": c, "many": m, "start": s, "keys": k, "key": key, "cell": cell, "n": 2 if m else 1, "low": 10,
+             "high": 10, "part": 0, "bins": bins, "full": False, "i": 0, "j": 0} for n, c, m, s, k in units]
+    return pa.Table.from_pylist(rows)
+
+
+def test_a_pair_is_given_in_the_first_bucket_it_shares():
+    keys = {1: [-7, 4, 9], 2: [4, 9], 3: [-7, 9]}
+    given = []
+    for key in (-7, 4, 9):
+        units = [(n, n, False, 10, k) for n, k in keys.items() if key in k]
+        given += [(key, r["b"], r["a"]) for r in om.possible(block(key, 10, units), 80).to_pylist()]
+    assert sorted(given) == [(-7, 1, 3), (4, 1, 2), (9, 2, 3)]
+
+
+def test_units_meet_in_one_cell():
+    """Units are in the cell before their first and in all up to their last; two meet in one of these."""
+    for other in (9, 10, 11):
+        units = [(1, 1, True, 10, None), (2, 2, True, other, None)]
+        given = [cell for cell in range(max(10, other) - 1, 13) if om.possible(block(5, cell, units), 80).num_rows]
+        assert given == [10 if other == 10 else max(10, other) - 1]
