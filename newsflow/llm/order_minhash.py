@@ -38,6 +38,12 @@ SHORT_WORDS = 200
 BLOCK_ROWS = 512
 # Blocks that hold bags of words have at most about this many words in each half.
 BLOCK_WORDS = 1_000_000
+# So many pairs of units are looked at together.
+PAIRS = 100_000
+# A group in more buckets than this carries the first of them only.
+GROUP_KEYS = 256
+# Texts of so many characters in all are sent to the tasks that compare pairs.
+FEW_CHARACTERS = 16_000_000
 
 
 @dataclass(frozen=True)
@@ -58,10 +64,25 @@ def words_of(text: str) -> list[str]:
     return [w.strip(EDGE) or w for w in text.lower().split()]
 
 
+SHIFTS = [np.uint64(n) for n in (30, 27, 31)]
+FACTORS = [np.uint64(n) for n in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> SHIFTS[0])
+    x *= FACTORS[0]
+    x ^= x >> SHIFTS[1]
+    x *= FACTORS[1]
+    x ^= x >> SHIFTS[2]
+    return x
+
+
+class WordHashes(dict):
+    """The hash of each word, without the punctuation around it, made when it is first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        found = self[word] = xxhash.xxh3_64_intdigest(word.strip(EDGE) or word)
+        return found
 
 
 class Sketcher:
@@ -73,16 +94,14 @@ class Sketcher:
         self.factors = rng.integers(0, 2**63, tuples, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.steps = rng.integers(0, 2**63, max(spec.k, spec.kept), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.salts = rng.integers(0, 2**63, tuples, dtype=np.uint64)
-        self.known: dict[str, int] = {}
+        self.known = WordHashes()
+        self.lengths: dict[tuple[int, int], set[int]] = {}
 
     def word_hashes(self, text: str) -> np.ndarray:
         raw = text.lower().split()
         known = self.known
         if len(known) > CACHED_WORDS:
             known.clear()
-        for w in set(raw):
-            if w not in known:
-                known[w] = xxhash.xxh3_64_intdigest(w.strip(EDGE) or w)
         return np.fromiter(map(known.__getitem__, raw), np.uint64, len(raw))
 
     def labelled(self, words: np.ndarray, size: int) -> np.ndarray:
@@ -92,11 +111,13 @@ class Sketcher:
         grams = np.full(n, len(words) if k < size else 0, np.uint64)
         for j in range(k):
             grams = mixed(grams + words[j : j + n] * self.steps[j])
+        ranked = np.sort(grams)
+        repeats = ranked[1:] == ranked[:-1]
+        if not repeats.any():
+            return grams
         order = np.argsort(grams, kind="stable")
         index = np.arange(n)
-        first = np.concatenate(([True], grams[order][1:] != grams[order][:-1]))
-        if first.all():
-            return grams
+        first = np.concatenate(([True], ~repeats))
         number = np.empty(n, np.uint64)
         number[order] = (index - np.maximum.accumulate(np.where(first, index, 0))).astype(np.uint64)
         return np.where(number > 0, mixed(grams + number * self.steps[0]), grams)
@@ -113,7 +134,12 @@ class Sketcher:
     def runs(self, words: np.ndarray, percent: int) -> np.ndarray:
         """The buckets of a short text's runs of words. Occurrences have no numbers: edits change them."""
         keys = [np.empty(0, np.uint64)]
-        for size in run_lengths(len(words), percent):
+        if len(words) > SHORT_WORDS:
+            return keys[0].view(np.int64)
+        about = len(words), percent
+        if about not in self.lengths:
+            self.lengths[about] = run_lengths(*about)
+        for size in self.lengths[about]:
             n = len(words) - size + 1
             grams = np.full(n, size, np.uint64) * self.factors[0]
             for j in range(size):
@@ -138,21 +164,21 @@ class Sketcher:
         factors, key = self.factors[chosen], self.salts[chosen].copy()
         kept = min(self.spec.kept, len(labels))
         rows = np.arange(len(factors))
-        lowest = np.full((kept, len(factors)), FAR)
-        where = np.zeros((kept, len(factors)), np.int64)
+        lowest, where = np.empty((0, len(factors)), np.uint64), np.empty((0, len(factors)), np.int64)
         # Long texts are taken in parts, so that the table of values stays small.
         for at in range(0, len(labels), 4096):
             values = labels[None, at : at + 4096] * factors[:, None]
-            found, places = [lowest], [where]
+            found, places = [], []
             for _ in range(min(kept, values.shape[1])):
                 best = values.argmin(axis=1)
-                found.append(values[rows, best][None])
-                places.append(best[None] + at)
+                found.append(values[rows, best])
+                places.append(best + at)
                 values[rows, best] = FAR
-            found, places = np.concatenate(found), np.concatenate(places)
-            order = np.argsort(found, axis=0, kind="stable")[:kept]
-            lowest = np.take_along_axis(found, order, axis=0)
-            where = np.take_along_axis(places, order, axis=0)
+            found, places = np.concatenate((lowest, found)), np.concatenate((where, places))
+            if len(found) > kept:
+                order = np.argsort(found, axis=0, kind="stable")[:kept]
+                found, places = np.take_along_axis(found, order, axis=0), np.take_along_axis(places, order, axis=0)
+            lowest, where = found, places
         for j, place in enumerate(np.sort(where, axis=0)):
             key = mixed(key + labels[place] * self.steps[j])
         return key.view(np.int64)
@@ -303,52 +329,91 @@ def earlier_keys(keys: pa.ChunkedArray, key: int) -> list[bytes]:
     return [k[k < key].tobytes() for k in lists]
 
 
-def possible(batch: pa.Table, percent: int) -> pa.Table:
-    """What a block's units, in different groups, leave to be alike: `a, b` of two documents, and `host, guest` of
-    two groups, one of them with several documents here, which have to be looked at one by one.
-
-    A unit is a document, or all documents of a group in a bucket, with the range of their lengths and the
-    most words that any of its group has in each bin. With a column `bag`, pairs of documents must share enough words too.
-    With a column `keys`, the buckets that hold a document as a unit, a pair is given in the first that it shares only.
-    """
-    bags = Bags(batch.column("bag").to_pylist()) if "bag" in batch.column_names else None
-    places = None
-    name, low, high, component, start, part, many, full = (
+def close_pairs(batch: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The places of two units of a block whose lengths and bins leave room to be alike, in order of the first."""
+    key, cell, i, j, low, high, component, start, part, many, full = (
         batch.column(c).to_numpy(zero_copy_only=False)
-        for c in ("name", "low", "high", "component", "start", "part", "many", "full"))
+        for c in ("key", "cell", "i", "j", "low", "high", "component", "start", "part", "many", "full"))
     bins = np.frombuffer(b"".join(batch.column("bins").to_pylist()), np.uint8).reshape(-1, BINS)
-    many, cell = many.astype(bool), batch.column("cell")[0].as_py()
     # A full bin counts as one that holds all words.
-    room = np.where(many, full.astype(bool), bins.sum(axis=1, dtype=np.int64) < low)
-    first, second = batch.column("i")[0].as_py(), batch.column("j")[0].as_py()
-    rest = np.flatnonzero(part == second)
-    found_a, found_b, spread = [], [], set()
-    size = np.where(many, batch.column("n").to_numpy(), 0)
-    for x in np.flatnonzero(part == first):
-        y = rest[rest > x] if first == second else rest
+    room = np.where(many.astype(bool), full.astype(bool), bins.sum(axis=1, dtype=np.int64) < low)
+    rows = np.arange(len(key))
+    starts = block_starts(batch)
+    ends = np.append(starts[1:], len(key))
+    sizes = ends - starts
+    # Units of a block of one part meet those behind them, those of the first of two parts all of the second.
+    at = np.repeat(np.arange(len(starts)), sizes)
+    ahead = np.add.reduceat((part == i).astype(np.int64), starts)
+    begin = np.where(i == j, rows + 1, np.where(part == i, (starts + ahead)[at], ends[at]))
+    total = np.concatenate(([0], np.cumsum(ends[at] - begin)))
+    found_x, found_y, done = [], [], 0
+    while done < len(rows):
+        upto = max(int(np.searchsorted(total, total[done] + PAIRS, "right")) - 1, done + 1)
+        x = np.repeat(rows[done:upto], np.diff(total[done : upto + 1]))
+        y = np.arange(total[done], total[upto]) - total[x] + begin[x]
+        done = upto
         # Units that meet in several cells are compared in the first where one of them begins.
         first_cell = np.maximum(start[y], start[x]) - (start[y] != start[x])
-        y = y[(component[y] != component[x]) & (first_cell == cell)]
         longest = np.maximum(low[y], low[x])
         least = longest - longest * (100 - percent) // 100
-        fits = np.minimum(high[y], high[x]) >= least
-        y, least = y[fits], least[fits]
-        if not len(y):
-            continue
-        shared = np.minimum(bins[y], bins[x]).sum(axis=1, dtype=np.int64)
-        close = (shared >= least) | room[y] | room[x]
-        y, least = y[close], least[close]
-        if bags is not None:
-            y = y[bags.shared(x, y) >= least]
-        single = y[~many[y]] if not many[x] else y[:0]
-        if len(single) and "keys" in batch.column_names:
-            places = places or Bags(earlier_keys(batch.column("keys"), batch.column("key")[0].as_py()), 8)
-            single = single[places.shared(x, single) == 0]
-        found_a.append(np.maximum(name[single], name[x]))
-        found_b.append(np.minimum(name[single], name[x]))
-        open_ = y[many[y] | many[x]]
-        larger = (size[open_] > size[x]) | ((size[open_] == size[x]) & (component[open_] < component[x]))
-        spread.update(zip(np.where(larger, component[open_], component[x]).tolist(), np.where(larger, component[x], component[open_]).tolist()))
+        fits = (component[y] != component[x]) & (first_cell == cell[x]) & (np.minimum(high[y], high[x]) >= least)
+        x, y, least = x[fits], y[fits], least[fits]
+        close = room[y] | room[x]
+        for k in range(0, len(x), 4096):
+            shared = np.minimum(bins[y[k : k + 4096]], bins[x[k : k + 4096]]).sum(axis=1, dtype=np.uint16)
+            close[k : k + 4096] |= shared >= least[k : k + 4096]
+        found_x.append(x[close])
+        found_y.append(y[close])
+    return np.concatenate(found_x), np.concatenate(found_y)
+
+
+def block_starts(batch: pa.Table) -> np.ndarray:
+    """The places where a block begins."""
+    ids = [batch.column(c).to_numpy() for c in ("key", "cell", "i", "j")]
+    return np.flatnonzero(np.concatenate(([True], np.any([c[1:] != c[:-1] for c in ids], axis=0))))
+
+
+def possible(batch: pa.Table, percent: int) -> pa.Table:
+    """What the units of whole blocks, in different groups, leave to be alike: `a, b` of two documents, and `host,
+    guest` of two groups, one of them with several documents here, which have to be looked at one by one.
+
+    Rows are in order of `key, cell, i, j, part`.
+    A unit is a document, or all documents of a group in a bucket, with the range of their lengths and the
+    most words that any of its group has in each bin. With a column `bag`, pairs of documents must share enough words too.
+    With a column `keys`, the buckets that hold a unit, two units are given in the first that they share only;
+    where both are groups in more buckets than they carry, perhaps in further ones.
+    """
+    name, component, low, many, n = (
+        batch.column(c).to_numpy(zero_copy_only=False) for c in ("name", "component", "low", "many", "n"))
+    many = many.astype(bool)
+    size = np.where(many, n, 0)
+    all_x, all_y = close_pairs(batch, percent)
+    starts = block_starts(batch)
+    ends = np.append(starts[1:], batch.num_rows)
+    # Pairs are in order of their blocks.
+    cuts = np.searchsorted(all_x, np.append(starts, batch.num_rows))
+    found_a, found_b, spread = [], [], set()
+    for k in np.flatnonzero(np.diff(cuts)):
+        begin, block = starts[k], batch.slice(starts[k], ends[k] - starts[k])
+        bags = Bags(block.column("bag").to_pylist()) if "bag" in batch.column_names else None
+        places = None
+        if "keys" in batch.column_names:
+            places = Bags(earlier_keys(block.column("keys"), block.column("key")[0].as_py()), 8)
+        pairs_x, pairs_y = all_x[cuts[k] : cuts[k + 1]], all_y[cuts[k] : cuts[k + 1]]
+        turns = np.append(np.flatnonzero(np.diff(pairs_x, prepend=-1)), len(pairs_x))
+        for u, v in zip(turns[:-1], turns[1:]):
+            x, y = pairs_x[u], pairs_y[u:v]
+            if places is not None:
+                y = y[places.shared(x - begin, y - begin) == 0]
+            if bags is not None:
+                longest = np.maximum(low[y], low[x])
+                y = y[bags.shared(x - begin, y - begin) >= longest - longest * (100 - percent) // 100]
+            single = y[~many[y]] if not many[x] else y[:0]
+            found_a.append(np.maximum(name[single], name[x]))
+            found_b.append(np.minimum(name[single], name[x]))
+            open_ = y[many[y] | many[x]]
+            larger = (size[open_] > size[x]) | ((size[open_] == size[x]) & (component[open_] < component[x]))
+            spread.update(zip(np.where(larger, component[open_], component[x]).tolist(), np.where(larger, component[x], component[open_]).tolist()))
     none = [np.empty(0, np.int64)]
     a, b, groups = np.concatenate(found_a or none), np.concatenate(found_b or none), sorted(spread)
     blank = lambda n: [None] * n
@@ -358,6 +423,20 @@ def possible(batch: pa.Table, percent: int) -> pa.Table:
         "guest": pa.array([*blank(len(a)), *[g for _, g in groups]], pa.int64())})
 
 
+def possible_in_order(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """``possible`` of the blocks of a task, which follow each other; one may go on in the next batch."""
+    held = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        held = rows if held is None else pa.concat_tables([held, rows])
+        whole = int(block_starts(held)[-1]) if held.num_rows else 0
+        if whole:
+            yield from possible(held.slice(0, whole), percent).to_batches()
+            held = held.slice(whole)
+    if held is not None and held.num_rows:
+        yield from possible(held, percent).to_batches()
+
+
 def compared(units: DataFrame, shapes: DataFrame, percent: int) -> DataFrame:
     """What ``possible`` finds in all blocks of units. units: `key, component, name, many, n, low, high`; shapes:
     `name, many, bins, full`, `bag` where all units are documents, and `keys` where units are in several buckets.
@@ -378,8 +457,10 @@ def compared(units: DataFrame, shapes: DataFrame, percent: int) -> DataFrame:
     dealt = stored(dealt, "bucket-blocks").join(shapes, ["name", "many"])
     dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     blocks = dealt.withColumns({"i": F.least("part", "with"), "j": F.greatest("part", "with")}).drop("parts", "with")
-    schema = "a long, b long, host long, guest long"
-    found = blocks.groupBy("key", "cell", "i", "j").applyInArrow(lambda t: possible(t, percent), schema)
+    # Most blocks are small, so a task takes them as they follow each other and not one by one.
+    block = ["key", "cell", "i", "j"]
+    found = blocks.repartition(*block).sortWithinPartitions(*block, "part").mapInArrow(
+        lambda batches: possible_in_order(batches, percent), "a long, b long, host long, guest long")
     return stored(found.distinct(), "possible")
 
 
@@ -444,17 +525,20 @@ def others(
     members = dealt.join(stored(mixed_keys.select("key", "b"), "mixed-buckets"), "key").where("id <> b")
     units = members.groupBy("key", "component").agg(
         F.count("*").alias("n"), F.min("id").alias("id"), F.min("n_words").alias("low"), F.max("n_words").alias("high"))
-    units = stored(units, "bucket-units")
     many = F.col("n") > 1
     units = stored(units.select(
-        "key", "component", "n", "low", "high", many.alias("many"), F.when(many, F.col("component")).otherwise(F.col("id")).alias("name")), "mixed-units")
+        "key", "component", "n", "low", "high", many.alias("many"), F.when(many, F.col("component")).otherwise(F.col("id")).alias("name")), "bucket-units")
+    # Two units that are alike share many buckets and are given once. So what is asked of a group may not depend
+    # on the bucket: its lengths are those of all buckets where it has several documents.
+    places = units.groupBy("name", "many").agg(
+        F.array_sort(F.collect_list("key")).alias("keys"), F.min("low").alias("low"), F.max("high").alias("high"))
+    places = stored(places.withColumn("keys", F.when(F.col("many"), F.slice("keys", 1, GROUP_KEYS)).otherwise(F.col("keys"))), "unit-places")
+    units = stored(units.drop("low", "high").join(places.drop("keys"), ["name", "many"]), "mixed-units")
     own = classes.select(F.col("id").alias("name"), F.lit(False).alias("many"), "bins", F.lit(False).alias("full"))
     large = stored(units.where("many").select("component").distinct(), "large-groups")
     of_large = reach.join(large, "component").join(classes.select("id", "n_words", "bins"), "id")
     wide = profiles(of_large).select("name", F.lit(True).alias("many"), "bins", "full")
-    # Documents that are alike share many buckets; their pair is given once.
-    places = units.where("NOT many").groupBy("name").agg(F.collect_list("key").alias("keys"))
-    shapes = own.join(places, "name").select(*own.columns, "keys").union(wide.withColumn("keys", F.lit(None).cast("array<long>")))
+    shapes = own.union(wide).join(places.select("name", "many", "keys"), ["name", "many"])
     found = compared(units, stored(shapes, "unit-shapes"), percent)
     pairs = found.where("host IS NULL").select("a", "b")
     # A group's documents are listed once, beside those of all groups that may be alike to it.
@@ -474,7 +558,11 @@ def others(
 
 
 def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose texts are alike. texts: `id, text`, for all ids of the pairs."""
+    """The pairs whose texts are alike. texts: `id, text`, for all ids of the pairs. Both are written tables."""
+    if (texts.agg(F.sum(F.length("text"))).first()[0] or 0) <= FEW_CHARACTERS:
+        # Few texts may have very many pairs, so these are dealt by number and not by the bytes they hold.
+        texts, rows, cores = F.broadcast(texts), pairs.count(), pairs.sparkSession.sparkContext.defaultParallelism
+        pairs = pairs.repartition(max(1, min(rows // 500, max(2 * cores, rows // 20_000))), "a", "b")
     left = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("x")), "a")
     both = left.join(texts.select(F.col("id").alias("b"), F.col("text").alias("y")), "b").select("a", "b", "x", "y")
 

@@ -197,3 +197,54 @@ def test_units_meet_in_one_cell():
         units = [(1, 1, True, 10, None), (2, 2, True, other, None)]
         given = [cell for cell in range(max(10, other) - 1, 13) if om.possible(block(5, cell, units), 80).num_rows]
         assert given == [10 if other == 10 else max(10, other) - 1]
+
+
+def test_a_meeting_of_groups_is_given_in_the_first_bucket_they_share():
+    keys = {1: [-7, 4, 9], 2: [4, 9, 12], 3: [9, 12]}
+    given = []
+    for key in (-7, 4, 9, 12):
+        units = [(n, n, n != 3, 10, k) for n, k in keys.items() if key in k]
+        given += [(key, r["host"], r["guest"]) for r in om.possible(block(key, 10, units), 80).to_pylist()]
+    assert sorted(given) == [(4, 1, 2), (9, 1, 3), (9, 2, 3)]
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_blocks_that_follow_each_other(seed):
+    """Blocks of one part and of two, cut into batches anywhere, give what a plain loop over their pairs gives."""
+    import pyarrow as pa
+
+    rng, rows, expected = random.Random(seed), [], set()
+    for key in range(6):
+        for i, j in [(0, 0), (0, 1)]:
+            part = []
+            for _ in range(rng.choice([1, 2, 3, 30])):
+                counts = np.bincount([rng.randrange(4) for _ in range(rng.randrange(8, 13))], minlength=om.BINS).astype(np.uint8)
+                n, many = int(counts.sum()), rng.random() < 0.2
+                part.append({
+                    "name": rng.randrange(10**9), "component": rng.randrange(8), "many": many, "start": 10, "keys": [key], "key": key,
+                    "cell": 10, "n": 2 if many else 1, "low": n - many, "high": n + many, "part": rng.choice([i, j]),
+                    "bins": counts.tobytes(), "full": rng.random() < 0.1, "i": i, "j": j})
+            part.sort(key=lambda r: r["part"])
+            rows += part
+            for at, x in enumerate(part):
+                for y in part[at + 1 :]:
+                    least = max(x["low"], y["low"]) - max(x["low"], y["low"]) * 20 // 100
+                    shared = np.minimum(*[np.frombuffer(r["bins"], np.uint8).astype(int) for r in (x, y)]).sum()
+                    room = any(r["many"] and r["full"] for r in (x, y))
+                    if (i == j or x["part"] != y["part"]) and x["component"] != y["component"] and (
+                            min(x["high"], y["high"]) >= least and (shared >= least or room)):
+                        if x["many"] or y["many"]:
+                            expected.add(("groups", *sorted((x["component"], y["component"]))))
+                        else:
+                            expected.add(("documents", *sorted((x["name"], y["name"]))))
+    table = pa.Table.from_pylist(rows)
+    for size in (1, 7, len(rows)):
+        found = pa.Table.from_batches(om.possible_in_order(table.to_batches(max_chunksize=size), 80)).to_pylist()
+        pairs = [("documents", r["b"], r["a"]) if r["host"] is None else ("groups", *sorted((r["host"], r["guest"]))) for r in found]
+        assert set(pairs) == expected and expected
+
+
+def test_pairs_of_few_texts_are_dealt_over_tasks(spark):
+    texts = spark.createDataFrame([(i, f"a b c d e{i}") for i in range(60)], "id long, text string")
+    pairs = spark.createDataFrame([(i, j) for i in range(60) for j in range(i)], "a long, b long").coalesce(1)
+    assert om.verified(pairs, texts, 80).rdd.getNumPartitions() > 1
