@@ -76,6 +76,21 @@ def test_trending_keeps_the_exact_top_and_survives_a_restart(spark, documents, t
         assert newest.collect() == full.collect()
 
 
+def test_running_counter_keeps_little_on_disk(spark, tmp_path, monkeypatch):
+    """State files and changelogs are packed well, and each batch lets the shuffle files of those before it go."""
+    from newsflow.streaming import loop
+
+    M.use_rocksdb_state(spark)
+    prefix = "spark.sql.streaming.stateStore"
+    assert [spark.conf.get(f"{prefix}.{c}") for c in ("rocksdb.compression", "compression.codec")] == ["zstd", "zstd"]
+    freed = []
+    monkeypatch.setattr(loop, "free_shuffles", freed.append)
+    sink = M.top_trends_sink(str(tmp_path), 2)
+    for batch_id in range(2):
+        sink(spark.createDataFrame([("a b", 9)], "phrase string, cnt bigint"), batch_id)
+    assert freed == [spark, spark]
+
+
 def test_unchanged_leader_stays_on_top(spark, tmp_path):
     sink = M.top_trends_sink(str(tmp_path), 2)
     schema = "phrase string, cnt bigint"
