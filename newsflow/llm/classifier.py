@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsflow.llm.common import stored, utf8
+from newsflow.llm.common import released, stored, utf8
 
 EDGE = " \t\r\n.,;:!?\"'()[]{}#*$%&|<>-_0123456789"
 UPPER = re.compile("[A-ZÀ-ÖØ-Þ]+")
@@ -177,7 +177,7 @@ def with_evidence(docs: DataFrame, model: Model, name: str, text_col: str = "tex
             scores = [model.evidence(t or "") for t in batch.column(at).to_pylist()]
             yield pa.record_batch([*batch.columns, pa.array(scores, pa.float64())], names=[*columns, name])
 
-    return docs.mapInArrow(run, f"{fields}, `{name}` double")
+    return docs.mapInArrow(lambda batches: released(run(batches)), f"{fields}, `{name}` double")
 
 
 def strength(groups: DataFrame, rate: float) -> float:

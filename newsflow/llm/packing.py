@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsflow.llm.bpe import byte_alphabet, ragged
-from newsflow.llm.common import slabs, stored, utf8
+from newsflow.llm.common import released, slabs, stored, utf8
 
 SLAB_BYTES = 4 * 2**20
 CACHED_CHUNKS = 600_000
@@ -154,7 +154,14 @@ def pieces(
 
     names = [id_col, "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
     fields = f"`{id_col}` {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
-    return slim.mapInArrow(run, fields)
+    def emptied(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """What a task has learnt goes with it: workers wait for further tasks, of other steps as well."""
+        try:
+            yield from released(run(batches))
+        finally:
+            chunks(path).clear()
+
+    return slim.mapInArrow(emptied, fields)
 
 
 class Plan:

@@ -110,3 +110,18 @@ def test_query(spark, sf_dir):
     for content in bins.values():
         gapless(content, 2048)
     assert len(bins) <= 1.01 * sum(r.length for r in out) / 2048 + 1
+
+
+def test_a_worker_keeps_nothing_of_a_task(spark):
+    """What packing has learnt of its texts is gone from the worker when the task ends."""
+    import os
+
+    def left(batches):
+        for batch in batches:
+            held = packing.chunks(PATH)
+            yield pa.record_batch([pa.array([os.getpid()]), pa.array([len(held.index) + len(held.words)])], names=["pid", "n"])
+
+    docs = spark.createDataFrame([(i, f"first{i} second{i}") for i in range(200)], "doc_id long, text string")
+    assert packing.pieces(docs.repartition(4), PATH, 2048, 0).count() >= 200
+    one = spark.range(16).repartition(16).mapInArrow(left, "pid long, n long").collect()
+    assert one and {r.n for r in one} == {1}
