@@ -21,10 +21,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from newsflow.llm.common import stored, utf8
+from newsflow.llm.common import counted, few, released, stored, utf8
 from newsflow.llm.components import components
 
 EDGE = ".,;:!?\"'()[]{}*_-#$%&|<>"
@@ -44,6 +44,12 @@ PAIRS = 100_000
 GROUP_KEYS = 256
 # Texts of so many characters in all are sent to the tasks that compare pairs.
 FEW_CHARACTERS = 16_000_000
+# A task takes about so many texts, pairs of texts, or rows with bins.
+TASK_TEXTS = 1000
+TASK_PAIRS = 500
+TASK_BINS = 2000
+# So many texts are sketched together.
+SKETCHED_ROWS = 500
 
 
 @dataclass(frozen=True)
@@ -257,7 +263,7 @@ def sketched(rows: DataFrame, spec: Sketch, percent: int) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker = Sketcher(spec)
-        for batch in batches:
+        for batch in (b.slice(at, SKETCHED_ROWS) for b in batches for at in range(0, b.num_rows, SKETCHED_ROWS)):
             words = [worker.word_hashes(t) for t in batch.column(2).to_pylist()]
             keys = [np.concatenate((worker.keys_of(w), worker.runs(w, percent))) if len(w) else None for w in words]
             yield pa.record_batch(
@@ -265,30 +271,31 @@ def sketched(rows: DataFrame, spec: Sketch, percent: int) -> DataFrame:
                  pa.array([len(w) for w in words], pa.int64()), pa.array([worker.bins(w) for w in words], pa.binary())],
                 names=["digest", "id", "keys", "n_words", "bins"])
 
-    return rows.mapInArrow(run, "digest binary, id long, keys array<long>, n_words long, bins binary")
+    return rows.mapInArrow(lambda batches: released(run(batches)), "digest binary, id long, keys array<long>, n_words long, bins binary")
 
 
-def bucket_members(classes: DataFrame) -> DataFrame:
-    """`key, id, n_words, b`: the documents of buckets of two or more, with the smallest id of the bucket.
+def bucket_members(classes: DataFrame, n_keys: int) -> tuple[DataFrame, int]:
+    """`key, id, n_words, b`: the documents of buckets of two or more, with the smallest id of the bucket; and how many
+    rows these are. n_keys: the keys of all documents together.
 
     Buckets are written with their smallest id and joined back, so that both sides of the join come straight
     from a shuffle and a hot key is split. Most buckets have one document and end here.
     """
     dealt = classes.select("id", "n_words", F.explode("keys").alias("key"))
     heads = dealt.groupBy("key").agg(F.min("id").alias("b"), F.count("*").alias("n")).where("n > 1").select("key", "b")
-    return stored(dealt.join(stored(heads, "bucket-heads"), "key"), "bucket-members")
+    return counted(few(dealt.join(stored(few(heads, n_keys), "bucket-heads"), "key"), n_keys), "bucket-members")
 
 
-def candidates(members: DataFrame, classes: DataFrame, least_shared: int, percent: int) -> DataFrame:
-    """`a, b, n`: documents that share n buckets, at least least_shared, with b, the smallest one in them.
+def candidates(members: DataFrame, n_members: int, classes: DataFrame, least_shared: int, percent: int) -> DataFrame:
+    """`a, b, n`: documents that share n buckets, at least least_shared, with b, the smallest one in them. members has n_members rows.
 
     A bucket gives one pair for each of its documents and not all pairs, so very common tuples stay linear.
     """
-    pairs = members.where("id <> b").groupBy(F.col("id").alias("a"), "n_words", "b").agg(F.count("*").alias("n"))
+    pairs = few(members.where("id <> b").groupBy(F.col("id").alias("a"), "n_words", "b").agg(F.count("*").alias("n")), n_members)
     lengths = classes.select(F.col("id").alias("b"), F.col("n_words").alias("b_words"))
     longest = F.greatest("n_words", "b_words")
     fits = F.abs(F.col("n_words") - F.col("b_words")) <= F.floor(longest * (100 - percent) / 100)
-    return pairs.where(F.col("n") >= least_shared).join(lengths, "b").where(fits).select("a", "b", "n")
+    return few(pairs.where(F.col("n") >= least_shared).join(lengths, "b").where(fits).select("a", "b", "n"), n_members)
 
 
 def first_choice(pairs: DataFrame) -> DataFrame:
@@ -297,11 +304,11 @@ def first_choice(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("a").agg(best.alias("best")).select("a", (-F.col("best.b")).alias("b"))
 
 
-def across(pairs: DataFrame, reach: DataFrame) -> DataFrame:
-    """`a, b` of the pairs whose ends are in different groups of reach."""
+def across(pairs: DataFrame, rows: int, reach: DataFrame) -> DataFrame:
+    """`a, b` of the pairs, so many rows, whose ends are in different groups of reach."""
     for end in ("a", "b"):
         group = reach.select(F.col("id").alias(end), F.col("component").alias(f"group_{end}"))
-        pairs = pairs.join(group, end, "left").withColumn(f"group_{end}", F.coalesce(f"group_{end}", end))
+        pairs = few(pairs.join(group, end, "left"), rows).withColumn(f"group_{end}", F.coalesce(f"group_{end}", end))
     return pairs.where("group_a <> group_b").select("a", "b")
 
 
@@ -437,8 +444,8 @@ def possible_in_order(batches: Iterable[pa.RecordBatch], percent: int) -> Iterat
         yield from possible(held, percent).to_batches()
 
 
-def compared(units: DataFrame, shapes: DataFrame, percent: int) -> DataFrame:
-    """What ``possible`` finds in all blocks of units. units: `key, component, name, many, n, low, high`; shapes:
+def compared(units: DataFrame, shapes: DataFrame, percent: int) -> tuple[DataFrame, int]:
+    """What ``possible`` finds in all blocks of units, and how many rows this has. units: `key, component, name, many, n, low, high`; shapes:
     `name, many, bins, full`, `bag` where all units are documents, and `keys` where units are in several buckets.
 
     Units of a bucket meet those of their own and the next class of length, in blocks, so a bucket of
@@ -448,20 +455,20 @@ def compared(units: DataFrame, shapes: DataFrame, percent: int) -> DataFrame:
     placed = units.withColumns({"from": bucket(F.col("low")), "to": bucket(F.col("high"))})
     placed = placed.withColumn("cell", F.explode(F.sequence(F.col("from") - 1, F.col("to"))))
     placed = placed.withColumn("own", F.col("cell") >= F.col("from")).withColumnRenamed("from", "start").drop("to")
-    placed = stored(placed, "bucket-cells")
+    placed, rows = counted(placed, "bucket-cells")
     words = F.sum("high") / BLOCK_WORDS if "bag" in shapes.columns else F.lit(0.0)
     cells = placed.groupBy("key", "cell").agg(F.count("*").alias("size"), F.max("own").alias("any"), words.alias("words"))
     parts = F.ceil(F.greatest(F.col("size") / BLOCK_ROWS, "words")).alias("parts")
-    cells = stored(cells.where("any AND size > 1").select("key", "cell", parts), "cells")
+    cells = stored(few(cells.where("any AND size > 1").select("key", "cell", parts), rows), "cells")
     dealt = placed.join(cells, ["key", "cell"]).withColumn("part", F.pmod(F.xxhash64("name"), "parts"))
-    dealt = stored(dealt, "bucket-blocks").join(shapes, ["name", "many"])
+    dealt = stored(few(dealt, rows), "bucket-blocks").join(shapes, ["name", "many"])
     dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     blocks = dealt.withColumns({"i": F.least("part", "with"), "j": F.greatest("part", "with")}).drop("parts", "with")
     # Most blocks are small, so a task takes them as they follow each other and not one by one.
     block = ["key", "cell", "i", "j"]
     found = blocks.repartition(*block).sortWithinPartitions(*block, "part").mapInArrow(
-        lambda batches: possible_in_order(batches, percent), "a long, b long, host long, guest long")
-    return stored(found.distinct(), "possible")
+        lambda batches: released(possible_in_order(batches, percent)), "a long, b long, host long, guest long")
+    return counted(found.distinct(), "possible")
 
 
 def profiles(documents: DataFrame) -> DataFrame:
@@ -503,67 +510,73 @@ def bags(texts: DataFrame, spec: Sketch) -> DataFrame:
             found = [worker.bag(worker.word_hashes(t)) for t in batch.column(1).to_pylist()]
             yield pa.record_batch([batch.column(0), pa.array(found, pa.binary())], names=["name", "bag"])
 
-    return texts.mapInArrow(run, "name long, bag binary")
+    return texts.mapInArrow(lambda batches: released(run(batches)), "name long, bag binary")
 
 
 def others(
-    classes: DataFrame, bucketed: DataFrame, reach: DataFrame, texts_of: Callable[[DataFrame], DataFrame], spec: Sketch, percent: int,
-) -> DataFrame:
-    """`a, b`: documents that share a bucket, are in different groups of reach, neither the bucket's smallest.
+    classes: DataFrame, n_classes: int, bucketed: DataFrame, n_bucketed: int, reach: DataFrame,
+    texts_of: Callable[[DataFrame, int], DataFrame], spec: Sketch, percent: int,
+) -> tuple[DataFrame, int]:
+    """`a, b`, and the most rows of it: documents that share a bucket, are in different groups of reach, neither the bucket's smallest.
 
-    bucketed is what ``bucket_members`` gives, texts_of gives `id, text` of ids. Only pairs whose lengths and bins allow the similarity are given. All
+    bucketed is what ``bucket_members`` gives, texts_of gives `id, text` of at most so many ids. Only pairs whose lengths and bins allow the similarity are given. All
     documents of a group in a bucket are first taken as one unit; they are looked at one by one only where the
     unit leaves room.
     """
-    grouped = bucketed.select("key", "id", "n_words").join(reach, "id", "left")
+    grouped = few(bucketed.select("key", "id", "n_words").join(reach, "id", "left"), n_bucketed)
     dealt = grouped.select("key", "id", "n_words", F.coalesce("component", "id").alias("component"))
     # Buckets with one group need nothing; those of the same documents, such as all of a shared passage, are one.
     mixed_keys = dealt.groupBy("key").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.min("id").alias("b"), F.count("*").alias("n"),
         F.bit_xor(F.xxhash64("id")).alias("mark"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("other"))
-    mixed_keys = mixed_keys.where("low < high AND n > 2").groupBy("n", "b", "mark", "other").agg(F.min("key").alias("key"))
-    members = dealt.join(stored(mixed_keys.select("key", "b"), "mixed-buckets"), "key").where("id <> b")
+    mixed_keys = few(mixed_keys.where("low < high AND n > 2"), n_bucketed).groupBy("n", "b", "mark", "other").agg(F.min("key").alias("key"))
+    mixed_keys = stored(few(mixed_keys.select("key", "b"), n_bucketed), "mixed-buckets")
+    members = few(dealt.join(mixed_keys, "key").where("id <> b"), n_bucketed)
     units = members.groupBy("key", "component").agg(
         F.count("*").alias("n"), F.min("id").alias("id"), F.min("n_words").alias("low"), F.max("n_words").alias("high"))
     many = F.col("n") > 1
-    units = stored(units.select(
-        "key", "component", "n", "low", "high", many.alias("many"), F.when(many, F.col("component")).otherwise(F.col("id")).alias("name")), "bucket-units")
+    units, n_units = counted(few(units.select(
+        "key", "component", "n", "low", "high", many.alias("many"),
+        F.when(many, F.col("component")).otherwise(F.col("id")).alias("name")), n_bucketed), "bucket-units")
     # Two units that are alike share many buckets and are given once. So what is asked of a group may not depend
     # on the bucket: its lengths are those of all buckets where it has several documents.
     places = units.groupBy("name", "many").agg(
         F.array_sort(F.collect_list("key")).alias("keys"), F.min("low").alias("low"), F.max("high").alias("high"))
-    places = stored(places.withColumn("keys", F.when(F.col("many"), F.slice("keys", 1, GROUP_KEYS)).otherwise(F.col("keys"))), "unit-places")
-    units = stored(units.drop("low", "high").join(places.drop("keys"), ["name", "many"]), "mixed-units")
+    places = places.withColumn("keys", F.when(F.col("many"), F.slice("keys", 1, GROUP_KEYS)).otherwise(F.col("keys")))
+    places = stored(few(places, n_units), "unit-places")
+    units = stored(few(units.drop("low", "high").join(places.drop("keys"), ["name", "many"]), n_units), "mixed-units")
     own = classes.select(F.col("id").alias("name"), F.lit(False).alias("many"), "bins", F.lit(False).alias("full"))
-    large = stored(units.where("many").select("component").distinct(), "large-groups")
-    of_large = reach.join(large, "component").join(classes.select("id", "n_words", "bins"), "id")
-    wide = profiles(of_large).select("name", F.lit(True).alias("many"), "bins", "full")
+    large = stored(few(units.where("many").select("component").distinct(), n_units), "large-groups")
+    of_large = few(reach.join(large, "component"), n_classes).join(classes.select("id", "n_words", "bins"), "id")
+    wide = profiles(few(of_large, n_classes, TASK_BINS)).select("name", F.lit(True).alias("many"), "bins", "full")
     shapes = own.union(wide).join(places.select("name", "many", "keys"), ["name", "many"])
-    found = compared(units, stored(shapes, "unit-shapes"), percent)
+    found, n_found = compared(units, stored(few(shapes, n_units, TASK_BINS), "unit-shapes"), percent)
     pairs = found.where("host IS NULL").select("a", "b")
     # A group's documents are listed once, beside those of all groups that may be alike to it.
-    meetings = stored(found.where("host IS NOT NULL").select("host", "guest").distinct(), "meetings")
+    meetings = stored(few(found.where("host IS NOT NULL").select("host", "guest").distinct(), n_found), "meetings")
     documents = classes.select("id", "n_words").join(reach, "id", "left").select(
         F.coalesce("component", "id").alias("component"), F.col("id").alias("name"), F.col("n_words").alias("low"))
-    documents = stored(documents, "group-documents")
+    documents = stored(few(documents, n_classes), "group-documents")
     listed = meetings.select("host", F.col("host").alias("component"), F.lit(0).cast("long").alias("side")).distinct().union(
         meetings.select("host", "guest", F.lit(1).cast("long")))
-    listed = stored(listed, "listed").join(documents, "component")
-    listed = stored(listed, "listed-documents")
-    held = bags(texts_of(listed.select(F.col("name").alias("id")).distinct()), spec)
+    listed = stored(few(listed, 2 * n_found), "listed").join(documents, "component")
+    listed, n_listed = counted(listed, "listed-documents")
+    held = bags(texts_of(listed.select(F.col("name").alias("id")).distinct(), n_listed), spec)
     listed = listed.select(
         F.col("host").alias("key"), F.col("side").alias("component"), "name", F.lit(False).alias("many"), F.lit(1).alias("n"),
         "low", F.col("low").alias("high"))
-    return pairs.union(compared(listed, own.join(held, "name"), percent).select("a", "b")).distinct()
+    one_by_one, n_pairs = compared(listed, own.join(held, "name"), percent)
+    return pairs.union(one_by_one.select("a", "b")).distinct(), n_found + n_pairs
 
 
-def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose texts are alike. texts: `id, text`, for all ids of the pairs. Both are written tables."""
+def verified(pairs: DataFrame, texts: DataFrame, percent: int, rows: int | None = None) -> DataFrame:
+    """The pairs, so many rows, whose texts are alike. texts: `id, text`, for all ids of the pairs. Both are written tables."""
+    rows = pairs.count() if rows is None else rows
     if (texts.agg(F.sum(F.length("text"))).first()[0] or 0) <= FEW_CHARACTERS:
         # Few texts may have very many pairs, so these are dealt by number and not by the bytes they hold.
-        texts, rows, cores = F.broadcast(texts), pairs.count(), pairs.sparkSession.sparkContext.defaultParallelism
+        texts, cores = F.broadcast(texts), pairs.sparkSession.sparkContext.defaultParallelism
         pairs = pairs.repartition(max(1, min(rows // 500, max(2 * cores, rows // 20_000))), "a", "b")
-    left = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("x")), "a")
+    left = few(pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("x")), "a"), rows, TASK_PAIRS)
     both = left.join(texts.select(F.col("id").alias("b"), F.col("text").alias("y")), "b").select("a", "b", "x", "y")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -571,7 +584,7 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
             good = [alike(x, y, percent) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
             yield pa.record_batch([batch.column(0), batch.column(1)], names=["u", "v"]).filter(pa.array(good, pa.bool_()))
 
-    return both.mapInArrow(run, "u long, v long")
+    return few(both, rows, TASK_PAIRS).mapInArrow(lambda batches: released(run(batches)), "u long, v long")
 
 
 def near_documents(
@@ -595,30 +608,36 @@ def near_documents(
     classes = sketched(rows.where("id IS NOT NULL"), spec, percent)
     classes = classes.groupBy("digest").agg(
         F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("keys", "n_words", "bins")])
-    classes = stored(classes, "sketches")
+    seen = Observation()
+    sizes = [F.count(F.lit(1)).alias("rows"), F.sum(F.size("keys")).alias("keys")]
+    classes = stored(classes.observe(seen, *sizes), "sketches")
+    n_classes, n_keys = seen.get["rows"], seen.get["keys"] or 0
 
-    def texts_of(ids: DataFrame) -> DataFrame:
-        wanted = classes.select("id", "digest").join(ids, "id")
+    def texts_of(ids: DataFrame, most: int) -> DataFrame:
+        wanted = few(classes.select("id", "digest").join(few(ids, most), "id"), n_classes)
         texts = rows.join(wanted, ["id", "digest"]).dropDuplicates(["id", "digest"])
-        return stored(texts.select("id", "text"), "candidate-texts")
+        return stored(few(texts.select("id", "text"), min(most, n_classes), TASK_TEXTS), "candidate-texts")
 
-    def linked(pairs: DataFrame) -> DataFrame:
-        pairs = stored(pairs, "candidates")
+    def linked(pairs: DataFrame, most: int) -> tuple[DataFrame, int]:
+        pairs, n = counted(few(pairs, most), "candidates")
         wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-        return stored(verified(pairs, texts_of(wanted), percent), "near-links")
+        return counted(verified(pairs, texts_of(wanted, 2 * n), percent, n), "near-links")
 
     # A large group is joined by one link for each of its documents; only what these leave apart is compared further.
-    members = bucket_members(classes)
-    pairs = stored(candidates(members, classes, least_shared, percent), "bucket-pairs")
-    links = linked(first_choice(pairs))
-    links = links.union(linked(across(pairs, components(links))))
-    links = links.union(linked(others(classes, members, components(links), texts_of, spec, percent)))
+    members, n_members = bucket_members(classes, n_keys)
+    pairs, n_pairs = counted(candidates(members, n_members, classes, least_shared, percent), "bucket-pairs")
+    links, n_links = linked(first_choice(pairs), n_pairs)
+    more, n_more = linked(across(pairs, n_pairs, components(links, n_links)), n_pairs)
+    links, n_links = links.union(more), n_links + n_more
+    rest = others(classes, n_classes, members, n_members, components(links, n_links), texts_of, spec, percent)
+    more, n_more = linked(*rest)
+    links, n_links = links.union(more), n_links + n_more
     # Rows that repeat an id belong together, whatever their texts.
     own = rows.where("id IS NOT NULL").select("id", "digest")
     named = own.join(classes.select("digest", F.col("id").alias("class")), "digest").select("id", "class")
     named = stored(named.groupBy("id").agg(F.min("class").alias("class"), F.max("class").alias("other"), F.count("*").alias("n")), "named")
     same = named.where("class <> other").select(F.col("class").alias("u"), F.col("other").alias("v"))
-    reach = components(links.union(same))
+    reach = components(links.union(same), n_links + n_classes)
     grouped = named.join(reach.withColumnRenamed("id", "class"), "class", "left")
     grouped = grouped.select("id", F.coalesce("component", "class").alias("group_id"), "n")
     out = grouped.select("id", "group_id", F.explode(F.sequence(F.lit(1).cast("long"), "n"))).drop("col")

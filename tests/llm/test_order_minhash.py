@@ -248,3 +248,20 @@ def test_pairs_of_few_texts_are_dealt_over_tasks(spark):
     texts = spark.createDataFrame([(i, f"a b c d e{i}") for i in range(60)], "id long, text string")
     pairs = spark.createDataFrame([(i, j) for i in range(60) for j in range(i)], "a long, b long").coalesce(1)
     assert om.verified(pairs, texts, 80).rdd.getNumPartitions() > 1
+
+
+def test_few_links_are_written_in_few_files(spark):
+    """However many shuffle partitions are set, some links don't become a file for each of them."""
+    from newsflow.llm.components import components
+
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "64")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        links = spark.createDataFrame([(i, i - i % 2 - 2 * (i % 2 == 0)) for i in range(1, 200)], "u long, v long")
+        found = components(links, 199)
+        assert len(found.inputFiles()) <= spark.sparkContext.defaultParallelism
+        assert {r.component for r in found.collect()} == {0} and found.count() == 200
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
